@@ -13,6 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .. import schemas
 from ..config import ReconConfig
 from ..operators import alerts, breaks, insights, reconcile, summaries, trend
 from ..sources.feeds import derive_feeds
@@ -31,9 +32,34 @@ DERIVED_FEED_CONFIG = ReconConfig(
 
 
 def context_for(spark: SparkSession, sf_dir: str, cfg: ReconConfig | None = None) -> ReconContext:
+    """A fresh, unpersisted context over the feeds derived from sf_dir."""
     return ReconContext(spark, derive_feeds(spark, sf_dir), cfg or DERIVED_FEED_CONFIG)
 
 
+_SHARED: dict[tuple, ReconContext] = {}
+
+
+def shared_context(spark: SparkSession, sf_dir: str, cfg: ReconConfig | None = None) -> ReconContext:
+    """One context per (application, sf_dir, config) whose reconciled rows
+    are persisted on first use, so the feeds are joined once for all the
+    queries run against them (and inside one query, every scalar subquery
+    and union branch reads the cached rows instead of re-joining)."""
+    cfg = cfg or DERIVED_FEED_CONFIG
+    key = (spark.sparkContext.applicationId, sf_dir, cfg)
+    ctx = _SHARED.get(key)
+    if ctx is None:
+        ctx = context_for(spark, sf_dir, cfg).persist()
+        _SHARED[key] = ctx
+    return ctx
+
+
+def release_shared() -> None:
+    """Unpersist and forget the shared contexts."""
+    for ctx in _SHARED.values():
+        ctx.recon.unpersist()
+    _SHARED.clear()
+
+
 def _break_flags(ctx: ReconContext) -> DataFrame:
     return ctx.recon.select("trade_id", *breaks.FLAG_COLUMNS, "break_type", "is_break",
                             "break_value")
@@ -45,9 +71,9 @@ def _break_aging(ctx: ReconContext) -> DataFrame:
 
 QUERIES: dict[str, Callable[[ReconContext], DataFrame]] = {
     # sources / row layer
-    "feed_counts": lambda c: summaries.feed_counts(c.feeds, c.joined),
+    "feed_counts": lambda c: summaries.feed_counts(c.feeds, c.recon),
     "internal_vs_custodian": lambda c: reconcile.internal_vs_custodian(c.feeds),
-    "three_way_recon": lambda c: c.joined,
+    "three_way_recon": lambda c: c.recon.select(*schemas.JOINED_COLUMNS),
     "break_flags": _break_flags,
     "break_aging": _break_aging,
     "reconciliation_report": lambda c: c.report,
@@ -89,8 +115,9 @@ QUERIES: dict[str, Callable[[ReconContext], DataFrame]] = {
 }
 
 
-def run(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
-    return QUERIES[name](context_for(spark, sf_dir))
+def run(name: str, spark: SparkSession, sf_dir: str, shared: bool = True) -> DataFrame:
+    ctx = shared_context(spark, sf_dir) if shared else context_for(spark, sf_dir)
+    return QUERIES[name](ctx)
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
