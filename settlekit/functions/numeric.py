@@ -4,9 +4,11 @@ across engines and partitionings.
 * ``half_even`` rounds like NumPy/pandas ``round``: scale, round half to even
   on the binary double, unscale.  Spark's ``round``/``bround`` work on the
   decimal expansion and differ on values such as 0.285 or 17.225.
-* ``money_sum`` sums amounts as ``decimal(18,2)`` so the result does not
-  depend on the order partial sums are combined in (it would with doubles);
-  the result is returned as a double.
+* ``money_sum`` sums amounts as integer cents (bigint) so the result does
+  not depend on the order partial sums are combined in (it would with
+  doubles); the total is returned as a double.  Same exactness as
+  ``decimal(18,2)``, but a long add per row instead of a BigDecimal one
+  (decimal sums widen to precision 28).
 * ``pct`` is ``part / whole * 100`` in doubles, NULL when ``whole`` is 0
   (ANSI mode raises on a zero divisor).
 """
@@ -25,11 +27,17 @@ def half_even(col: Column, digits: int = 0) -> Column:
 
 
 def money(col: Column) -> Column:
-    return col.cast("decimal(18,2)")
+    """An amount as integer cents (half away from zero)."""
+    return F.round(col * F.lit(100.0)).cast("long")
+
+
+def cents_to_amount(cents: Column) -> Column:
+    return cents.cast("double") / F.lit(100.0)
 
 
 def money_sum(col: Column) -> Column:
-    return F.sum(money(col)).cast("double")
+    """Exact sum of amounts; 0.0 over no rows (like pandas' sum)."""
+    return F.coalesce(cents_to_amount(F.sum(money(col))), F.lit(0.0))
 
 
 def pct(part: Column, whole: Column) -> Column:
@@ -37,5 +45,6 @@ def pct(part: Column, whole: Column) -> Column:
 
 
 def count_true(col: Column) -> Column:
-    """Number of rows where a boolean column is true, as bigint."""
-    return F.sum(F.when(col, F.lit(1)).otherwise(F.lit(0))).cast("bigint")
+    """Number of rows where a boolean column is true, as bigint (0 over no rows)."""
+    return F.coalesce(F.sum(F.when(col, F.lit(1)).otherwise(F.lit(0))).cast("bigint"),
+                      F.lit(0).cast("bigint"))

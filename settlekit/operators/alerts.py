@@ -1,7 +1,7 @@
 """Rule-based anomaly alerts (I5-I9) and their union.
 
-The three break-level rules (high value, aged, failed) are one conditional
-aggregation, i.e. one pass over the breaks.  The alert table itself is
+The three break-level rules (high value, aged, failed) are conditional
+counts computed in the break cube's single pass.  The alert table itself is
 tiny and bounded: at most one row per rule, plus at most
 floor(100 / concentration_pct) concentration rows (no more counterparties
 than that can each hold more than that share), so ranking it with a global
@@ -15,8 +15,8 @@ from pyspark.sql import functions as F
 
 from ..config import ReconConfig
 from ..functions import labels as L
-from ..functions.numeric import count_true, money_sum
 from . import summaries, trend
+from .cube import totals
 
 ALERT_COLUMNS = ("alert_rank", "severity", "alert_type", "message", "dates",
                  "counterparty", "alert_count")
@@ -26,40 +26,38 @@ def _num(col: Column, digits: int = 0) -> Column:
     return F.format_number(col, digits)
 
 
-def break_alert_facts(recon: DataFrame, cfg: ReconConfig) -> DataFrame:
-    """One pass: high-value, aged and failed counts/values over the breaks."""
-    b = summaries.breaks_only(recon)
-    high = F.col("break_value") > F.lit(float(cfg.high_value))
-    aged = F.col("aging_bucket").isin(*L.AGED_BUCKETS)
-    failed = F.coalesce(F.col("break_type").contains(L.FAILED_MARKER), F.lit(False))
-    return b.agg(
-        count_true(high).alias("high_value_count"),
-        money_sum(F.when(high, F.col("break_value"))).alias("high_value_total"),
-        count_true(aged).alias("aged_count"),
-        money_sum(F.when(aged, F.col("break_value"))).alias("aged_value"),
-        count_true(failed).alias("failed_count"),
+def break_alert_facts(cube: DataFrame, cfg: ReconConfig) -> DataFrame:
+    """High-value, aged and failed counts/values over the breaks (already
+    computed in the cube's single pass)."""
+    t = totals(cube)
+    return t.agg(
+        F.coalesce(F.sum("high_value_count"), F.lit(0)).cast("bigint").alias("high_value_count"),
+        F.coalesce(F.sum("high_value_total"), F.lit(0.0)).alias("high_value_total"),
+        F.coalesce(F.sum("aged_count"), F.lit(0)).cast("bigint").alias("aged_count"),
+        F.coalesce(F.sum("aged_value"), F.lit(0.0)).alias("aged_value"),
+        F.coalesce(F.sum("failed_count"), F.lit(0)).cast("bigint").alias("failed_count"),
     )
 
 
-def high_value_breaks(recon: DataFrame, cfg: ReconConfig) -> DataFrame:
-    return break_alert_facts(recon, cfg).select(
+def high_value_breaks(cube: DataFrame, cfg: ReconConfig) -> DataFrame:
+    return break_alert_facts(cube, cfg).select(
         "high_value_count", F.coalesce("high_value_total", F.lit(0.0)).alias("high_value_total"),
         F.lit(float(cfg.high_value)).alias("threshold"))
 
 
-def aged_breaks(recon: DataFrame, cfg: ReconConfig) -> DataFrame:
-    return break_alert_facts(recon, cfg).select(
+def aged_breaks(cube: DataFrame, cfg: ReconConfig) -> DataFrame:
+    return break_alert_facts(cube, cfg).select(
         "aged_count", F.coalesce("aged_value", F.lit(0.0)).alias("aged_value"))
 
 
-def failed_settlements(recon: DataFrame, cfg: ReconConfig) -> DataFrame:
-    return break_alert_facts(recon, cfg).select(
+def failed_settlements(cube: DataFrame, cfg: ReconConfig) -> DataFrame:
+    return break_alert_facts(cube, cfg).select(
         "failed_count", (F.col("failed_count") > F.lit(cfg.failed_min)).alias("alert_fires"))
 
 
-def counterparty_concentration(recon: DataFrame, cfg: ReconConfig) -> DataFrame:
+def counterparty_concentration(cube: DataFrame, cfg: ReconConfig) -> DataFrame:
     """Counterparties above the single-counterparty share limit."""
-    return (summaries.counterparty_share(recon)
+    return (summaries.counterparty_share(cube)
             .where(F.col("share_pct") > F.lit(float(cfg.concentration_pct))))
 
 
@@ -74,7 +72,7 @@ def _alert(rule: int, severity: str, kind: str, message: Column, *, sub: Column
             (count if count is not None else F.lit(None).cast("bigint")).alias("alert_count")]
 
 
-def anomaly_alerts(recon: DataFrame, daily: DataFrame, cfg: ReconConfig) -> DataFrame:
+def anomaly_alerts(cube: DataFrame, daily: DataFrame, cfg: ReconConfig) -> DataFrame:
     """The fired alerts in rule order, ranked 1..n."""
     spikes = trend.break_rate_spikes(daily, cfg)
     first5 = spikes.orderBy("trade_date_str").limit(5)
@@ -88,14 +86,14 @@ def anomaly_alerts(recon: DataFrame, daily: DataFrame, cfg: ReconConfig) -> Data
                  F.lit("%; the average daily break rate is "), _num(F.col("mean"), 1), F.lit("%.")),
         dates=first5.agg(F.array_join(F.array_sort(F.collect_list("trade_date_str")), ",")).scalar()))
 
-    conc = counterparty_concentration(recon, cfg).select(*_alert(
+    conc = counterparty_concentration(cube, cfg).select(*_alert(
         2, L.MEDIUM, L.COUNTERPARTY_CONCENTRATION,
         F.concat(F.col("counterparty"), F.lit(" holds "), _num(F.col("share_pct"), 1),
                  F.lit(f"% of all settlement breaks, above the {cfg.concentration_pct:g}% "
                        "single-counterparty limit.")),
         sub=-F.col("share_pct"), counterparty=F.col("counterparty")))
 
-    facts = break_alert_facts(recon, cfg)
+    facts = break_alert_facts(cube, cfg)
     high = facts.where(F.col("high_value_count") > 0).select(*_alert(
         3, L.HIGH, L.HIGH_VALUE_BREAKS,
         F.concat(_num(F.col("high_value_count")),

@@ -5,7 +5,7 @@ numbers are computed by Spark and whose text columns are assembled with
 ``concat``/``format_number``.  The wording is ours; the figures, labels and
 orderings are the contract.
 
-Each insight is a handful of one-row aggregates over the reconciled rows.
+Each insight is a handful of one-row aggregates of the break cube.
 They are combined with scalar subqueries (planned once, used as literals),
 so no stage ever joins an aggregate back onto rows.
 """
@@ -58,19 +58,24 @@ REMEDIATION_SCHEMA = T.StructType([
 
 
 def remediation_table(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(list(REMEDIATION), REMEDIATION_SCHEMA)
+    """The six-row dimension as an inline literal (planned in the JVM, no
+    Python RDD behind it)."""
+    names = [f.name for f in REMEDIATION_SCHEMA.fields]
+    rows = [F.struct(*[F.lit(v).cast("string").alias(n) for v, n in zip(row, names)])
+            for row in REMEDIATION]
+    return spark.range(1).select(F.inline(F.array(*rows)))
 
 
 def _display(label: Column) -> Column:
     return F.initcap(F.regexp_replace(label, "_", " "))
 
 
-def root_cause_by_type(spark: SparkSession, recon: DataFrame) -> DataFrame:
+def root_cause_by_type(spark: SparkSession, cube: DataFrame) -> DataFrame:
     """I2 + I4: label, count, share of instances, cause, action, priority.
 
     The remediation table has one row per known label (a fixed six-row
     dimension), so broadcasting it is always safe."""
-    dist = S.type_distribution(recon)
+    dist = S.type_distribution(cube)
     dim = F.broadcast(remediation_table(spark))
     return (dist.join(dim, "break_type", "left")
             .select("break_type",
@@ -82,55 +87,57 @@ def root_cause_by_type(spark: SparkSession, recon: DataFrame) -> DataFrame:
                     "priority"))
 
 
-def daily_summary_facts(recon: DataFrame, daily: DataFrame, cs: DataFrame) -> DataFrame:
-    """Headline KPIs, day-over-day change, worst counterparty, top label."""
-    change = trend.daily_trend_change(daily)
-    top_cp = cs.orderBy(F.desc("breaks"), F.asc("counterparty_int")).limit(1)
-    modal = S.modal_break_pattern(recon)
+def _one(df: DataFrame) -> Column:
+    """The single row of a small frame as one struct-valued scalar subquery
+    (one subquery for all its fields instead of one per field)."""
+    return df.select(F.struct(*df.columns)).scalar()
 
-    def sub(df: DataFrame, col: str) -> Column:
-        return df.select(col).scalar()
 
-    return S.kpis(recon).select(
+def daily_summary_facts(cube: DataFrame, daily: DataFrame, cs: DataFrame) -> DataFrame:
+    """Headline KPIs, day-over-day change, worst counterparty, top label."""
+    change = _one(trend.daily_trend_change(daily))
+    top_cp = _one(cs.orderBy(F.desc("breaks"), F.asc("counterparty_int")).limit(1))
+    modal = _one(S.modal_break_pattern(cube))
+    return S.kpis(cube).select(
         "total_trades", "total_breaks", half_even(F.col("match_rate"), 1).alias("match_rate"),
         "total_break_value",
-        sub(change, "latest_date").alias("latest_date"), sub(change, "latest_rate").alias("latest_rate"),
-        sub(change, "previous_date").alias("previous_date"),
-        sub(change, "previous_rate").alias("previous_rate"),
-        sub(change, "trend").alias("trend"),
-        sub(top_cp, "counterparty_int").alias("top_counterparty"),
-        sub(top_cp, "breaks").alias("top_counterparty_breaks"),
-        sub(top_cp, "total_break_value").alias("top_counterparty_value"),
-        sub(modal, "top_break").alias("top_break_type"),
+        change["latest_date"].alias("latest_date"), change["latest_rate"].alias("latest_rate"),
+        change["previous_date"].alias("previous_date"),
+        change["previous_rate"].alias("previous_rate"),
+        change["trend"].alias("trend"),
+        top_cp["counterparty_int"].alias("top_counterparty"),
+        top_cp["breaks"].alias("top_counterparty_breaks"),
+        top_cp["total_break_value"].alias("top_counterparty_value"),
+        modal["top_break"].alias("top_break_type"),
     )
 
 
-def pattern_facts(recon: DataFrame) -> DataFrame:
+def pattern_facts(cube: DataFrame) -> DataFrame:
     """Top-3 counterparty concentration, modal trade type, peak weekday."""
-    mtt = S.modal_trade_type(recon)
-    peak = S.breaks_by_weekday(recon).orderBy(F.desc("breaks"), F.asc("weekday")).limit(1)
-    return S.top3_concentration(recon).select(
+    mtt = _one(S.modal_trade_type(cube))
+    peak = _one(S.breaks_by_weekday(cube).orderBy(F.desc("breaks"), F.asc("weekday")).limit(1))
+    return S.top3_concentration(cube).select(
         "top3_counterparties", "top3_share_pct",
-        mtt.select("trade_type").scalar().alias("modal_trade_type"),
-        mtt.select("breaks").scalar().alias("modal_trade_type_breaks"),
-        peak.select("weekday").scalar().alias("peak_weekday"),
-        peak.select("breaks").scalar().alias("peak_weekday_breaks"),
+        mtt["trade_type"].alias("modal_trade_type"),
+        mtt["breaks"].alias("modal_trade_type_breaks"),
+        peak["weekday"].alias("peak_weekday"),
+        peak["breaks"].alias("peak_weekday_breaks"),
     )
 
 
 # --- knowledge base --------------------------------------------------------
 
-def kb_overview(recon: DataFrame, cfg: ReconConfig) -> DataFrame:
+def kb_overview(cube: DataFrame, cfg: ReconConfig) -> DataFrame:
     """I10."""
-    return S.kpis(recon).select(
+    return S.kpis(cube).select(
         "total_trades", "total_breaks", half_even(F.col("match_rate"), 1).alias("match_rate"),
         half_even(F.col("total_break_value"), 2).alias("total_break_value"),
         F.lit(cfg.effective_report_date.isoformat()).alias("report_date"))
 
 
-def kb_break_types(recon: DataFrame) -> DataFrame:
+def kb_break_types(cube: DataFrame) -> DataFrame:
     """Lower-case label -> count and share (1 dp)."""
-    return S.type_distribution(recon).select(
+    return S.type_distribution(cube).select(
         F.lower("break_type").alias("break_type"), "count",
         half_even(F.col("instance_share_pct"), 1).alias("percentage"))
 
@@ -147,24 +154,24 @@ def _num(col: Column, digits: int = 0) -> Column:
     return F.format_number(col, digits)
 
 
-def kb_faq(recon: DataFrame, daily: DataFrame, cs: DataFrame, cfg: ReconConfig) -> DataFrame:
+def kb_faq(cube: DataFrame, daily: DataFrame, cs: DataFrame, cfg: ReconConfig) -> DataFrame:
     """Six question/answer rows filled from the figures."""
-    k = S.kpis(recon)
+    k = S.kpis(cube)
     top_cp = cs.orderBy(F.desc("breaks"), F.asc("counterparty_int")).limit(1)
-    top3 = (S.type_counts(recon).orderBy(F.desc("count"), F.asc("break_type")).limit(3)
+    top3 = (S.type_counts(cube).orderBy(F.desc("count"), F.asc("break_type")).limit(3)
             .agg(F.array_join(F.transform(
                 F.array_sort(F.collect_list(F.struct((-F.col("count")).alias("o"),
                                                      F.col("break_type").alias("t"),
                                                      F.col("count").alias("c")))),
                 lambda s: F.concat(_display(s["t"]), F.lit(" ("), F.format_number(s["c"], 0),
                                    F.lit(")"))), ", ").alias("txt")))
-    facts = A.break_alert_facts(recon, cfg)
-    aging = (S.aging_distribution(recon)
+    facts = A.break_alert_facts(cube, cfg)
+    aging = (S.aging_distribution(cube)
              .agg(F.array_join(F.transform(
                  F.array_sort(F.collect_list(F.struct("display_order", "aging_bucket", "count"))),
                  lambda s: F.concat(s["aging_bucket"], F.lit(": "), F.format_number(s["count"], 0))),
                  ", ").alias("txt")))
-    alerts = A.anomaly_alerts(recon, daily, cfg)
+    alerts = A.anomaly_alerts(cube, daily, cfg)
     first3 = (alerts.where(F.col("alert_rank") <= 3)
               .agg(F.array_join(F.transform(
                   F.array_sort(F.collect_list(F.struct("alert_rank", "severity", "alert_type"))),
@@ -217,12 +224,12 @@ def _ordered_map(df: DataFrame, order: list[Column], key: Column, value: Column)
         entries, lambda s: F.struct(s["key"].alias("key"), s["value"].alias("value"))))).scalar()
 
 
-def kb_document(recon: DataFrame, daily: DataFrame, cs: DataFrame, cfg: ReconConfig) -> DataFrame:
+def kb_document(cube: DataFrame, daily: DataFrame, cs: DataFrame, cfg: ReconConfig) -> DataFrame:
     """The whole knowledge base as one JSON document (one row)."""
-    ov = kb_overview(recon, cfg)
-    bt = kb_break_types(recon)
+    ov = kb_overview(cube, cfg)
+    bt = kb_break_types(cube)
     top = kb_top_counterparties(cs)
-    faq = kb_faq(recon, daily, cs, cfg)
+    faq = kb_faq(cube, daily, cs, cfg)
     overview = ov.select(F.struct(*ov.columns)).scalar()
     types_map = _ordered_map(bt, [-F.col("count"), F.col("break_type")], F.col("break_type"),
                              F.struct("count", "percentage"))

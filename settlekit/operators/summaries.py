@@ -1,10 +1,10 @@
-"""One-key summaries over the reconciled rows.
+"""One-key summaries (A1-A16), read from the break cube.
 
-All of them are single ``groupBy`` aggregations with low-cardinality keys
-(counterparty, trade type, day, bucket, label), so the partial aggregate on
-the map side shrinks every partition to a handful of rows before the
-shuffle; a hot key costs nothing extra.  NULL group keys are left out where
-the reference's pandas ``groupby``/``value_counts`` drop them.
+Every summary is a slice of ``operators.cube.break_cube`` -- one
+grouping-sets pass over the reconciled rows -- so none of them scans the
+rows again.  NULL group keys are left out where the reference's pandas
+``groupby``/``value_counts`` drop them; groups without breaks are left out
+where the reference only grouped the breaks.
 
 Ties are broken by the key ascending wherever a limit follows a sort, so
 the top-k results are deterministic.
@@ -16,21 +16,24 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import labels as L
-from ..functions.numeric import count_true, half_even, money_sum, pct
+from ..functions.numeric import half_even, pct
 from .aging import bucket_ordinal
+from .cube import slice_, totals
 
 
 def breaks_only(recon: DataFrame) -> DataFrame:
     return recon.where(F.col("is_break"))
 
 
-def kpis(recon: DataFrame) -> DataFrame:
-    """A1 + A14: one row of overall figures."""
-    agg = recon.agg(
-        F.count(F.lit(1)).alias("total_trades"),
-        count_true(F.col("is_break")).alias("total_breaks"),
-        money_sum(F.col("break_value")).alias("total_break_value"),
-    )
+def _sum0(c: str):
+    return F.coalesce(F.sum(c), F.lit(0)).cast("bigint")
+
+
+def kpis(cube: DataFrame) -> DataFrame:
+    """A1 + A14: one row of overall figures (also over no trades)."""
+    agg = totals(cube).agg(
+        _sum0("rows").alias("total_trades"), _sum0("breaks").alias("total_breaks"),
+        F.coalesce(F.sum("value"), F.lit(0.0)).alias("total_break_value"))
     return agg.select(
         "total_trades", "total_breaks",
         (F.col("total_trades") - F.col("total_breaks")).alias("matched_trades"),
@@ -41,115 +44,107 @@ def kpis(recon: DataFrame) -> DataFrame:
     )
 
 
-def type_counts(recon: DataFrame) -> DataFrame:
+def type_counts(cube: DataFrame) -> DataFrame:
     """A2: (break_type, count) per single label over all breaks.
 
-    One pass of six conditional counts -- the flags already say which
-    labels a row carries -- then an unpivot of the six-column row; no
-    explode of the row set and no string splitting.
-    """
-    counts = recon.agg(*[count_true(F.col(f"flag_{name}")).alias(name) for name, _ in L.CHECKS])
-    stacked = ", ".join(f"'{label}', {name}" for name, label in L.CHECKS)
-    return (counts.selectExpr(f"stack({len(L.CHECKS)}, {stacked}) AS (break_type, count)")
+    The flags already say which labels a row carries, so the cube's six
+    flag counts are the instance counts; unpivot them -- no explode of the
+    rows and no string splitting."""
+    stacked = ", ".join(f"'{label}', n_{name}" for name, label in L.CHECKS)
+    return (totals(cube).selectExpr(f"stack({len(L.CHECKS)}, {stacked}) AS (break_type, count)")
             .where(F.col("count") > 0))
 
 
-def type_distribution(recon: DataFrame) -> DataFrame:
+def type_distribution(cube: DataFrame) -> DataFrame:
     """A2 with the share of all break instances (not of trades)."""
-    counts = type_counts(recon)
+    counts = type_counts(cube)
     total = counts.agg(F.sum("count").alias("t")).scalar()
     return counts.select("break_type", "count",
                          pct(F.col("count"), total).alias("instance_share_pct"))
 
 
-def top_counterparties(recon: DataFrame, k: int = 10) -> DataFrame:
+def _with_breaks(cube: DataFrame, dim: str) -> DataFrame:
+    return slice_(cube, dim).where(F.col("key").isNotNull() & (F.col("breaks") > 0))
+
+
+def top_counterparties(cube: DataFrame, k: int = 10) -> DataFrame:
     """A3: counterparties with the most breaks (count and value)."""
-    return (breaks_only(recon).where(F.col("counterparty_int").isNotNull())
-            .groupBy(F.col("counterparty_int").alias("counterparty"))
-            .agg(F.count(F.lit(1)).alias("break_count"),
-                 money_sum(F.col("break_value")).alias("break_value"))
+    return (_with_breaks(cube, "counterparty")
+            .select(F.col("key").alias("counterparty"), F.col("breaks").alias("break_count"),
+                    F.col("value").alias("break_value"))
             .orderBy(F.desc("break_count"), F.asc("counterparty")).limit(k))
 
 
-def aging_distribution(recon: DataFrame) -> DataFrame:
+def aging_distribution(cube: DataFrame) -> DataFrame:
     """A4: break counts per aging bucket in display order, Unknown left out."""
-    return (breaks_only(recon).where(F.col("aging_bucket") != F.lit(L.AGING_UNKNOWN))
-            .groupBy("aging_bucket").agg(F.count(F.lit(1)).alias("count"))
-            .select(bucket_ordinal(F.col("aging_bucket")).alias("display_order"),
-                    "aging_bucket", "count"))
+    return (_with_breaks(cube, "aging").where(F.col("key") != F.lit(L.AGING_UNKNOWN))
+            .select(bucket_ordinal(F.col("key")).alias("display_order"),
+                    F.col("key").alias("aging_bucket"), F.col("breaks").alias("count")))
 
 
-def status_distribution(recon: DataFrame) -> DataFrame:
+def status_distribution(cube: DataFrame) -> DataFrame:
     """A5: settlement status counts; share of all reconciled rows."""
-    total = recon.agg(F.count(F.lit(1))).scalar()
-    return (recon.where(F.col("settlement_status").isNotNull())
-            .groupBy("settlement_status").agg(F.count(F.lit(1)).alias("count"))
-            .select("settlement_status", "count", pct(F.col("count"), total).alias("share_pct")))
+    total = totals(cube).select("rows").scalar()
+    return (slice_(cube, "status").where(F.col("key").isNotNull())
+            .select(F.col("key").alias("settlement_status"), F.col("rows").alias("count"),
+                    pct(F.col("rows"), total).alias("share_pct")))
 
 
-def _break_summary(recon: DataFrame, key: str) -> DataFrame:
+def _break_summary(cube: DataFrame, dim: str, key: str) -> DataFrame:
     """count(trade_id), breaks, match rate and break value, 1 dp."""
-    return (recon.where(F.col(key).isNotNull()).groupBy(key)
-            .agg(F.count("trade_id").alias("total_trades"),
-                 count_true(F.col("is_break")).alias("breaks"),
-                 F.count(F.lit(1)).alias("_rows"),
-                 money_sum(F.col("break_value")).alias("_value"))
-            .select(key, "total_trades", "breaks",
-                    half_even((F.lit(1.0) - F.col("breaks").cast("double") / F.col("_rows").cast("double"))
+    return (slice_(cube, dim).where(F.col("key").isNotNull())
+            .select(F.col("key").alias(key), F.col("keyed_rows").alias("total_trades"), "breaks",
+                    half_even((F.lit(1.0) - F.col("breaks").cast("double") / F.col("rows").cast("double"))
                               * F.lit(100.0), 1).alias("match_rate"),
-                    half_even(F.col("_value"), 1).alias("total_break_value")))
+                    half_even(F.col("value"), 1).alias("total_break_value")))
 
 
-def counterparty_summary(recon: DataFrame) -> DataFrame:
-    return _break_summary(recon, "counterparty_int")
+def counterparty_summary(cube: DataFrame) -> DataFrame:
+    return _break_summary(cube, "counterparty", "counterparty_int")
 
 
-def trade_type_summary(recon: DataFrame) -> DataFrame:
-    return _break_summary(recon, "trade_type")
+def trade_type_summary(cube: DataFrame) -> DataFrame:
+    return _break_summary(cube, "trade_type", "trade_type")
 
 
-def daily_break_trend(recon: DataFrame) -> DataFrame:
+def daily_break_trend(cube: DataFrame) -> DataFrame:
     """Per trade day; the rate is rounded to 2 dp, the value is not."""
-    return (recon.where(F.col("trade_date").isNotNull())
-            .groupBy(F.date_format("trade_date", "yyyy-MM-dd").alias("trade_date_str"))
-            .agg(F.count("trade_id").alias("total_trades"),
-                 count_true(F.col("is_break")).alias("breaks"),
-                 money_sum(F.col("break_value")).alias("break_value"))
-            .withColumn("break_rate",
-                        half_even(F.col("breaks").cast("double") / F.col("total_trades").cast("double")
-                                  * F.lit(100.0), 2)))
+    return (slice_(cube, "day").where(F.col("key").isNotNull())
+            .select(F.col("key").alias("trade_date_str"), F.col("keyed_rows").alias("total_trades"),
+                    "breaks", F.col("value").alias("break_value"),
+                    half_even(F.col("breaks").cast("double") / F.col("keyed_rows").cast("double")
+                              * F.lit(100.0), 2).alias("break_rate")))
 
 
-def aging_summary(recon: DataFrame) -> DataFrame:
+def aging_summary(cube: DataFrame) -> DataFrame:
     """Breaks per aging bucket (Unknown included); value to 0 dp."""
-    return (breaks_only(recon).groupBy("aging_bucket")
-            .agg(F.count("trade_id").alias("count"),
-                 half_even(money_sum(F.col("break_value")), 0).alias("total_value")))
+    return (slice_(cube, "aging").where(F.col("breaks") > 0)
+            .select(F.col("key").alias("aging_bucket"), F.col("keyed_breaks").alias("count"),
+                    half_even(F.col("value"), 0).alias("total_value")))
 
 
-def label_counts(recon: DataFrame) -> DataFrame:
+def label_counts(cube: DataFrame) -> DataFrame:
     """Whole-label counts over breaks (the input of A10)."""
-    return breaks_only(recon).groupBy("break_type").agg(F.count(F.lit(1)).alias("count"))
+    return _with_breaks(cube, "label").select(F.col("key").alias("break_type"),
+                                              F.col("breaks").alias("count"))
 
 
-def modal_break_pattern(recon: DataFrame) -> DataFrame:
+def modal_break_pattern(cube: DataFrame) -> DataFrame:
     """A10: the most frequent whole label and its first part."""
-    return (label_counts(recon).orderBy(F.desc("count"), F.asc("break_type")).limit(1)
+    return (label_counts(cube).orderBy(F.desc("count"), F.asc("break_type")).limit(1)
             .select(F.col("break_type").alias("modal_label"), F.col("count").alias("label_count"),
                     F.substring_index("break_type", L.LABEL_SEPARATOR, 1).alias("top_break")))
 
 
-def counterparty_break_counts(recon: DataFrame) -> DataFrame:
-    return (breaks_only(recon).where(F.col("counterparty_int").isNotNull())
-            .groupBy(F.col("counterparty_int").alias("counterparty"))
-            .agg(F.count(F.lit(1)).alias("breaks")))
+def counterparty_break_counts(cube: DataFrame) -> DataFrame:
+    return _with_breaks(cube, "counterparty").select(F.col("key").alias("counterparty"), "breaks")
 
 
-def top3_concentration(recon: DataFrame) -> DataFrame:
+def top3_concentration(cube: DataFrame) -> DataFrame:
     """Share of all breaks held by the three counterparties with the
     most breaks (breaks without a counterparty count in the denominator)."""
-    total = recon.agg(count_true(F.col("is_break"))).scalar()
-    top3 = counterparty_break_counts(recon).orderBy(F.desc("breaks"), F.asc("counterparty")).limit(3)
+    total = totals(cube).select("breaks").scalar()
+    top3 = counterparty_break_counts(cube).orderBy(F.desc("breaks"), F.asc("counterparty")).limit(3)
     return top3.agg(
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(
             (-F.col("breaks")).alias("nb"), F.col("counterparty").alias("cp")))), lambda s: s["cp"]),
@@ -159,32 +154,29 @@ def top3_concentration(recon: DataFrame) -> DataFrame:
              pct(F.col("top3_breaks"), total).alias("top3_share_pct"))
 
 
-def modal_trade_type(recon: DataFrame) -> DataFrame:
+def modal_trade_type(cube: DataFrame) -> DataFrame:
     """Trade type with the most breaks."""
-    return (breaks_only(recon).where(F.col("trade_type").isNotNull())
-            .groupBy("trade_type").agg(F.count(F.lit(1)).alias("breaks"))
+    return (_with_breaks(cube, "trade_type").select(F.col("key").alias("trade_type"), "breaks")
             .orderBy(F.desc("breaks"), F.asc("trade_type")).limit(1))
 
 
-def breaks_by_weekday(recon: DataFrame) -> DataFrame:
+def breaks_by_weekday(cube: DataFrame) -> DataFrame:
     """Breaks per weekday name of the trade date."""
-    return (breaks_only(recon).where(F.col("trade_date_dt").isNotNull())
-            .groupBy(F.date_format("trade_date_dt", "EEEE").alias("weekday"))
-            .agg(F.count(F.lit(1)).alias("breaks")))
+    return _with_breaks(cube, "weekday").select(F.col("key").alias("weekday"), "breaks")
 
 
-def counterparty_share(recon: DataFrame) -> DataFrame:
+def counterparty_share(cube: DataFrame) -> DataFrame:
     """Each counterparty's share of the breaks that have one."""
-    counts = counterparty_break_counts(recon)
+    counts = counterparty_break_counts(cube)
     total = counts.agg(F.sum("breaks")).scalar()
     return counts.select("counterparty", "breaks", pct(F.col("breaks"), total).alias("share_pct"))
 
 
-def feed_counts(feeds, recon: DataFrame) -> DataFrame:
+def feed_counts(feeds, cube: DataFrame) -> DataFrame:
     """S3: rows per feed and after the join."""
     parts = [df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("feed"), "rows")
              for name, df in feeds.as_dict().items()]
-    parts.append(recon.agg(F.count(F.lit(1)).alias("rows")).select(F.lit("reconciled").alias("feed"), "rows"))
+    parts.append(totals(cube).select(F.lit("reconciled").alias("feed"), "rows"))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

@@ -63,8 +63,7 @@ def break_rate_spikes(daily: DataFrame, cfg: ReconConfig) -> DataFrame:
     The threshold is a scalar subquery (evaluated once, planned as a
     literal), not a join of the stats row onto every day."""
     stats = break_rate_stats(daily, cfg)
-    threshold = stats.select("threshold").scalar()
-    mean = stats.select("mean_rate").scalar()
-    return (daily.where(F.col("break_rate") > threshold)
-            .select("trade_date_str", "break_rate", threshold.alias("threshold"),
-                    mean.alias("mean_rate")))
+    s = stats.select(F.struct("threshold", "mean_rate")).scalar()
+    return (daily.where(F.col("break_rate") > s["threshold"])
+            .select("trade_date_str", "break_rate", s["threshold"].alias("threshold"),
+                    s["mean_rate"].alias("mean_rate")))

@@ -25,6 +25,8 @@ from pyspark.sql import DataFrame, SparkSession
 from .. import schemas
 from ..config import ReconConfig
 from ..operators import aging, breaks, reconcile, summaries
+from ..operators.cube import break_cube
+from ..session import ensure_checkpoint_dir
 from ..sources.feeds import Feeds
 
 
@@ -43,6 +45,7 @@ class ReconContext:
         self.feeds = feeds
         self.cfg = cfg or ReconConfig()
         self._recon: DataFrame | None = None
+        self._cube: DataFrame | None = None
 
     # -- row level ----------------------------------------------------------
     @cached_property
@@ -71,24 +74,48 @@ class ReconContext:
         return summaries.breaks_only(self.report)
 
     # -- shared aggregates -----------------------------------------------------
+    @property
+    def cube(self) -> DataFrame:
+        """All one-key aggregates from one pass over the rows (see
+        operators.cube), written once on first use.
+
+        Its size is bounded by the dimensions (days, counterparties, labels,
+        ...), not by the number of trades, so writing it once is cheap.  The
+        checkpoint goes to the session's shared ``spark.checkpoint.dir`` and
+        cuts the lineage: every summary, alert and insight of this context
+        plans against a few-KB table instead of the whole derive-join-classify
+        plan, and a lost executor costs a re-read, not a re-join.  One
+        partition: each downstream job over it is a single task."""
+        if self._cube is None:
+            root = ensure_checkpoint_dir(self.spark).rstrip("/")
+            path = f"{root}/settlekit-cube-{uuid.uuid4().hex}"
+            # a written table rather than Dataset.checkpoint(): one job, where
+            # a reliable RDD checkpoint recomputes the lineage to write it
+            break_cube(self.recon, self.cfg).coalesce(1).write.parquet(path)
+            self._cube = self.spark.read.parquet(path)
+        return self._cube
+
     @property
     def daily(self) -> DataFrame:
-        return summaries.daily_break_trend(self.recon)
+        return summaries.daily_break_trend(self.cube)
 
     @property
     def counterparty_summary(self) -> DataFrame:
-        return summaries.counterparty_summary(self.recon)
+        return summaries.counterparty_summary(self.cube)
 
     # -- reuse ---------------------------------------------------------------
     def persist(self, level: StorageLevel = StorageLevel.MEMORY_AND_DISK) -> "ReconContext":
         self._recon = self.recon.persist(level)
+        self._cube = None
         return self
 
     def materialize(self, path: str | None = None) -> "ReconContext":
         """Write the classified rows as parquet and continue from the files."""
         if path is None:
-            path = f"{checkpoint_root(self.spark).rstrip('/')}/settlekit-recon-{uuid.uuid4().hex}"
+            root = ensure_checkpoint_dir(self.spark).rstrip("/")
+            path = f"{root}/settlekit-recon-{uuid.uuid4().hex}"
         self.recon.write.mode("overwrite").parquet(path)
         self._recon = self.spark.read.parquet(path)
+        self._cube = None
         self.materialized_path = path
         return self

@@ -19,6 +19,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
              .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
              .config("spark.sql.adaptive.enabled", "true")
              .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
+             # merge small shuffle partitions by size, not up to the core count
+             .config("spark.sql.adaptive.coalescePartitions.parallelismFirst", "false")
              .config("spark.sql.session.timeZone", "UTC")
              .config("spark.driver.memory", "8g")
              .getOrCreate())
@@ -28,10 +30,16 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the session's checkpoint dir; only when none is set (local runs,
-    tests) create a scratch one."""
-    d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not d:
+    """Use the session's checkpoint dir (``spark.checkpoint.dir``, the shared
+    folder a cluster names); only when none is set -- local runs, tests --
+    create a scratch one."""
+    d = spark.sparkContext.getCheckpointDir()
+    if d:
+        return d
+    d = spark.conf.get("spark.checkpoint.dir", None)
+    if d:
+        spark.sparkContext.setCheckpointDir(d)
+    else:
         d = tempfile.mkdtemp(prefix="settlekit-ckpt-")
         spark.sparkContext.setCheckpointDir(d)
         d = spark.sparkContext.getCheckpointDir()

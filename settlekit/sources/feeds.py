@@ -71,6 +71,14 @@ def read_feeds(spark: SparkSession, internal: str, custodian: str, exchange: str
 # hashes -- so the same rows can be rebuilt by the SQL oracle.
 # ---------------------------------------------------------------------------
 
+def _zpad(expr: str, width: int) -> str:
+    """SQL text: non-negative integer zero-padded to at least `width` digits
+    (printf '%0Nd'; plain lpad would truncate longer numbers).  Cheaper per
+    row than format_string, which goes through java.util.Formatter."""
+    return (f"CASE WHEN ({expr}) < {10 ** width} THEN lpad(CAST({expr} AS STRING), {width}, '0') "
+            f"ELSE CAST({expr} AS STRING) END")
+
+
 def _pick(key: str, labels: tuple[str, ...]) -> str:
     """SQL text for labels[key % len(labels)]."""
     whens = " ".join(f"WHEN {i} THEN '{v}'" for i, v in enumerate(labels))
@@ -83,15 +91,19 @@ def derive_base(spark: SparkSession, sf_dir: str) -> DataFrame:
     customer = spark.read.parquet(f"{sf_dir}/customer.parquet").select("c_custkey", "c_nationkey")
     # nation has 25 rows by the TPC-H specification: a fixed-size dimension.
     nation = spark.read.parquet(f"{sf_dir}/nation.parquet").select("n_nationkey", "n_name")
-    cust = customer.join(F.broadcast(nation), customer.c_nationkey == nation.n_nationkey, "left")
-    joined = orders.join(cust, orders.o_custkey == cust.c_custkey, "left")
+    # orders -> customer first: customer's own scan size is what Catalyst
+    # checks against the broadcast threshold (a customer-nation join on that
+    # side would be estimated as the product of both sizes and force a
+    # sort-merge join at every scale).  At scale this is a shuffle join.
+    joined = (orders.join(customer, orders.o_custkey == customer.c_custkey, "left")
+              .join(F.broadcast(nation), F.col("c_nationkey") == nation.n_nationkey, "left"))
     return joined.selectExpr(
         "o_orderkey AS k",
         "o_orderkey % 101 AS m",
-        "CASE WHEN o_orderkey IS NOT NULL THEN format_string('TRD-%07d', o_orderkey) END AS trade_id",
+        f"concat('TRD-', {_zpad('o_orderkey', 7)}) AS trade_id",
         "CAST(o_orderdate AS DATE) AS trade_date",
         "date_add(CAST(o_orderdate AS DATE), 2) AS settlement_date",
-        "format_string('TKR%02d', o_orderkey % 25) AS ticker",
+        f"concat('TKR', {_zpad('o_orderkey % 25', 2)}) AS ticker",
         "o_orderpriority AS trade_type",
         "CAST(100 * (1 + o_orderkey % 7) AS BIGINT) AS quantity",
         "CAST(floor(o_totalprice * 100 / (100 * (1 + o_orderkey % 7))) AS DOUBLE) / 100 AS price",
@@ -110,9 +122,10 @@ def derive_feeds(spark: SparkSession, sf_dir: str) -> Feeds:
         "trade_id", "trade_date", "settlement_date", "ticker", "trade_type",
         "quantity", "price", "counterparty", "currency", NOTIONAL,
         "'internal' AS source",
-        "format_string('TR%03d', k % 40) AS trader_id",
+        f"concat('TR', {_zpad('k % 40', 3)}) AS trader_id",
         f"{_pick('k', ('Cash Equities', 'Program Trading', 'Equity Derivatives'))} AS desk",
-        "format_string('%02d:%02d:%02d', 9 + k % 8, (k * 7) % 60, (k * 13) % 60) AS booking_time",
+        f"concat_ws(':', {_zpad('9 + k % 8', 2)}, {_zpad('(k * 7) % 60', 2)}, "
+        f"{_zpad('(k * 13) % 60', 2)}) AS booking_time",
     )
 
     custodian = base.where("m <> 41").selectExpr(
@@ -131,7 +144,7 @@ def derive_feeds(spark: SparkSession, sf_dir: str) -> Feeds:
     ).selectExpr(
         "trade_id", "trade_date", "settlement_date", "ticker", "trade_type", "quantity",
         "price", "counterparty", "currency", NOTIONAL, "'custodian' AS source",
-        "format_string('CUS-%08d', k) AS custodian_ref", "settlement_status",
+        f"concat('CUS-', {_zpad('k', 8)}) AS custodian_ref", "settlement_status",
     )
 
     exchange = base.where("m <> 42").selectExpr(
@@ -140,7 +153,7 @@ def derive_feeds(spark: SparkSession, sf_dir: str) -> Feeds:
     ).selectExpr(
         "trade_id", "trade_date", "ticker", "trade_type", "quantity", "price", "currency",
         NOTIONAL, "'exchange' AS source",
-        "format_string('EXC-%08d', k) AS exchange_ref",
+        f"concat('EXC-', {_zpad('k', 8)}) AS exchange_ref",
         f"{_pick('k', ('NYSE', 'NASDAQ', 'TSX'))} AS exchange",
         f"{_pick('k', ('LIT', 'DARK', 'AUCTION', 'BLOCK'))} AS execution_venue",
     )

@@ -50,19 +50,19 @@ def write_text(df: DataFrame, path: str, mode: str = "overwrite") -> str:
 def write_all(ctx: ReconContext, out_dir: str, fmt: str = "parquet") -> dict[str, str]:
     """Every output of a run, the way the reference lays them out."""
     out_dir = out_dir.rstrip("/")
-    recon, cfg = ctx.recon, ctx.cfg
+    cube, cfg = ctx.cube, ctx.cfg
     paths = {
         "reconciliation_report": write_rows(ctx.report, f"{out_dir}/reconciliation_report", fmt),
         "settlement_breaks": write_rows(ctx.settlement_breaks, f"{out_dir}/settlement_breaks", fmt),
         "counterparty_summary": write_small_csv(ctx.counterparty_summary,
                                                 f"{out_dir}/counterparty_summary"),
-        "trade_type_summary": write_small_csv(summaries.trade_type_summary(recon),
+        "trade_type_summary": write_small_csv(summaries.trade_type_summary(cube),
                                               f"{out_dir}/trade_type_summary"),
         "daily_break_trend": write_small_csv(ctx.daily, f"{out_dir}/daily_break_trend"),
-        "aging_summary": write_small_csv(summaries.aging_summary(recon), f"{out_dir}/aging_summary"),
-        "anomaly_alerts": write_json_lines(alerts.anomaly_alerts(recon, ctx.daily, cfg),
+        "aging_summary": write_small_csv(summaries.aging_summary(cube), f"{out_dir}/aging_summary"),
+        "anomaly_alerts": write_json_lines(alerts.anomaly_alerts(cube, ctx.daily, cfg),
                                            f"{out_dir}/anomaly_alerts"),
-        "knowledge_base": write_text(insights.kb_document(recon, ctx.daily,
+        "knowledge_base": write_text(insights.kb_document(cube, ctx.daily,
                                                           ctx.counterparty_summary, cfg),
                                      f"{out_dir}/knowledge_base"),
     }

@@ -17,14 +17,14 @@ def test_feed_and_join_counts(ctx01):
 
 
 def test_kpis(ctx01):
-    k = summaries.kpis(ctx01.recon).first()
+    k = summaries.kpis(ctx01.cube).first()
     assert (k.total_trades, k.total_breaks) == (15000, 3145)
     assert round(k.match_rate, 4) == 79.0333
     assert k.total_break_value == 754869433.0
 
 
 def test_labels_and_types(ctx01):
-    types = _d(summaries.type_counts(ctx01.recon), "break_type", "count")
+    types = _d(summaries.type_counts(ctx01.cube), "break_type", "count")
     assert types == {"SETTLEMENT_FAILED": 1639, "QUANTITY_MISMATCH": 596, "PRICE_MISMATCH": 321,
                      "DATE_MISMATCH": 298, "EXCHANGE_QTY_MISMATCH": 298,
                      "COUNTERPARTY_MISMATCH": 291}
@@ -40,7 +40,7 @@ def test_status_and_aging(ctx01):
     st = _d(ctx01.recon.groupBy("settlement_status").count(), "settlement_status", "count")
     assert st == {"Matched": 11722, "Failed": 1639, "Unmatched": 745, "Partial Match": 447,
                   "Pending": 298, None: 149}
-    ag = _d(summaries.aging_summary(ctx01.recon), "aging_bucket", "count")
+    ag = _d(summaries.aging_summary(ctx01.cube), "aging_bucket", "count")
     # count(trade_id): every row has a key here
     assert ag == {"T+0 to T+1": 3, "T+2 to T+3": 3, "4-7 days": 9, "8-30 days": 38,
                   "31-90 days": 66, "90+ days": 2877, "Unknown": 149}
@@ -55,10 +55,10 @@ def test_orphans_without_internal_leg(ctx01):
 
 def test_trade_types_weekday(ctx01):
     tt = {r.trade_type: (r.total_trades, r.breaks)
-          for r in summaries.trade_type_summary(ctx01.recon).collect()}
+          for r in summaries.trade_type_summary(ctx01.cube).collect()}
     assert tt == {"1-URGENT": (2923, 551), "2-HIGH": (2946, 619), "3-MEDIUM": (2937, 619),
                   "4-NOT SPECIFIED": (2964, 619), "5-LOW": (2932, 588)}
-    wd = summaries.breaks_by_weekday(ctx01.recon).orderBy(F.desc("breaks")).first()
+    wd = summaries.breaks_by_weekday(ctx01.cube).orderBy(F.desc("breaks")).first()
     assert (wd.weekday, wd.breaks) == ("Friday", 468)
 
 
@@ -74,10 +74,10 @@ def test_daily_stats_and_trend(ctx01):
 
 
 def test_alert_facts(ctx01):
-    f = alerts.break_alert_facts(ctx01.recon, ctx01.cfg).first()
+    f = alerts.break_alert_facts(ctx01.cube, ctx01.cfg).first()
     assert (f.high_value_count, f.high_value_total) == (632, 284230442.0)
     assert (f.aged_count, f.aged_value) == (2943, 741205539.0)
-    conc = alerts.counterparty_concentration(ctx01.recon, ctx01.cfg).orderBy(F.desc("share_pct"))
+    conc = alerts.counterparty_concentration(ctx01.cube, ctx01.cfg).orderBy(F.desc("share_pct"))
     rows = conc.collect()
     assert len(rows) == 8
     assert (rows[0].counterparty, rows[0].breaks) == ("NATION_11", 154)
@@ -89,16 +89,16 @@ def test_summaries_add_up(ctx01):
     internal leg (they have no counterparty, type or date)."""
     recon = ctx01.recon
     orphan_breaks = recon.where("is_break AND counterparty_int IS NULL").count()
-    cs = summaries.counterparty_summary(recon).agg(F.sum("total_trades"), F.sum("breaks")).first()
-    tt = summaries.trade_type_summary(recon).agg(F.sum("total_trades"), F.sum("breaks")).first()
+    cs = summaries.counterparty_summary(ctx01.cube).agg(F.sum("total_trades"), F.sum("breaks")).first()
+    tt = summaries.trade_type_summary(ctx01.cube).agg(F.sum("total_trades"), F.sum("breaks")).first()
     dd = ctx01.daily.agg(F.sum("total_trades"), F.sum("breaks"), F.sum("break_value")).first()
-    ag = summaries.aging_summary(recon).agg(F.sum("count"), F.sum("total_value")).first()
+    ag = summaries.aging_summary(ctx01.cube).agg(F.sum("count"), F.sum("total_value")).first()
     assert tuple(cs) == tuple(tt) == tuple(dd)[:2] == (15000 - 298, 3145 - orphan_breaks)
     assert ag[0] == 3145 and ag[1] == dd[2] == 754869433.0
 
 
 def test_shares_sum_to_100(ctx01):
-    s = summaries.type_distribution(ctx01.recon).agg(F.sum("instance_share_pct")).first()[0]
+    s = summaries.type_distribution(ctx01.cube).agg(F.sum("instance_share_pct")).first()[0]
     assert abs(s - 100.0) < 1e-9
-    s = summaries.counterparty_share(ctx01.recon).agg(F.sum("share_pct")).first()[0]
+    s = summaries.counterparty_share(ctx01.cube).agg(F.sum("share_pct")).first()[0]
     assert abs(s - 100.0) < 1e-9
