@@ -33,6 +33,9 @@ class ReconConfig:
     # how the three feeds are joined: "keys" (one shuffle per feed, see
     # operators.reconcile) or "chain" (two chained full outer joins)
     strategy: str = "keys"
+    # duplicated trade_ids inside a feed: "align" the k-th copies (linear) or
+    # "multiply" them like the reference's pandas merge (quadratic per key)
+    duplicates: str = "align"
     # extra options passed to DataFrameWriter in the sinks
     writer_options: dict = field(default_factory=dict)
 
@@ -46,4 +49,4 @@ class ReconConfig:
     def __hash__(self) -> int:  # writer_options is a dict; hash the rest
         return hash((self.as_of, self.report_date, self.price_tol, self.qty_tol,
                      self.high_value, self.sigma, self.concentration_pct,
-                     self.failed_min, self.strategy))
+                     self.failed_min, self.strategy, self.duplicates))

@@ -19,11 +19,27 @@ Rows whose ``trade_id`` is NULL never match anything (SQL equality, not the
 pandas null-equals-null rule: matching nulls would emit all pairs among
 them).  They are kept as one-legged rows and are appended without any
 shuffle, so a feed full of null keys does not create a hot partition.
+
+Duplicated keys (``duplicates=``):
+
+* ``"align"`` (default).  The copies of a key inside each feed are numbered
+  1..n in content order and the k-th copies are matched with each other
+  (join on ``trade_id, seq``).  Every input row appears in exactly one
+  output row, so a key held by a third of all rows cannot explode into the
+  product of its copies.  Numbering is distributed: rows of duplicated keys
+  are range-partitioned on (trade_id, content), which splits a hot key over
+  many tasks; each task numbers its slice and per-slice offsets (one row per
+  key and slice) are added back.  Whether any key is duplicated is checked
+  first (one pass over the three key columns); unique-key feeds take the
+  plain plan.  The duplicated-key set is broadcast only below
+  ``broadcast_limit`` keys, else the split is a shuffle join.
+* ``"multiply"``.  The reference's many-to-many product, for parity on
+  trusted data; quadratic in the copies of a key.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import schemas
@@ -50,38 +66,96 @@ def internal_vs_custodian(feeds: Feeds) -> DataFrame:
         *[F.col(n) for n in cols[1:]])
 
 
-def _keys_strategy(i: DataFrame, c: DataFrame, e: DataFrame) -> DataFrame:
+def _keys_strategy(i: DataFrame, c: DataFrame, e: DataFrame, on: list[str]) -> DataFrame:
     tid = F.col("trade_id")
-    keys = (i.select(tid).unionByName(c.select(tid)).unionByName(e.select(tid))
+    keys = (i.select(*on).unionByName(c.select(*on)).unionByName(e.select(*on))
             .where(tid.isNotNull()).distinct())
     keyed = (keys
-             .join(i.where(tid.isNotNull()), "trade_id", "left")
-             .join(c.where(tid.isNotNull()), "trade_id", "left")
-             .join(e.where(tid.isNotNull()), "trade_id", "left"))
+             .join(i.where(tid.isNotNull()), on, "left")
+             .join(c.where(tid.isNotNull()), on, "left")
+             .join(e.where(tid.isNotNull()), on, "left"))
     orphans = (i.where(tid.isNull())
                .unionByName(c.where(tid.isNull()), allowMissingColumns=True)
                .unionByName(e.where(tid.isNull()), allowMissingColumns=True))
     return keyed.unionByName(orphans, allowMissingColumns=True)
 
 
-def _chain_strategy(i: DataFrame, c: DataFrame, e: DataFrame) -> DataFrame:
-    ic = i.alias("i").join(c.alias("c"), F.col("i.trade_id") == F.col("c.trade_id"), "full_outer")
-    ic = ic.select(F.coalesce(F.col("i.trade_id"), F.col("c.trade_id")).alias("trade_id"),
+def _chain_strategy(i: DataFrame, c: DataFrame, e: DataFrame, on: list[str]) -> DataFrame:
+    def cond(a: str, b: str):
+        out = None
+        for k in on:
+            x = F.col(f"{a}.{k}") == F.col(f"{b}.{k}")
+            out = x if out is None else out & x
+        return out
+
+    def merged(a: str, b: str):
+        return [F.coalesce(F.col(f"{a}.{k}"), F.col(f"{b}.{k}")).alias(k) for k in on]
+
+    ic = i.alias("i").join(c.alias("c"), cond("i", "c"), "full_outer")
+    ic = ic.select(*merged("i", "c"),
                    *[F.col(f"i.{n}") for _, n in schemas.INTERNAL_LEG[1:]],
                    *[F.col(f"c.{n}") for _, n in schemas.CUSTODIAN_LEG[1:]])
-    ice = ic.alias("ic").join(e.alias("e"), F.col("ic.trade_id") == F.col("e.trade_id"), "full_outer")
-    return ice.select(F.coalesce(F.col("ic.trade_id"), F.col("e.trade_id")).alias("trade_id"),
-                      *[F.col(f"ic.{n}") for n in ic.columns[1:]],
+    ice = ic.alias("ic").join(e.alias("e"), cond("ic", "e"), "full_outer")
+    return ice.select(*merged("ic", "e"),
+                      *[F.col(f"ic.{n}") for n in ic.columns if n not in on],
                       *[F.col(f"e.{n}") for _, n in schemas.EXCHANGE_LEG[1:]])
 
 
-def three_way(feeds: Feeds, strategy: str = "keys") -> DataFrame:
+def duplicated_keys(i: DataFrame, c: DataFrame, e: DataFrame) -> DataFrame:
+    """Keys held by more than one row of the same feed (partial aggregation
+    on the map side, so a hot key is one row per task before the shuffle)."""
+    tagged = (i.select("trade_id", F.lit(0).alias("feed"))
+              .unionByName(c.select("trade_id", F.lit(1).alias("feed")))
+              .unionByName(e.select("trade_id", F.lit(2).alias("feed"))))
+    return (tagged.where(F.col("trade_id").isNotNull())
+            .groupBy("trade_id", "feed").agg(F.count(F.lit(1)).alias("n"))
+            .where(F.col("n") > 1).select("trade_id").distinct())
+
+
+def number_copies(df: DataFrame, dup: DataFrame, parts: int, broadcast_dup: bool) -> DataFrame:
+    """Adds ``seq``: 1 for keys with one copy, 1..n in content order for
+    the copies of a duplicated key -- computed without putting all copies
+    of a key in one task."""
+    dup = F.broadcast(dup) if broadcast_dup else dup
+    single = df.join(dup, "trade_id", "left_anti").withColumn("seq", F.lit(1).cast("long"))
+    content = [col for col in df.columns if col != "trade_id"]
+    order = ["trade_id", *content]
+    ranged = (df.join(dup, "trade_id", "left_semi")
+              .repartitionByRange(parts, *order).sortWithinPartitions(*order)
+              .withColumn("_mid", F.monotonically_increasing_id()))
+    ranged = ranged.withColumn("_slice", F.shiftright("_mid", 33))
+    # one row per (key, slice): bounded by the number of partitions per key
+    slices = ranged.groupBy("trade_id", "_slice").agg(F.count(F.lit(1)).alias("_n"),
+                                                      F.min("_mid").alias("_lo"))
+    before = Window.partitionBy("trade_id").orderBy("_slice").rowsBetween(
+        Window.unboundedPreceding, -1)
+    slices = slices.withColumn("_off", F.coalesce(F.sum("_n").over(before), F.lit(0)))
+    numbered = (ranged.join(slices, ["trade_id", "_slice"])
+                .withColumn("seq", (F.col("_off") + F.col("_mid") - F.col("_lo") + 1).cast("long"))
+                .select(*df.columns, "seq"))
+    return single.unionByName(numbered)
+
+
+def three_way(feeds: Feeds, strategy: str = "keys", duplicates: str = "align",
+              broadcast_limit: int = 1_000_000) -> DataFrame:
     """J1 + J2: the 26 joined columns of the reconciliation report."""
     i, c, e = legs(feeds)
+    on = ["trade_id"]
+    if duplicates == "align":
+        dup = duplicated_keys(i, c, e)
+        n_dup = dup.count()  # one pass over the key columns
+        if n_dup:
+            spark = i.sparkSession
+            parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+            small = n_dup <= broadcast_limit
+            i, c, e = (number_copies(x, dup, parts, small) for x in (i, c, e))
+            on = ["trade_id", "seq"]
+    elif duplicates != "multiply":
+        raise ValueError(f"unknown duplicates policy {duplicates!r}")
     if strategy == "keys":
-        out = _keys_strategy(i, c, e)
+        out = _keys_strategy(i, c, e, on)
     elif strategy == "chain":
-        out = _chain_strategy(i, c, e)
+        out = _chain_strategy(i, c, e, on)
     else:
         raise ValueError(f"unknown join strategy {strategy!r}")
     return out.select(*schemas.JOINED_COLUMNS)

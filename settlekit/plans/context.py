@@ -51,7 +51,7 @@ class ReconContext:
     @cached_property
     def joined(self) -> DataFrame:
         """J1 + J2: 26 joined columns."""
-        return reconcile.three_way(self.feeds, self.cfg.strategy)
+        return reconcile.three_way(self.feeds, self.cfg.strategy, self.cfg.duplicates)
 
     @property
     def recon(self) -> DataFrame:

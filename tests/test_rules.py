@@ -101,16 +101,42 @@ def test_null_keys_never_match_and_are_kept(spark):
         assert df.where("is_break").count() == 1
 
 
-def test_duplicate_keys_multiply(spark):
-    feeds = dict(internal=[internal_row("D", qty=1), internal_row("D", qty=2)],
+DUP_FEEDS = dict(internal=[internal_row("D", qty=1), internal_row("D", qty=2)],
                  custodian=[custodian_row("D", qty=1), custodian_row("D", qty=3),
                             custodian_row("D", qty=4)],
                  exchange=[exchange_row("D", qty=1), exchange_row("D", qty=2)])
+
+
+def test_duplicate_keys_multiply_like_the_reference(spark):
+    cfg = CFG.with_(duplicates="multiply")
     for strategy in ("keys", "chain"):
-        df = _recon(spark, strategy=strategy, **feeds)
+        df = _recon(spark, cfg, strategy=strategy, **DUP_FEEDS)
         assert df.count() == 2 * 3 * 2, strategy
 
 
+def test_duplicate_keys_align_copies(spark):
+    for strategy in ("keys", "chain"):
+        rows = sorted((r.quantity_int or 0, r.quantity_cust or 0, r.quantity_exch or 0)
+                      for r in _recon(spark, strategy=strategy, **DUP_FEEDS).collect())
+        # the k-th copies (in content order) meet; every input row used once
+        assert rows == [(0, 4, 0), (1, 1, 1), (2, 3, 2)], strategy
+
+
+def test_align_spreads_a_hot_key(spark):
+    """One key holding most rows: numbered over many slices, matched 1:1."""
+    n = 3000
+    internal = [internal_row("HOT", qty=q) for q in range(n)] + [internal_row("U1")]
+    custodian = [custodian_row("HOT", qty=q) for q in range(n)] + [custodian_row("U1")]
+    exchange = [exchange_row("HOT", qty=q) for q in range(0, n, 2)]
+    df = _recon(spark, **dict(internal=internal, custodian=custodian, exchange=exchange))
+    assert df.count() == n + 1
+    assert df.where("quantity_int <> quantity_cust").count() == 0
+    # exchange copies are the even quantities; aligned by rank they meet
+    # internal copies 0..n/2-1, so only quantity 0 agrees
+    assert df.where("quantity_exch IS NOT NULL").count() == n // 2
+    assert df.where("is_break").count() == n // 2 - 1
+
+
 def test_strategies_agree_on_mixed_fixture(spark):
     feeds = dict(
         internal=[internal_row("A"), internal_row("B", qty=5), internal_row(None),
