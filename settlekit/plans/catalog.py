@@ -16,7 +16,10 @@ from pyspark.sql import functions as F
 from .. import schemas
 from ..config import ReconConfig
 from ..operators import alerts, breaks, insights, reconcile, summaries, trend
-from ..sources.feeds import derive_feeds
+import uuid
+
+from ..session import ensure_checkpoint_dir
+from ..sources.feeds import Feeds, derive_feeds, land_feeds
 from .context import ReconContext
 
 # Parameters for the feeds derived from orders/customer/nation: as_of is the
@@ -31,9 +34,24 @@ DERIVED_FEED_CONFIG = ReconConfig(
 )
 
 
+_LANDED: dict[tuple, Feeds] = {}
+
+
+def landed_feeds(spark: SparkSession, sf_dir: str) -> Feeds:
+    """The feeds derived from sf_dir, written once per application under
+    the session's checkpoint dir and read back from there."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    feeds = _LANDED.get(key)
+    if feeds is None:
+        root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/settlekit-feeds-{uuid.uuid4().hex}"
+        feeds = land_feeds(spark, derive_feeds(spark, sf_dir), root)
+        _LANDED[key] = feeds
+    return feeds
+
+
 def context_for(spark: SparkSession, sf_dir: str, cfg: ReconConfig | None = None) -> ReconContext:
-    """A fresh, unpersisted context over the feeds derived from sf_dir."""
-    return ReconContext(spark, derive_feeds(spark, sf_dir), cfg or DERIVED_FEED_CONFIG)
+    """A fresh, unpersisted context over the (landed) feeds derived from sf_dir."""
+    return ReconContext(spark, landed_feeds(spark, sf_dir), cfg or DERIVED_FEED_CONFIG)
 
 
 _SHARED: dict[tuple, ReconContext] = {}
