@@ -225,16 +225,26 @@ def _ordered_map(df: DataFrame, order: list[Column], key: Column, value: Column)
 
 
 def kb_document(cube: DataFrame, daily: DataFrame, cs: DataFrame, cfg: ReconConfig) -> DataFrame:
-    """The whole knowledge base as one JSON document (one row)."""
+    """The whole knowledge base as one JSON document (one row).
+
+    Numbers are written as decimals at their rounding scale (rates and
+    shares 1 dp, money 2 dp / 0 dp), so the text is plain fixed-point and
+    independent of how a JSON writer prints doubles."""
     ov = kb_overview(cube, cfg)
     bt = kb_break_types(cube)
     top = kb_top_counterparties(cs)
     faq = kb_faq(cube, daily, cs, cfg)
-    overview = ov.select(F.struct(*ov.columns)).scalar()
+    overview = ov.select(F.struct(
+        "total_trades", "total_breaks", F.col("match_rate").cast("decimal(6,1)").alias("match_rate"),
+        F.col("total_break_value").cast("decimal(20,2)").alias("total_break_value"),
+        "report_date")).scalar()
     types_map = _ordered_map(bt, [-F.col("count"), F.col("break_type")], F.col("break_type"),
-                             F.struct("count", "percentage"))
+                             F.struct("count", F.col("percentage").cast("decimal(6,1)")
+                                      .alias("percentage")))
     cp_map = _ordered_map(top, [-F.col("breaks"), F.col("counterparty")], F.col("counterparty"),
-                          F.struct("total_trades", "breaks", "match_rate", "break_value"))
+                          F.struct("total_trades", "breaks",
+                                   F.col("match_rate").cast("decimal(6,1)").alias("match_rate"),
+                                   F.col("break_value").cast("decimal(20,0)").alias("break_value")))
     faq_arr = faq.agg(F.transform(
         F.array_sort(F.collect_list(F.struct("faq_rank", "question", "answer"))),
         lambda s: F.struct(s["question"].alias("question"), s["answer"].alias("answer")))).scalar()

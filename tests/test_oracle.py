@@ -21,8 +21,8 @@ def test_query_matches_oracle(spark, con, name):
     assert ok, msg
 
 
-def test_every_query_but_the_json_document_has_an_oracle():
-    assert set(entry.queries()) - set(SQLS) == {"kb_document"}
+def test_every_query_has_an_oracle():
+    assert set(entry.queries()) == set(SQLS)
 
 
 def test_entry_smoke(spark):

@@ -214,6 +214,7 @@ def test_alert_order_and_kb_document(spark):
     assert doc["overview"] == {"total_trades": 150, "total_breaks": 150, "match_rate": 0.0,
                                "total_break_value": 150 * 200000 * 10.0,
                                "report_date": "2026-01-02"}
+    assert doc["counterparty_breaks"]["CP0"]["break_value"] == 50 * 200000 * 10
     assert list(doc["break_types"]) == ["settlement_failed"]
     assert list(doc["counterparty_breaks"]) == ["CP0", "CP1", "CP2"]
     assert len(doc["faq_pairs"]) == 6
