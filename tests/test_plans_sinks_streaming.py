@@ -29,7 +29,17 @@ def test_no_python_in_plans(spark, name):
         assert marker not in plan, (name, marker)
 
 
-def test_keys_strategy_shuffles_each_feed_once(spark):
+@pytest.fixture
+def no_auto_broadcast(spark):
+    """The at-scale plan: tiny test feeds would otherwise pass Catalyst's
+    broadcast size check."""
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_keys_strategy_shuffles_each_feed_once(spark, no_auto_broadcast):
     ctx = catalog.context_for(spark, SF001)
     plan = _plan(ctx.joined)
     smj = [ln for ln in plan.splitlines() if "SortMergeJoin" in ln]
