@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 
 from ..config import ReconConfig
 from ..functions import labels as L
-from ..functions.numeric import half_even, pct
+from ..functions.numeric import half_even
 from . import alerts as A
 from . import summaries as S
 from . import trend

@@ -30,15 +30,6 @@ from ..session import ensure_checkpoint_dir
 from ..sources.feeds import Feeds
 
 
-def checkpoint_root(spark: SparkSession) -> str:
-    """The shared checkpoint folder named by the session.  Raises when unset:
-    a machine-local fallback would not be visible to other executors."""
-    d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not d:
-        raise RuntimeError("spark.checkpoint.dir is not set; set it to a shared folder")
-    return d
-
-
 class ReconContext:
     def __init__(self, spark: SparkSession, feeds: Feeds, cfg: ReconConfig | None = None):
         self.spark = spark

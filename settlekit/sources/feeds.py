@@ -71,9 +71,14 @@ def land_feeds(spark: SparkSession, feeds: Feeds, root: str) -> Feeds:
     the reference makes between generating and reconciling feeds.  Later
     plans start from file scans: small plans, column pruning for key-only
     reads, and ``IS NULL`` key filters answered from parquet statistics."""
+    from concurrent.futures import ThreadPoolExecutor
+
     root = root.rstrip("/")
-    for name, df in feeds.as_dict().items():
-        df.write.mode("overwrite").parquet(f"{root}/{name}")
+    # three independent jobs: submit them together so their tasks share the
+    # cluster instead of running one after the other
+    with ThreadPoolExecutor(max_workers=3) as pool:
+        list(pool.map(lambda kv: kv[1].write.mode("overwrite").parquet(f"{root}/{kv[0]}"),
+                      feeds.as_dict().items()))
     return read_feeds(spark, f"{root}/internal", f"{root}/custodian", f"{root}/exchange")
 
 
