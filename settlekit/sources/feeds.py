@@ -103,11 +103,16 @@ def _pick(key: str, labels: tuple[str, ...]) -> str:
 
 
 def derive_base(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = spark.read.parquet(f"{sf_dir}/orders.parquet").select(
-        "o_orderkey", "o_custkey", "o_totalprice", "o_orderdate", "o_orderpriority")
-    customer = spark.read.parquet(f"{sf_dir}/customer.parquet").select("c_custkey", "c_nationkey")
+    # Explicit read schemas: o_orderdate is a wall-clock timestamp (parquet
+    # isAdjustedToUTC=false); reading it as timestamp_ntz keeps the trade
+    # date independent of the session time zone and of schema inference.
+    orders = spark.read.schema(
+        "o_orderkey BIGINT, o_custkey BIGINT, o_totalprice DOUBLE, o_orderdate TIMESTAMP_NTZ, "
+        "o_orderpriority STRING").parquet(f"{sf_dir}/orders.parquet")
+    customer = spark.read.schema("c_custkey BIGINT, c_nationkey INT").parquet(
+        f"{sf_dir}/customer.parquet")
     # nation has 25 rows by the TPC-H specification: a fixed-size dimension.
-    nation = spark.read.parquet(f"{sf_dir}/nation.parquet").select("n_nationkey", "n_name")
+    nation = spark.read.schema("n_nationkey INT, n_name STRING").parquet(f"{sf_dir}/nation.parquet")
     # orders -> customer first: customer's own scan size is what Catalyst
     # checks against the broadcast threshold (a customer-nation join on that
     # side would be estimated as the product of both sizes and force a

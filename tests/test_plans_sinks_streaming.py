@@ -117,3 +117,19 @@ def test_missing_feed_column_fails_early(spark):
     bad = spark.createDataFrame([("T1", 1)], "trade_id string, quantity long")
     with pytest.raises(FeedSchemaError):
         validate(bad, "internal")
+
+
+def test_trade_dates_do_not_depend_on_session_time_zone(spark):
+    from settlekit.sources.feeds import derive_feeds
+    confs = {"spark.sql.session.timeZone": "America/Los_Angeles",
+             "spark.sql.parquet.inferTimestampNTZ.enabled": "false"}
+    old = {k: spark.conf.get(k) for k in confs}
+    try:
+        for k, v in confs.items():
+            spark.conf.set(k, v)
+        r = derive_feeds(spark, SF001).internal.selectExpr(
+            "CAST(min(trade_date) AS STRING) AS lo", "CAST(max(trade_date) AS STRING) AS hi").first()
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert (r.lo, r.hi) == ("1995-01-01", "2001-08-01")
