@@ -102,14 +102,16 @@ def _chain_strategy(i: DataFrame, c: DataFrame, e: DataFrame, on: list[str]) ->
 
 
 def duplicated_keys(i: DataFrame, c: DataFrame, e: DataFrame) -> DataFrame:
-    """Keys held by more than one row of the same feed (partial aggregation
-    on the map side, so a hot key is one row per task before the shuffle)."""
+    """Keys held by more than one row of the same feed: one aggregation of
+    the three key columns (partial counts on the map side, so a hot key is
+    one row per task before the shuffle)."""
     tagged = (i.select("trade_id", F.lit(0).alias("feed"))
               .unionByName(c.select("trade_id", F.lit(1).alias("feed")))
               .unionByName(e.select("trade_id", F.lit(2).alias("feed"))))
-    return (tagged.where(F.col("trade_id").isNotNull())
-            .groupBy("trade_id", "feed").agg(F.count(F.lit(1)).alias("n"))
-            .where(F.col("n") > 1).select("trade_id").distinct())
+    per_feed = [F.sum(F.when(F.col("feed") == f, 1).otherwise(0)).alias(f"n{f}") for f in range(3)]
+    return (tagged.where(F.col("trade_id").isNotNull()).groupBy("trade_id").agg(*per_feed)
+            .where((F.col("n0") > 1) | (F.col("n1") > 1) | (F.col("n2") > 1))
+            .select("trade_id"))
 
 
 def number_copies(df: DataFrame, dup: DataFrame, parts: int, broadcast_dup: bool) -> DataFrame:
@@ -143,7 +145,8 @@ def three_way(feeds: Feeds, strategy: str = "keys", duplicates: str = "align",
     on = ["trade_id"]
     if duplicates == "align":
         dup = duplicated_keys(i, c, e)
-        n_dup = dup.count()  # one pass over the key columns
+        # one pass over the key columns; counted only when there are any
+        n_dup = 0 if dup.isEmpty() else dup.count()
         if n_dup:
             spark = i.sparkSession
             parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
