@@ -31,16 +31,19 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Use the session's checkpoint dir (``spark.checkpoint.dir``, the shared
-    folder a cluster names); only when none is set -- local runs, tests --
-    create a scratch one."""
+    folder a cluster names).  Only a local-mode session without one (local
+    runs, tests) gets a scratch folder; on a cluster an unset dir is an
+    error."""
     d = spark.sparkContext.getCheckpointDir()
     if d:
         return d
     d = spark.conf.get("spark.checkpoint.dir", None)
     if d:
         spark.sparkContext.setCheckpointDir(d)
-    else:
-        d = tempfile.mkdtemp(prefix="settlekit-ckpt-")
-        spark.sparkContext.setCheckpointDir(d)
-        d = spark.sparkContext.getCheckpointDir()
-    return d
+        return spark.sparkContext.getCheckpointDir() or d
+    if not spark.sparkContext.master.startswith("local"):
+        # a machine-local folder is invisible to other executors
+        raise RuntimeError("set spark.checkpoint.dir to a shared folder for this cluster")
+    d = tempfile.mkdtemp(prefix="settlekit-ckpt-")
+    spark.sparkContext.setCheckpointDir(d)
+    return spark.sparkContext.getCheckpointDir() or d
