@@ -4,10 +4,12 @@ All summaries, alerts and insight tables of the reference are one-key
 counts and sums over the reconciled rows (by counterparty, trade type, day,
 aging bucket, label, weekday, status, or over everything).  Instead of one
 scan and one shuffle per summary, a single ``GROUPING SETS`` aggregation
-computes all of them: Spark expands each row once per grouping set inside
-the same whole-stage-codegen pipeline, aggregates partially on the map side
-(so a partition's output is a few thousand rows at most, whatever a hot key
-holds), and shuffles only those partial rows.
+computes them: Spark expands each row once per grouping set inside the same
+whole-stage-codegen pipeline, aggregates partially on the map side (so a
+partition's output is a few thousand rows at most, whatever a hot key
+holds), and shuffles only those partial rows.  Aging bucket and weekday are
+functions of the trade date, so their slices are re-aggregated from the day
+slice (exact: money stays in integer cents until the end).
 
 The result is bounded by the sizes of the dimensions (days + counterparties
 + labels + ...), independent of the number of trades, so persisting it is
@@ -26,12 +28,21 @@ from pyspark.sql import functions as F
 from ..config import ReconConfig
 from ..functions import labels as L
 from ..functions.numeric import cents_to_amount, count_true, money
+from .aging import bucket_expr
 
 DIMENSIONS = ("counterparty", "trade_type", "day", "aging", "label", "weekday", "status")
+# aggregated per row; "aging" and "weekday" are functions of the trade date,
+# so their slices are re-aggregated from the (bounded) day slice instead of
+# expanding every row two more times
+ROW_DIMENSIONS = ("counterparty", "trade_type", "day", "label", "status")
 ALL = "all"
 
+_COUNTS = ("rows", "keyed_rows", "breaks", "keyed_breaks",
+           *[f"n_{name}" for name, _ in L.CHECKS], "high_value_count", "aged_count", "failed_count")
+_CENTS = ("value_cents", "high_value_cents", "aged_value_cents")
 
-def break_cube(recon: DataFrame, cfg: ReconConfig) -> DataFrame:
+
+def _row_aggregates(recon: DataFrame, cfg: ReconConfig) -> DataFrame:
     is_break = F.col("is_break")
     high = is_break & (F.col("break_value") > F.lit(float(cfg.high_value)))
     aged = is_break & F.col("aging_bucket").isin(*L.AGED_BUCKETS)
@@ -39,42 +50,64 @@ def break_cube(recon: DataFrame, cfg: ReconConfig) -> DataFrame:
     rows = recon.select(
         F.col("counterparty_int").alias("counterparty"),
         "trade_type",
-        F.date_format("trade_date", "yyyy-MM-dd").alias("day"),
-        F.col("aging_bucket").alias("aging"),
+        F.col("trade_date_dt").alias("day"),
         F.col("break_type").alias("label"),
-        F.date_format("trade_date_dt", "EEEE").alias("weekday"),
         F.col("settlement_status").alias("status"),
         "trade_id", "is_break", "break_value",
         *[f"flag_{name}" for name, _ in L.CHECKS],
         high.alias("_high"), aged.alias("_aged"), failed.alias("_failed"),
     )
-    sets = [[d] for d in DIMENSIONS] + [[]]
-    agg = rows.groupingSets(sets, *DIMENSIONS).agg(
+    sets = [[d] for d in ROW_DIMENSIONS] + [[]]
+    return rows.groupingSets(sets, *ROW_DIMENSIONS).agg(
         F.count(F.lit(1)).alias("rows"),
         F.count("trade_id").alias("keyed_rows"),
         count_true(is_break).alias("breaks"),
         count_true(is_break & F.col("trade_id").isNotNull()).alias("keyed_breaks"),
-        F.sum(money(F.col("break_value"))).alias("value_cents"),
         *[count_true(F.col(f"flag_{name}")).alias(f"n_{name}") for name, _ in L.CHECKS],
         count_true(F.col("_high")).alias("high_value_count"),
-        F.sum(F.when(F.col("_high"), money(F.col("break_value")))).alias("high_value_cents"),
         count_true(F.col("_aged")).alias("aged_count"),
-        F.sum(F.when(F.col("_aged"), money(F.col("break_value")))).alias("aged_value_cents"),
         count_true(F.col("_failed")).alias("failed_count"),
-        *[F.grouping(d).alias(f"g_{d}") for d in DIMENSIONS],
+        F.sum(money(F.col("break_value"))).alias("value_cents"),
+        F.sum(F.when(F.col("_high"), money(F.col("break_value")))).alias("high_value_cents"),
+        F.sum(F.when(F.col("_aged"), money(F.col("break_value")))).alias("aged_value_cents"),
+        *[F.grouping(d).alias(f"g_{d}") for d in ROW_DIMENSIONS],
     )
+
+
+def break_cube(recon: DataFrame, cfg: ReconConfig) -> DataFrame:
+    agg = _row_aggregates(recon, cfg)
     dim = F.lit(ALL)
     key = F.lit(None).cast("string")
-    for d in reversed(DIMENSIONS):
+    for d in reversed(ROW_DIMENSIONS):
         dim = F.when(F.col(f"g_{d}") == 0, F.lit(d)).otherwise(dim)
-        key = F.when(F.col(f"g_{d}") == 0, F.col(d)).otherwise(key)
+        value = F.date_format(F.col(d), "yyyy-MM-dd") if d == "day" else F.col(d)
+        key = F.when(F.col(f"g_{d}") == 0, value).otherwise(key)
+    measures = [*_COUNTS, *_CENTS]
+    per_row = agg.select(dim.alias("dim"), key.alias("key"), F.col("day").alias("_day"), *measures)
+
+    # aging bucket and weekday from the day slice (one row per trade date)
+    days = per_row.where(F.col("dim") == F.lit("day"))
+    age = F.datediff(F.lit(cfg.as_of), F.col("_day"))
+    derived = [
+        days.withColumn("_age", age).select(
+            F.lit("aging").alias("dim"), F.expr(bucket_expr("_age")).alias("key"), *measures),
+        days.select(F.lit("weekday").alias("dim"), F.date_format("_day", "EEEE").alias("key"),
+                    *measures),
+    ]
+    sums = [F.sum(m).alias(m) for m in measures]
+    out = per_row.drop("_day")
+    for d in derived:
+        out = out.unionByName(d.groupBy("dim", "key").agg(*sums))
     dbl = lambda c: F.coalesce(cents_to_amount(F.col(c)), F.lit(0.0))
-    return agg.select(
-        dim.alias("dim"), key.alias("key"), "rows", "keyed_rows", "breaks", "keyed_breaks",
+    return out.select(
+        "dim", "key", *[F.col(c).cast("bigint").alias(c) for c in _COUNTS[:4]],
         dbl("value_cents").alias("value"),
-        *[f"n_{name}" for name, _ in L.CHECKS],
-        "high_value_count", dbl("high_value_cents").alias("high_value_total"),
-        "aged_count", dbl("aged_value_cents").alias("aged_value"), "failed_count",
+        *[F.col(f"n_{name}").cast("bigint").alias(f"n_{name}") for name, _ in L.CHECKS],
+        F.col("high_value_count").cast("bigint").alias("high_value_count"),
+        dbl("high_value_cents").alias("high_value_total"),
+        F.col("aged_count").cast("bigint").alias("aged_count"),
+        dbl("aged_value_cents").alias("aged_value"),
+        F.col("failed_count").cast("bigint").alias("failed_count"),
     )
 
 
