@@ -1,8 +1,11 @@
 """A reconciliation run: feeds + parameters -> lazily built shared frames.
 
 ``ReconContext`` owns the DataFrames every query starts from (joined rows,
-classified and aged rows, daily table, counterparty summary).  They are
-built once per context and stay lazy; nothing is collected.
+classified and aged rows, the break cube and the tables read from it).
+Nothing is collected to the driver.  Two small jobs run when a context is
+first used: the duplicate-key check of the join (a count over the key
+columns) and the write of the break cube (a few thousand rows) under the
+checkpoint dir; everything else stays lazy until the caller's action.
 
 Two ways to share the row-level work between many summaries:
 
