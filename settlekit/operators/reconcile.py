@@ -56,27 +56,30 @@ def legs(feeds: Feeds) -> tuple[DataFrame, DataFrame, DataFrame]:
             _leg(feeds.exchange, schemas.EXCHANGE_LEG))
 
 
-def internal_vs_custodian(feeds: Feeds) -> DataFrame:
-    """J1 alone: full outer join of internal and custodian on trade_id."""
+def internal_vs_custodian(feeds: Feeds, duplicates: str = "align",
+                          broadcast_limit: int = 1_000_000) -> DataFrame:
+    """J1 alone: internal and custodian joined on trade_id (full outer
+    semantics), with the same key-set plan and duplicate policy as the
+    three-way join."""
     i, c, _ = legs(feeds)
+    (i, c), on = _prepare([i, c], duplicates, broadcast_limit)
     cols = [n for _, n in schemas.INTERNAL_LEG] + [n for _, n in schemas.CUSTODIAN_LEG[1:]]
-    joined = i.alias("i").join(c.alias("c"), F.col("i.trade_id") == F.col("c.trade_id"), "full_outer")
-    return joined.select(
-        F.coalesce(F.col("i.trade_id"), F.col("c.trade_id")).alias("trade_id"),
-        *[F.col(n) for n in cols[1:]])
+    return _keys_strategy([i, c], on).select(*cols)
 
 
-def _keys_strategy(i: DataFrame, c: DataFrame, e: DataFrame, on: list[str]) -> DataFrame:
+def _keys_strategy(frames: list[DataFrame], on: list[str]) -> DataFrame:
+    """Full outer join of any number of feeds on ``on``: the distinct keys
+    of all of them, then one left join per feed on the same attribute."""
     tid = F.col("trade_id")
-    keys = (i.select(*on).unionByName(c.select(*on)).unionByName(e.select(*on))
-            .where(tid.isNotNull()).distinct())
-    keyed = (keys
-             .join(i.where(tid.isNotNull()), on, "left")
-             .join(c.where(tid.isNotNull()), on, "left")
-             .join(e.where(tid.isNotNull()), on, "left"))
-    orphans = (i.where(tid.isNull())
-               .unionByName(c.where(tid.isNull()), allowMissingColumns=True)
-               .unionByName(e.where(tid.isNull()), allowMissingColumns=True))
+    keys = frames[0].select(*on)
+    for f in frames[1:]:
+        keys = keys.unionByName(f.select(*on))
+    keyed = keys.where(tid.isNotNull()).distinct()
+    for f in frames:
+        keyed = keyed.join(f.where(tid.isNotNull()), on, "left")
+    orphans = frames[0].where(tid.isNull())
+    for f in frames[1:]:
+        orphans = orphans.unionByName(f.where(tid.isNull()), allowMissingColumns=True)
     return keyed.unionByName(orphans, allowMissingColumns=True)
 
 
@@ -101,17 +104,21 @@ def _chain_strategy(i: DataFrame, c: DataFrame, e: DataFrame, on: list[str]) ->
                       *[F.col(f"e.{n}") for _, n in schemas.EXCHANGE_LEG[1:]])
 
 
-def duplicated_keys(i: DataFrame, c: DataFrame, e: DataFrame) -> DataFrame:
+def duplicated_keys(*frames: DataFrame) -> DataFrame:
     """Keys held by more than one row of the same feed: one aggregation of
-    the three key columns (partial counts on the map side, so a hot key is
-    one row per task before the shuffle)."""
-    tagged = (i.select("trade_id", F.lit(0).alias("feed"))
-              .unionByName(c.select("trade_id", F.lit(1).alias("feed")))
-              .unionByName(e.select("trade_id", F.lit(2).alias("feed"))))
-    per_feed = [F.sum(F.when(F.col("feed") == f, 1).otherwise(0)).alias(f"n{f}") for f in range(3)]
+    the key columns (partial counts on the map side, so a hot key is one
+    row per task before the shuffle)."""
+    tagged = frames[0].select("trade_id", F.lit(0).alias("feed"))
+    for n, f in enumerate(frames[1:], start=1):
+        tagged = tagged.unionByName(f.select("trade_id", F.lit(n).alias("feed")))
+    per_feed = [F.sum(F.when(F.col("feed") == n, 1).otherwise(0)).alias(f"n{n}")
+                for n in range(len(frames))]
+    any_dup = None
+    for n in range(len(frames)):
+        cond = F.col(f"n{n}") > 1
+        any_dup = cond if any_dup is None else any_dup | cond
     return (tagged.where(F.col("trade_id").isNotNull()).groupBy("trade_id").agg(*per_feed)
-            .where((F.col("n0") > 1) | (F.col("n1") > 1) | (F.col("n2") > 1))
-            .select("trade_id"))
+            .where(any_dup).select("trade_id"))
 
 
 def number_copies(df: DataFrame, dup: DataFrame, parts: int, broadcast_dup: bool) -> DataFrame:
@@ -138,25 +145,30 @@ def number_copies(df: DataFrame, dup: DataFrame, parts: int, broadcast_dup: bool
     return single.unionByName(numbered)
 
 
+def _prepare(frames: list[DataFrame], duplicates: str,
+             broadcast_limit: int) -> tuple[list[DataFrame], list[str]]:
+    """Apply the duplicate policy; returns the frames and the join key."""
+    if duplicates == "multiply":
+        return frames, ["trade_id"]
+    if duplicates != "align":
+        raise ValueError(f"unknown duplicates policy {duplicates!r}")
+    dup = duplicated_keys(*frames)
+    # one pass over the key columns; counted only when there are any
+    n_dup = 0 if dup.isEmpty() else dup.count()
+    if not n_dup:
+        return frames, ["trade_id"]
+    spark = frames[0].sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    small = n_dup <= broadcast_limit
+    return [number_copies(f, dup, parts, small) for f in frames], ["trade_id", "seq"]
+
+
 def three_way(feeds: Feeds, strategy: str = "keys", duplicates: str = "align",
               broadcast_limit: int = 1_000_000) -> DataFrame:
     """J1 + J2: the 26 joined columns of the reconciliation report."""
-    i, c, e = legs(feeds)
-    on = ["trade_id"]
-    if duplicates == "align":
-        dup = duplicated_keys(i, c, e)
-        # one pass over the key columns; counted only when there are any
-        n_dup = 0 if dup.isEmpty() else dup.count()
-        if n_dup:
-            spark = i.sparkSession
-            parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-            small = n_dup <= broadcast_limit
-            i, c, e = (number_copies(x, dup, parts, small) for x in (i, c, e))
-            on = ["trade_id", "seq"]
-    elif duplicates != "multiply":
-        raise ValueError(f"unknown duplicates policy {duplicates!r}")
+    (i, c, e), on = _prepare(list(legs(feeds)), duplicates, broadcast_limit)
     if strategy == "keys":
-        out = _keys_strategy(i, c, e, on)
+        out = _keys_strategy([i, c, e], on)
     elif strategy == "chain":
         out = _chain_strategy(i, c, e, on)
     else:

@@ -90,7 +90,7 @@ def _break_aging(ctx: ReconContext) -> DataFrame:
 QUERIES: dict[str, Callable[[ReconContext], DataFrame]] = {
     # sources / row layer
     "feed_counts": lambda c: summaries.feed_counts(c.feeds, c.cube),
-    "internal_vs_custodian": lambda c: reconcile.internal_vs_custodian(c.feeds),
+    "internal_vs_custodian": lambda c: reconcile.internal_vs_custodian(c.feeds, c.cfg.duplicates),
     "three_way_recon": lambda c: c.recon.select(*schemas.JOINED_COLUMNS),
     "break_flags": _break_flags,
     "break_aging": _break_aging,

@@ -233,3 +233,18 @@ def test_rounding_matches_numpy(spark, x, d):
 def test_format_number_matches_python(spark, x, d):
     got = spark.range(1).select(F.format_number(F.lit(x), d).alias("s")).first().s
     assert got == f"{x:,.{d}f}"
+
+
+def test_internal_vs_custodian_aligns_and_keeps_null_keys(spark):
+    from settlekit.operators import reconcile
+    feeds = make_feeds(spark,
+                       internal=[internal_row("D", qty=1), internal_row("D", qty=2),
+                                 internal_row(None), internal_row("A")],
+                       custodian=[custodian_row("D", qty=2), custodian_row(None),
+                                  custodian_row("B")])
+    rows = sorted((r.trade_id or "-", r.quantity_int or 0, r.quantity_cust or 0)
+                  for r in reconcile.internal_vs_custodian(feeds).collect())
+    assert rows == [("-", 0, 100), ("-", 100, 0), ("A", 100, 0), ("B", 0, 100),
+                    ("D", 1, 2), ("D", 2, 0)]
+    multiplied = reconcile.internal_vs_custodian(feeds, duplicates="multiply")
+    assert multiplied.where("trade_id = 'D'").count() == 2
