@@ -128,8 +128,13 @@ def number_copies(df: DataFrame, dup: DataFrame, parts: int, broadcast_dup: bool
     dup = F.broadcast(dup) if broadcast_dup else dup
     single = df.join(dup, "trade_id", "left_anti").withColumn("seq", F.lit(1).cast("long"))
     content = [col for col in df.columns if col != "trade_id"]
-    order = ["trade_id", *content]
-    ranged = (df.join(dup, "trade_id", "left_semi")
+    # Copies are ranked by content; identical copies are interchangeable and
+    # are told apart by their scan position (taken before any shuffle;
+    # deterministic for file scans), so every range key is distinct and
+    # even a key whose copies are all identical splits over many tasks.
+    order = ["trade_id", *content, "_pos"]
+    ranged = (df.withColumn("_pos", F.monotonically_increasing_id())
+              .join(dup, "trade_id", "left_semi")
               .repartitionByRange(parts, *order).sortWithinPartitions(*order)
               .withColumn("_mid", F.monotonically_increasing_id()))
     ranged = ranged.withColumn("_slice", F.shiftright("_mid", 33))

@@ -248,3 +248,20 @@ def test_internal_vs_custodian_aligns_and_keeps_null_keys(spark):
                     ("D", 1, 2), ("D", 2, 0)]
     multiplied = reconcile.internal_vs_custodian(feeds, duplicates="multiply")
     assert multiplied.where("trade_id = 'D'").count() == 2
+
+
+def test_identical_hot_copies_are_numbered_once_each(spark):
+    """A key whose copies are all identical still gets seq 1..n exactly once
+    (range keys are made distinct by the scan position)."""
+    from settlekit.operators import reconcile
+    n = 2000
+    df = spark.createDataFrame([internal_row("HOT")] * n + [internal_row("U")],
+                               schemas.INTERNAL).repartition(4)
+    i = reconcile.legs(make_feeds(spark, internal=[]))[0]  # leg column names
+    leg = df.select([F.col(src).alias(dst) for src, dst in schemas.INTERNAL_LEG])
+    dup = reconcile.duplicated_keys(leg)
+    out = reconcile.number_copies(leg, dup, parts=8, broadcast_dup=True)
+    seqs = sorted(r.seq for r in out.where("trade_id = 'HOT'").select("seq").collect())
+    assert seqs == list(range(1, n + 1))
+    assert out.where("trade_id = 'U'").first().seq == 1
+    assert i.columns == leg.columns
