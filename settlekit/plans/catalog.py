@@ -74,6 +74,7 @@ def shared_context(spark: SparkSession, sf_dir: str, cfg: ReconConfig | None = N
 def release_shared() -> None:
     """Unpersist and forget the shared contexts."""
     for ctx in _SHARED.values():
+        ctx.cube.unpersist()
         ctx.recon.unpersist()
     _SHARED.clear()
 

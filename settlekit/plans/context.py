@@ -86,7 +86,11 @@ class ReconContext:
             # a written table rather than Dataset.checkpoint(): one job, where
             # a reliable RDD checkpoint recomputes the lineage to write it
             break_cube(self.recon, self.cfg).coalesce(1).write.parquet(path)
-            self._cube = self.spark.read.parquet(path)
+            # read back as one cached partition: its SinglePartition output
+            # satisfies every aggregate and window over it, so no query on
+            # the cube needs an exchange; a lost block is re-read from the
+            # file, not recomputed from the rows
+            self._cube = self.spark.read.parquet(path).coalesce(1).persist()
         return self._cube
 
     @property
