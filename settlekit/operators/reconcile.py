@@ -39,10 +39,13 @@ Duplicated keys (``duplicates=``):
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import schemas
+from ..session import ensure_checkpoint_dir
 from ..sources.feeds import Feeds
 
 
@@ -62,19 +65,24 @@ def internal_vs_custodian(feeds: Feeds, duplicates: str = "align",
     semantics), with the same key-set plan and duplicate policy as the
     three-way join."""
     i, c, _ = legs(feeds)
-    (i, c), on = _prepare([i, c], duplicates, broadcast_limit)
+    (i, c), on, _ = _prepare([i, c], duplicates, broadcast_limit)
     cols = [n for _, n in schemas.INTERNAL_LEG] + [n for _, n in schemas.CUSTODIAN_LEG[1:]]
     return _keys_strategy([i, c], on).select(*cols)
 
 
-def _keys_strategy(frames: list[DataFrame], on: list[str]) -> DataFrame:
+def _keys_strategy(frames: list[DataFrame], on: list[str],
+                   keys: DataFrame | None = None) -> DataFrame:
     """Full outer join of any number of feeds on ``on``: the distinct keys
-    of all of them, then one left join per feed on the same attribute."""
+    of all of them, then one left join per feed on the same attribute.
+    ``keys`` may be given pre-built (non-null, distinct, hash-partitioned on
+    the key, e.g. the cached key table)."""
     tid = F.col("trade_id")
-    keys = frames[0].select(*on)
-    for f in frames[1:]:
-        keys = keys.unionByName(f.select(*on))
-    keyed = keys.where(tid.isNotNull()).distinct()
+    if keys is None:
+        keys = frames[0].select(*on)
+        for f in frames[1:]:
+            keys = keys.unionByName(f.select(*on))
+        keys = keys.where(tid.isNotNull()).distinct()
+    keyed = keys
     for f in frames:
         keyed = keyed.join(f.where(tid.isNotNull()), on, "left")
     orphans = frames[0].where(tid.isNull())
@@ -104,40 +112,58 @@ def _chain_strategy(i: DataFrame, c: DataFrame, e: DataFrame, on: list[str]) ->
                       *[F.col(f"e.{n}") for _, n in schemas.EXCHANGE_LEG[1:]])
 
 
-def duplicated_keys(*frames: DataFrame) -> DataFrame:
-    """Keys held by more than one row of the same feed: one aggregation of
-    the key columns (partial counts on the map side, so a hot key is one
-    row per task before the shuffle)."""
+def key_table(*frames: DataFrame) -> DataFrame:
+    """One row per non-null key with its number of rows in each feed
+    (``n0``, ``n1``, ...): one aggregation of the key columns, partial
+    counts on the map side, so a hot key is one row per task before the
+    shuffle.  Hash-partitioned on trade_id."""
     tagged = frames[0].select("trade_id", F.lit(0).alias("feed"))
     for n, f in enumerate(frames[1:], start=1):
         tagged = tagged.unionByName(f.select("trade_id", F.lit(n).alias("feed")))
     per_feed = [F.sum(F.when(F.col("feed") == n, 1).otherwise(0)).alias(f"n{n}")
                 for n in range(len(frames))]
-    any_dup = None
-    for n in range(len(frames)):
-        cond = F.col(f"n{n}") > 1
-        any_dup = cond if any_dup is None else any_dup | cond
-    return (tagged.where(F.col("trade_id").isNotNull()).groupBy("trade_id").agg(*per_feed)
-            .where(any_dup).select("trade_id"))
+    return tagged.where(F.col("trade_id").isNotNull()).groupBy("trade_id").agg(*per_feed)
+
+
+def _dups_of(keys: DataFrame, n_frames: int) -> DataFrame:
+    cond = None
+    for n in range(n_frames):
+        c = F.col(f"n{n}") > 1
+        cond = c if cond is None else cond | c
+    return keys.where(cond).select("trade_id")
+
+
+def duplicated_keys(*frames: DataFrame) -> DataFrame:
+    """Keys held by more than one row of the same feed."""
+    return _dups_of(key_table(*frames), len(frames))
 
 
 def number_copies(df: DataFrame, dup: DataFrame, parts: int, broadcast_dup: bool) -> DataFrame:
     """Adds ``seq``: 1 for keys with one copy, 1..n in content order for
     the copies of a duplicated key -- computed without putting all copies
-    of a key in one task."""
+    of a key in one task.
+
+    The rows of duplicated keys are range-partitioned and positioned once
+    and written under the checkpoint dir; the per-slice counts and the
+    final numbering both read that file, so positions cannot differ between
+    two evaluations (and a lost executor re-reads instead of re-deriving)."""
+    spark = df.sparkSession
     dup = F.broadcast(dup) if broadcast_dup else dup
     single = df.join(dup, "trade_id", "left_anti").withColumn("seq", F.lit(1).cast("long"))
     content = [col for col in df.columns if col != "trade_id"]
     # Copies are ranked by content; identical copies are interchangeable and
-    # are told apart by their scan position (taken before any shuffle;
-    # deterministic for file scans), so every range key is distinct and
-    # even a key whose copies are all identical splits over many tasks.
+    # are told apart by their scan position, so every range key is distinct
+    # and even a key whose copies are all identical splits over many tasks.
     order = ["trade_id", *content, "_pos"]
-    ranged = (df.withColumn("_pos", F.monotonically_increasing_id())
-              .join(dup, "trade_id", "left_semi")
-              .repartitionByRange(parts, *order).sortWithinPartitions(*order)
-              .withColumn("_mid", F.monotonically_increasing_id()))
-    ranged = ranged.withColumn("_slice", F.shiftright("_mid", 33))
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/settlekit-copies-{uuid.uuid4().hex}"
+    (df.withColumn("_pos", F.monotonically_increasing_id())
+     .join(dup, "trade_id", "left_semi")
+     .repartitionByRange(parts, *order).sortWithinPartitions(*order)
+     .withColumn("_mid", F.monotonically_increasing_id())
+     .withColumn("_slice", F.shiftright("_mid", 33))
+     .drop("_pos")
+     .write.parquet(path))
+    ranged = spark.read.parquet(path)
     # one row per (key, slice): bounded by the number of partitions per key
     slices = ranged.groupBy("trade_id", "_slice").agg(F.count(F.lit(1)).alias("_n"),
                                                       F.min("_mid").alias("_lo"))
@@ -150,30 +176,42 @@ def number_copies(df: DataFrame, dup: DataFrame, parts: int, broadcast_dup: bool
     return single.unionByName(numbered)
 
 
-def _prepare(frames: list[DataFrame], duplicates: str,
-             broadcast_limit: int) -> tuple[list[DataFrame], list[str]]:
-    """Apply the duplicate policy; returns the frames and the join key."""
+def _prepare(frames: list[DataFrame], duplicates: str, broadcast_limit: int,
+             cached: list | None = None
+             ) -> tuple[list[DataFrame], list[str], DataFrame | None]:
+    """Apply the duplicate policy; returns the frames, the join key and,
+    when it can serve as the key side of the join, the key table.
+
+    With ``cached`` (a list the caller owns), the key table is persisted and
+    appended there: the duplicate check is then a filter over it and the
+    joins reuse it -- and its hash partitioning -- instead of aggregating
+    and shuffling the keys a second time.  The caller unpersists it once
+    the joined rows are stored."""
     if duplicates == "multiply":
-        return frames, ["trade_id"]
+        return frames, ["trade_id"], None
     if duplicates != "align":
         raise ValueError(f"unknown duplicates policy {duplicates!r}")
-    dup = duplicated_keys(*frames)
+    keys = key_table(*frames)
+    if cached is not None:
+        keys = keys.persist()
+        cached.append(keys)
+    dup = _dups_of(keys, len(frames))
     # one pass over the key columns; counted only when there are any
     n_dup = 0 if dup.isEmpty() else dup.count()
     if not n_dup:
-        return frames, ["trade_id"]
+        return frames, ["trade_id"], (keys.select("trade_id") if cached is not None else None)
     spark = frames[0].sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     small = n_dup <= broadcast_limit
-    return [number_copies(f, dup, parts, small) for f in frames], ["trade_id", "seq"]
+    return ([number_copies(f, dup, parts, small) for f in frames], ["trade_id", "seq"], None)
 
 
 def three_way(feeds: Feeds, strategy: str = "keys", duplicates: str = "align",
-              broadcast_limit: int = 1_000_000) -> DataFrame:
+              broadcast_limit: int = 1_000_000, cached: list | None = None) -> DataFrame:
     """J1 + J2: the 26 joined columns of the reconciliation report."""
-    (i, c, e), on = _prepare(list(legs(feeds)), duplicates, broadcast_limit)
+    (i, c, e), on, keys = _prepare(list(legs(feeds)), duplicates, broadcast_limit, cached)
     if strategy == "keys":
-        out = _keys_strategy([i, c, e], on)
+        out = _keys_strategy([i, c, e], on, keys)
     elif strategy == "chain":
         out = _chain_strategy(i, c, e, on)
     else:

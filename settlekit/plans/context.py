@@ -40,12 +40,14 @@ class ReconContext:
         self.cfg = cfg or ReconConfig()
         self._recon: DataFrame | None = None
         self._cube: DataFrame | None = None
+        self._join_caches: list[DataFrame] = []   # key table of the join
 
     # -- row level ----------------------------------------------------------
     @cached_property
     def joined(self) -> DataFrame:
         """J1 + J2: 26 joined columns."""
-        return reconcile.three_way(self.feeds, self.cfg.strategy, self.cfg.duplicates)
+        return reconcile.three_way(self.feeds, self.cfg.strategy, self.cfg.duplicates,
+                                   cached=self._join_caches)
 
     @property
     def recon(self) -> DataFrame:
@@ -91,6 +93,10 @@ class ReconContext:
             # the cube needs an exchange; a lost block is re-read from the
             # file, not recomputed from the rows
             self._cube = self.spark.read.parquet(path).coalesce(1).persist()
+            if self._rows_kept:
+                # the joined rows are cached or stored now; the key table
+                # of the join is no longer needed
+                self._release_join_caches()
         return self._cube
 
     @property
@@ -102,8 +108,16 @@ class ReconContext:
         return summaries.counterparty_summary(self.cube)
 
     # -- reuse ---------------------------------------------------------------
+    _rows_kept = False   # set once the joined rows are persisted or written
+
+    def _release_join_caches(self) -> None:
+        for df in self._join_caches:
+            df.unpersist()
+        self._join_caches.clear()
+
     def persist(self, level: StorageLevel = StorageLevel.MEMORY_AND_DISK) -> "ReconContext":
         self._recon = self.recon.persist(level)
+        self._rows_kept = True
         self._cube = None
         return self
 
@@ -114,6 +128,8 @@ class ReconContext:
             path = f"{root}/settlekit-recon-{uuid.uuid4().hex}"
         self.recon.write.mode("overwrite").parquet(path)
         self._recon = self.spark.read.parquet(path)
+        self._rows_kept = True
+        self._release_join_caches()
         self._cube = None
         self.materialized_path = path
         return self
