@@ -50,12 +50,6 @@ def label_expr() -> str:
     return f"CASE WHEN {joined} = '' THEN '{L.MATCHED}' ELSE {joined} END"
 
 
-def break_types_expr() -> str:
-    """The fired labels as array<string> (empty when matched)."""
-    parts = ", ".join(f"CASE WHEN flag_{name} THEN '{label}' END" for name, label in L.CHECKS)
-    return f"array_compact(array({parts}))"
-
-
 def classify(joined: DataFrame, cfg: ReconConfig) -> DataFrame:
     """Adds the six flags, then break_type, is_break and break_value."""
     flags = [f"{expr} AS {name}" for name, expr in flag_exprs(cfg).items()]
