@@ -176,6 +176,29 @@ def number_copies(df: DataFrame, dup: DataFrame, parts: int, broadcast_dup: bool
     return single.unionByName(numbered)
 
 
+# Keys per join partition: a key brings ~300 bytes of feed rows into the
+# join, so ~400k keys is ~128 MB per task.
+KEYS_PER_PARTITION = 400_000
+# Only a key table below this size is ever re-shuffled to fewer partitions.
+SMALL_KEY_TABLE = 50_000_000
+
+
+def _sized_key_side(keys: DataFrame) -> DataFrame:
+    """The key side of the joins.  The cached key table keeps the session's
+    shuffle partition count, which AQE cannot coalesce once cached; when the
+    table is small and clearly over-partitioned, re-shuffle just the keys
+    to a size-based count (the feeds then follow it).  Large tables keep
+    the configured partitioning and are not shuffled again."""
+    spark = keys.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    side = keys.select("trade_id")
+    n_keys = keys.count()  # over the cached table
+    if n_keys >= SMALL_KEY_TABLE:
+        return side
+    want = max(spark.sparkContext.defaultParallelism, -(-n_keys // KEYS_PER_PARTITION))
+    return side.repartition(want, "trade_id") if want < parts else side
+
+
 def _prepare(frames: list[DataFrame], duplicates: str, broadcast_limit: int,
              cached: list | None = None
              ) -> tuple[list[DataFrame], list[str], DataFrame | None]:
@@ -199,7 +222,9 @@ def _prepare(frames: list[DataFrame], duplicates: str, broadcast_limit: int,
     # one pass over the key columns; counted only when there are any
     n_dup = 0 if dup.isEmpty() else dup.count()
     if not n_dup:
-        return frames, ["trade_id"], (keys.select("trade_id") if cached is not None else None)
+        if cached is None:
+            return frames, ["trade_id"], None
+        return frames, ["trade_id"], _sized_key_side(keys)
     spark = frames[0].sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     small = n_dup <= broadcast_limit
