@@ -183,20 +183,19 @@ KEYS_PER_PARTITION = 400_000
 SMALL_KEY_TABLE = 50_000_000
 
 
-def _sized_key_side(keys: DataFrame) -> DataFrame:
+def _sized_key_side(keys: DataFrame, n_keys: int) -> DataFrame:
     """The key side of the joins.  The cached key table keeps the session's
     shuffle partition count, which AQE cannot coalesce once cached; when the
-    table is small and clearly over-partitioned, re-shuffle just the keys
-    to a size-based count (the feeds then follow it).  Large tables keep
-    the configured partitioning and are not shuffled again."""
+    table is small and over-partitioned at least twofold, re-shuffle just
+    the keys to a size-based count (the feeds then follow it).  Large tables
+    keep the configured partitioning and are not shuffled again."""
     spark = keys.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     side = keys.select("trade_id")
-    n_keys = keys.count()  # over the cached table
     if n_keys >= SMALL_KEY_TABLE:
         return side
     want = max(spark.sparkContext.defaultParallelism, -(-n_keys // KEYS_PER_PARTITION))
-    return side.repartition(want, "trade_id") if want < parts else side
+    return side.repartition(want, "trade_id") if 2 * want <= parts else side
 
 
 def _prepare(frames: list[DataFrame], duplicates: str, broadcast_limit: int,
@@ -219,12 +218,23 @@ def _prepare(frames: list[DataFrame], duplicates: str, broadcast_limit: int,
         keys = keys.persist()
         cached.append(keys)
     dup = _dups_of(keys, len(frames))
-    # one pass over the key columns; counted only when there are any
-    n_dup = 0 if dup.isEmpty() else dup.count()
+    if cached is None:
+        # one pass over the key columns; counted only when there are any
+        n_dup = 0 if dup.isEmpty() else dup.count()
+        n_keys = None
+    else:
+        # one job fills the cache and returns both figures
+        is_dup = None
+        for n in range(len(frames)):
+            c = F.col(f"n{n}") > 1
+            is_dup = c if is_dup is None else is_dup | c
+        stats = keys.agg(F.count(F.lit(1)).alias("n_keys"),
+                         F.sum(F.when(is_dup, 1).otherwise(0)).alias("n_dup")).first()
+        n_keys, n_dup = stats.n_keys, stats.n_dup or 0
     if not n_dup:
         if cached is None:
             return frames, ["trade_id"], None
-        return frames, ["trade_id"], _sized_key_side(keys)
+        return frames, ["trade_id"], _sized_key_side(keys, n_keys)
     spark = frames[0].sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     small = n_dup <= broadcast_limit
