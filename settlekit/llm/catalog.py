@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from . import mixing, packing, quality, sharding
+from . import linededup, mixing, neardup, packing, quality, sharding
 from . import sql
 
 QUERIES = {
     "op3_quality_rules": quality.op3_quality_rules,
     "op4_mixing": mixing.op4_mixing,
     "op5_sharding": sharding.op5_sharding,
+    "op8_line_dedup": linededup.op8_line_dedup,
+    "op9_near_dedup": neardup.op9_near_dedup,
     "op10_packing": packing.op10_packing,
 }
 SQL = sql.SQL
