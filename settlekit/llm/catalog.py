@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from . import linededup, mixing, neardup, packing, quality, sharding
+from . import licences, linededup, mixing, neardup, packing, pii, quality, sharding, urls
 from . import sql
 
 QUERIES = {
+    "op2_url_filter": urls.op2_url_filter,
     "op3_quality_rules": quality.op3_quality_rules,
     "op4_mixing": mixing.op4_mixing,
     "op5_sharding": sharding.op5_sharding,
+    "op6_personal_data": pii.op6_personal_data,
+    "op7_licence_scan": licences.op7_licence_scan,
     "op8_line_dedup": linededup.op8_line_dedup,
     "op9_near_dedup": neardup.op9_near_dedup,
     "op10_packing": packing.op10_packing,
