@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from . import licences, linededup, mixing, neardup, packing, pii, quality, sharding, urls
+from . import licences, linededup, mixing, neardup, packing, pii, quality, search, sharding, urls
 from . import sql
 
 QUERIES = {
+    "op1_exact_search": search.op1_exact_search,
     "op2_url_filter": urls.op2_url_filter,
     "op3_quality_rules": quality.op3_quality_rules,
     "op4_mixing": mixing.op4_mixing,
