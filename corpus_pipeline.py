@@ -17,6 +17,7 @@ as the operators say; an empty table gives an empty result.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from settlekit.llm import common, linededup, mixing, neardup, packing, quality
 
@@ -26,7 +27,8 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def lines_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return linededup.without_repeated_lines(docs)
+    out = linededup.without_repeated_lines(docs)
+    return out.withColumn("n_chars", F.coalesce(F.length("text").cast("long"), "n_chars"))
 
 
 def near_duplicates_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

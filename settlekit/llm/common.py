@@ -7,8 +7,10 @@ lost executor re-reads files instead of recomputing the lineage.
 
 from __future__ import annotations
 
+import sys
 import uuid
 
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,6 +20,12 @@ from ..session import ensure_checkpoint_dir
 SPACES = " \t\n\x0b\x0c\r"
 
 
+def send_with_tasks(module: str) -> None:
+    """Let the module's functions travel to the executors with the tasks, so
+    that this package need not be installed there."""
+    cloudpickle.register_pickle_by_value(sys.modules[module])
+
+
 def scratch(spark: SparkSession, name: str) -> str:
     """A fresh path in the shared checkpoint folder, deleted when the driver ends."""
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/llm-{name}-{uuid.uuid4().hex}"

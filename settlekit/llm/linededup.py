@@ -34,7 +34,9 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window as W
 from pyspark.sql import functions as F
 
-from .common import land, packed, read, unpacked
+from .common import land, packed, read, send_with_tasks, unpacked
+
+send_with_tasks(__name__)
 
 THRESHOLD, LEAST_WORDS = 0.85, 4
 _BITS = 20

@@ -32,9 +32,11 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window as W
 from pyspark.sql import functions as F
 
-from .common import land, packed, read, unpacked
+from .common import land, packed, read, send_with_tasks, unpacked
 from .components import components
 
+send_with_tasks(__name__)
+
 SHINGLE, PERCENT = 5, 75
 BINS, ROWS = 128, 4
 #: a pair is compared on full sets unless its sketches agree on fewer bins; at

@@ -17,6 +17,8 @@ of any length are cut, none is shortened; an empty table gives no row.
 
 from __future__ import annotations
 
+import sys
+import types
 import zlib
 from collections.abc import Iterator
 
@@ -25,7 +27,9 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window as W
 from pyspark.sql import functions as F
 
-from .common import land, read
+from .common import land, read, send_with_tasks
+
+send_with_tasks(__name__)
 
 CAPACITY, END_ID = 4096, 1
 #: pieces of one length are numbered in SPLIT parts
@@ -91,13 +95,12 @@ def _byte_letters() -> dict[int, str]:
     return {b: chr(b if b in same else next(rest)) for b in range(256)}
 
 
-_tokenizers: dict[str, WordTokenizer] = {}
-
-
 def _tokenizer(path: str) -> WordTokenizer:
-    if path not in _tokenizers:
-        _tokenizers[path] = WordTokenizer(path)
-    return _tokenizers[path]
+    """One tokenizer, with the words it knows, for all tasks of a worker process."""
+    kept = sys.modules.setdefault("_settlekit_worker", types.ModuleType("_settlekit_worker")).__dict__
+    if path not in kept:
+        kept[path] = WordTokenizer(path)
+    return kept[path]
 
 
 def _cutter(path: str, capacity: int, end_id: int):

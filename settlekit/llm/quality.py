@@ -139,7 +139,10 @@ def judge(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "text",
 
 def keep_good(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """The documents that pass, with their own columns."""
-    return unpacked(judge(docs, rules).filter("kept"))
+    # the id keeps the optimiser from moving the filter below the projection,
+    # where it would compute every metric once more for each use in a rule
+    judged = judge(docs, rules).select("_row", "kept", F.monotonically_increasing_id().alias("_id"))
+    return unpacked(judged.filter("kept and _id >= 0"))
 
 
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
