@@ -9,7 +9,7 @@ catalog overrides a few of them for the driver-derived feeds (see
 from __future__ import annotations
 
 import datetime as _dt
-from dataclasses import dataclass, field, replace
+from dataclasses import dataclass, replace
 
 
 @dataclass(frozen=True)
@@ -21,7 +21,7 @@ class ReconConfig:
     # |internal - custodian| price difference that still counts as matched
     price_tol: float = 0.01
     # |internal - other| quantity difference that still counts as matched
-    qty_tol: int = 0
+    qty_tol: float = 0
     # break_value strictly above this is a high-value break
     high_value: float = 1_000_000.0
     # spike threshold = mean + sigma * sample std of the daily break rates
@@ -33,11 +33,10 @@ class ReconConfig:
     # how the three feeds are joined: "keys" (one shuffle per feed, see
     # operators.reconcile) or "chain" (two chained full outer joins)
     strategy: str = "keys"
-    # duplicated trade_ids inside a feed: "align" the k-th copies (linear) or
-    # "multiply" them like the reference's pandas merge (quadratic per key)
-    duplicates: str = "align"
-    # extra options passed to DataFrameWriter in the sinks
-    writer_options: dict = field(default_factory=dict)
+
+    def __post_init__(self):
+        if not self.concentration_pct > 0:      # bounds the number of concentration alerts
+            raise ValueError("concentration_pct must be above 0")
 
     @property
     def effective_report_date(self) -> _dt.date:
@@ -45,8 +44,3 @@ class ReconConfig:
 
     def with_(self, **kw) -> "ReconConfig":
         return replace(self, **kw)
-
-    def __hash__(self) -> int:  # writer_options is a dict; hash the rest
-        return hash((self.as_of, self.report_date, self.price_tol, self.qty_tol,
-                     self.high_value, self.sigma, self.concentration_pct,
-                     self.failed_min, self.strategy, self.duplicates))

@@ -4,11 +4,9 @@ across engines and partitionings.
 * ``half_even`` rounds like NumPy/pandas ``round``: scale, round half to even
   on the binary double, unscale.  Spark's ``round``/``bround`` work on the
   decimal expansion and differ on values such as 0.285 or 17.225.
-* ``money_sum`` sums amounts as integer cents (bigint) so the result does
-  not depend on the order partial sums are combined in (it would with
-  doubles); the total is returned as a double.  Same exactness as
-  ``decimal(18,2)``, but a long add per row instead of a BigDecimal one
-  (decimal sums widen to precision 28).
+* ``money`` makes an amount an exact decimal of six places (a value that is
+  no number, or too large, becomes NULL); sums of it do not depend on the
+  order in which partial sums are combined, and totals may reach 1e32.
 * ``pct`` is ``part / whole * 100`` in doubles, NULL when ``whole`` is 0
   (ANSI mode raises on a zero divisor).
 """
@@ -27,17 +25,13 @@ def half_even(col: Column, digits: int = 0) -> Column:
 
 
 def money(col: Column) -> Column:
-    """An amount as integer cents (half away from zero)."""
-    return F.round(col * F.lit(100.0)).cast("long")
+    """An amount as decimal(38,6)."""
+    return col.try_cast("decimal(38,6)")
 
 
-def cents_to_amount(cents: Column) -> Column:
-    return cents.cast("double") / F.lit(100.0)
-
-
-def money_sum(col: Column) -> Column:
-    """Exact sum of amounts; 0.0 over no rows (like pandas' sum)."""
-    return F.coalesce(cents_to_amount(F.sum(money(col))), F.lit(0.0))
+def amount(total: Column) -> Column:
+    """A decimal total as double; 0.0 over no rows (like pandas' sum)."""
+    return F.coalesce(total.cast("double"), F.lit(0.0))
 
 
 def pct(part: Column, whole: Column) -> Column:

@@ -61,6 +61,12 @@ def counterparty_concentration(cube: DataFrame, cfg: ReconConfig) -> DataFrame:
             .where(F.col("share_pct") > F.lit(float(cfg.concentration_pct))))
 
 
+def _figures(**figures: Column) -> Column:
+    """The one message template: ``name=figure; name=figure``."""
+    parts = [F.concat(F.lit(f"{name}="), value) for name, value in figures.items()]
+    return F.concat_ws("; ", *parts)
+
+
 def _alert(rule: int, severity: str, kind: str, message: Column, *, sub: Column | None = None,
            dates: Column | None = None, counterparty: Column | None = None,
            count: Column | None = None) -> list[Column]:
@@ -81,34 +87,29 @@ def anomaly_alerts(cube: DataFrame, daily: DataFrame, cfg: ReconConfig) -> DataF
         F.first("mean_rate").alias("mean")).where(F.col("n") > 0)
     spike = spike.select(*_alert(
         1, L.HIGH, L.BREAK_RATE_SPIKE,
-        F.concat(F.col("n").cast("string"), F.lit(f" trading days broke the {cfg.sigma:g}-sigma "
-                                                  "break-rate threshold of "), _num(F.col("thr"), 1),
-                 F.lit("%; the average daily break rate is "), _num(F.col("mean"), 1), F.lit("%.")),
+        _figures(days=F.col("n").cast("string"), sigma=F.lit(f"{cfg.sigma:g}"), limit=_num(F.col("thr"), 1),
+                 mean=_num(F.col("mean"), 1)),
         dates=first5.agg(F.array_join(F.array_sort(F.collect_list("trade_date_str")), ",")).scalar()))
 
     conc = counterparty_concentration(cube, cfg).select(*_alert(
         2, L.MEDIUM, L.COUNTERPARTY_CONCENTRATION,
-        F.concat(F.col("counterparty"), F.lit(" holds "), _num(F.col("share_pct"), 1),
-                 F.lit(f"% of all settlement breaks, above the {cfg.concentration_pct:g}% "
-                       "single-counterparty limit.")),
+        _figures(counterparty=F.col("counterparty"), share=_num(F.col("share_pct"), 1),
+                 limit=F.lit(f"{cfg.concentration_pct:g}")),
         sub=-F.col("share_pct"), counterparty=F.col("counterparty")))
 
     facts = break_alert_facts(cube, cfg)
     high = facts.where(F.col("high_value_count") > 0).select(*_alert(
         3, L.HIGH, L.HIGH_VALUE_BREAKS,
-        F.concat(_num(F.col("high_value_count")),
-                 F.lit(f" breaks are above {cfg.high_value:,.0f} in notional value, "),
-                 _num(F.col("high_value_total"), 0), F.lit(" in total.")),
+        _figures(breaks=_num(F.col("high_value_count")), value=_num(F.col("high_value_total"), 0),
+                 limit=F.lit(f"{cfg.high_value:,.0f}")),
         count=F.col("high_value_count")))
     aged = facts.where(F.col("aged_count") > 0).select(*_alert(
         4, L.HIGH, L.AGING_BREAKS,
-        F.concat(_num(F.col("aged_count")), F.lit(" breaks are older than 30 days, carrying "),
-                 _num(F.col("aged_value"), 0), F.lit(" of notional exposure.")),
+        _figures(breaks=_num(F.col("aged_count")), value=_num(F.col("aged_value"), 0)),
         count=F.col("aged_count")))
     failed = facts.where(F.col("failed_count") > F.lit(cfg.failed_min)).select(*_alert(
         5, L.MEDIUM, L.FAILED_SETTLEMENT_VOLUME,
-        F.concat(_num(F.col("failed_count")),
-                 F.lit(f" settlements failed, more than the operating limit of {cfg.failed_min:,}.")),
+        _figures(failed=_num(F.col("failed_count")), limit=F.lit(f"{cfg.failed_min:,}")),
         count=F.col("failed_count")))
 
     union = spike.unionByName(conc).unionByName(high).unionByName(aged).unionByName(failed)

@@ -25,12 +25,12 @@ FLAG_COLUMNS = tuple(f"flag_{name}" for name, _ in L.CHECKS)
 
 def _abs_diff_above(a: str, b: str, tol) -> str:
     # NULL when either side is missing -> coalesced to false
-    return f"coalesce(abs({a} - {b}) > {tol!r}, false)"
+    return f"coalesce(abs({a} - {b}) > {tol}, false)"
 
 
 def flag_exprs(cfg: ReconConfig) -> dict[str, str]:
     """SQL text of the six checks; each is false when a side is missing."""
-    qty_tol = int(cfg.qty_tol)
+    qty_tol = f"CAST({float(cfg.qty_tol)!r} AS DOUBLE)"
     price_tol = f"CAST({float(cfg.price_tol)!r} AS DOUBLE)"
     return {
         "flag_quantity": _abs_diff_above("quantity_int", "quantity_cust", qty_tol),
@@ -50,6 +50,12 @@ def label_expr() -> str:
     return f"CASE WHEN {joined} = '' THEN '{L.MATCHED}' ELSE {joined} END"
 
 
+def labels_expr() -> str:
+    """The fired labels as an array, in check order (empty: matched)."""
+    parts = ", ".join(f"CASE WHEN flag_{name} THEN '{label}' END" for name, label in L.CHECKS)
+    return f"filter(array({parts}), x -> x IS NOT NULL)"
+
+
 def classify(joined: DataFrame, cfg: ReconConfig) -> DataFrame:
     """Adds the six flags, then break_type, is_break and break_value."""
     flags = [f"{expr} AS {name}" for name, expr in flag_exprs(cfg).items()]

@@ -3,13 +3,13 @@
 All summaries, alerts and insight tables of the reference are one-key
 counts and sums over the reconciled rows (by counterparty, trade type, day,
 aging bucket, label, weekday, status, or over everything).  Instead of one
-scan and one shuffle per summary, a single ``GROUPING SETS`` aggregation
-computes them: Spark expands each row once per grouping set inside the same
-whole-stage-codegen pipeline, aggregates partially on the map side (so a
-partition's output is a few thousand rows at most, whatever a hot key
-holds), and shuffles only those partial rows.  Aging bucket and weekday are
+scan and one shuffle per summary, ``row_aggregates`` computes them with one
+``GROUPING SETS`` aggregation: Spark expands each row once per grouping set
+inside the same whole-stage-codegen pipeline and aggregates partially on the
+map side, so a hot key is a few rows per task.  Its result is written, and
+``break_cube`` works on the written rows only: aging bucket and weekday are
 functions of the trade date, so their slices are re-aggregated from the day
-slice (exact: money stays in integer cents until the end).
+slice (exact: money stays decimal until the end).
 
 The result is bounded by the sizes of the dimensions (days + counterparties
 + labels + ...), independent of the number of trades, so persisting it is
@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from ..config import ReconConfig
 from ..functions import labels as L
-from ..functions.numeric import cents_to_amount, count_true, money
+from ..functions.numeric import amount, count_true, money
 from .aging import bucket_expr
 
 DIMENSIONS = ("counterparty", "trade_type", "day", "aging", "label", "weekday", "status")
@@ -39,10 +39,10 @@ ALL = "all"
 
 _COUNTS = ("rows", "keyed_rows", "breaks", "keyed_breaks",
            *[f"n_{name}" for name, _ in L.CHECKS], "high_value_count", "aged_count", "failed_count")
-_CENTS = ("value_cents", "high_value_cents", "aged_value_cents")
+_SUMS = ("value_sum", "high_value_sum", "aged_value_sum")
 
 
-def _row_aggregates(recon: DataFrame, cfg: ReconConfig) -> DataFrame:
+def row_aggregates(recon: DataFrame, cfg: ReconConfig) -> DataFrame:
     is_break = F.col("is_break")
     high = is_break & (F.col("break_value") > F.lit(float(cfg.high_value)))
     aged = is_break & F.col("aging_bucket").isin(*L.AGED_BUCKETS)
@@ -67,22 +67,22 @@ def _row_aggregates(recon: DataFrame, cfg: ReconConfig) -> DataFrame:
         count_true(F.col("_high")).alias("high_value_count"),
         count_true(F.col("_aged")).alias("aged_count"),
         count_true(F.col("_failed")).alias("failed_count"),
-        F.sum(money(F.col("break_value"))).alias("value_cents"),
-        F.sum(F.when(F.col("_high"), money(F.col("break_value")))).alias("high_value_cents"),
-        F.sum(F.when(F.col("_aged"), money(F.col("break_value")))).alias("aged_value_cents"),
+        F.sum(money(F.col("break_value"))).alias("value_sum"),
+        F.sum(F.when(F.col("_high"), money(F.col("break_value")))).alias("high_value_sum"),
+        F.sum(F.when(F.col("_aged"), money(F.col("break_value")))).alias("aged_value_sum"),
         *[F.grouping(d).alias(f"g_{d}") for d in ROW_DIMENSIONS],
     )
 
 
-def break_cube(recon: DataFrame, cfg: ReconConfig) -> DataFrame:
-    agg = _row_aggregates(recon, cfg)
+def break_cube(agg: DataFrame, cfg: ReconConfig) -> DataFrame:
+    """The cube from the written rows of ``row_aggregates``."""
     dim = F.lit(ALL)
     key = F.lit(None).cast("string")
     for d in reversed(ROW_DIMENSIONS):
         dim = F.when(F.col(f"g_{d}") == 0, F.lit(d)).otherwise(dim)
         value = F.date_format(F.col(d), "yyyy-MM-dd") if d == "day" else F.col(d)
         key = F.when(F.col(f"g_{d}") == 0, value).otherwise(key)
-    measures = [*_COUNTS, *_CENTS]
+    measures = [*_COUNTS, *_SUMS]
     per_row = agg.select(dim.alias("dim"), key.alias("key"), F.col("day").alias("_day"), *measures)
 
     # aging bucket and weekday from the day slice (one row per trade date)
@@ -98,15 +98,15 @@ def break_cube(recon: DataFrame, cfg: ReconConfig) -> DataFrame:
     out = per_row.drop("_day")
     for d in derived:
         out = out.unionByName(d.groupBy("dim", "key").agg(*sums))
-    dbl = lambda c: F.coalesce(cents_to_amount(F.col(c)), F.lit(0.0))
+    dbl = lambda c: amount(F.col(c))
     return out.select(
         "dim", "key", *[F.col(c).cast("bigint").alias(c) for c in _COUNTS[:4]],
-        dbl("value_cents").alias("value"),
+        dbl("value_sum").alias("value"),
         *[F.col(f"n_{name}").cast("bigint").alias(f"n_{name}") for name, _ in L.CHECKS],
         F.col("high_value_count").cast("bigint").alias("high_value_count"),
-        dbl("high_value_cents").alias("high_value_total"),
+        dbl("high_value_sum").alias("high_value_total"),
         F.col("aged_count").cast("bigint").alias("aged_count"),
-        dbl("aged_value_cents").alias("aged_value"),
+        dbl("aged_value_sum").alias("aged_value"),
         F.col("failed_count").cast("bigint").alias("failed_count"),
     )
 

@@ -23,46 +23,17 @@ from . import alerts as A
 from . import summaries as S
 from . import trend
 
-# Display name and resolution priority per break label, as the
-# reference assigns them (quantity and failed HIGH, price and counterparty
-# MEDIUM, date LOW, exchange quantity unassigned).  Cause and action texts
-# are our own wording.
-REMEDIATION = (
-    (L.QUANTITY_MISMATCH, "Quantity Mismatch", "HIGH",
-     "Booked and settled quantities differ: partial fills, booking slips or lot-size rules.",
-     "Compare the blotter entry with the execution fill reports."),
-    (L.PRICE_MISMATCH, "Price Mismatch", "MEDIUM",
-     "Booked and settled prices differ beyond tolerance: stale price feeds, rounding or FX timing.",
-     "Check price source timestamps and how FX rates were applied."),
-    (L.COUNTERPARTY_MISMATCH, "Counterparty Mismatch", "MEDIUM",
-     "Counterparty names disagree between the internal master data and the custodian.",
-     "Fix the counterparty reference-data mapping."),
-    (L.DATE_MISMATCH, "Date Mismatch", "LOW",
-     "Settlement dates disagree: holiday calendars or settlement-cycle arithmetic.",
-     "Align the settlement calendars of all systems."),
-    (L.SETTLEMENT_FAILED, "Settlement Failed", "HIGH",
-     "The custodian reports a failed settlement: missing securities or cash, or a rejected instruction.",
-     "Confirm the custodian holds valid settlement instructions."),
-    (L.EXCHANGE_QTY_MISMATCH, "Exchange Qty Mismatch", None,
-     "Exchange and blotter quantities differ: fills not aggregated into the booked trade.",
-     "Reconcile exchange fills against the aggregated blotter entry."),
-)
-FALLBACK_CAUSE = "No known cause for this label."
-FALLBACK_ACTION = "Route to an operations analyst."
-
-REMEDIATION_SCHEMA = T.StructType([
-    T.StructField("break_type", T.StringType()), T.StructField("display_name", T.StringType()),
-    T.StructField("priority", T.StringType()), T.StructField("root_cause", T.StringType()),
-    T.StructField("action", T.StringType()),
-])
+#: fixed values: resolution priority by break label
+PRIORITIES = ((L.QUANTITY_MISMATCH, "HIGH"), (L.PRICE_MISMATCH, "MEDIUM"), (L.COUNTERPARTY_MISMATCH, "MEDIUM"),
+              (L.DATE_MISMATCH, "LOW"), (L.SETTLEMENT_FAILED, "HIGH"), (L.EXCHANGE_QTY_MISMATCH, None))
 
 
 def remediation_table(spark: SparkSession) -> DataFrame:
-    """The six-row dimension as an inline literal (planned in the JVM, no
-    Python RDD behind it)."""
-    names = [f.name for f in REMEDIATION_SCHEMA.fields]
-    rows = [F.struct(*[F.lit(v).cast("string").alias(n) for v, n in zip(row, names)])
-            for row in REMEDIATION]
+    """The shipped remediation table: one row per label with its priority.
+    Causes and actions are the user's own (``root_cause_by_type``)."""
+    rows = [F.struct(F.lit(label).alias("break_type"), F.lit(priority).cast("string").alias("priority"),
+                     F.lit(None).cast("string").alias("root_cause"), F.lit(None).cast("string").alias("action"))
+            for label, priority in PRIORITIES]
     return spark.range(1).select(F.inline(F.array(*rows)))
 
 
@@ -70,21 +41,16 @@ def _display(label: Column) -> Column:
     return F.initcap(F.regexp_replace(label, "_", " "))
 
 
-def root_cause_by_type(spark: SparkSession, cube: DataFrame) -> DataFrame:
+def root_cause_by_type(spark: SparkSession, cube: DataFrame, remediation: DataFrame | None = None) -> DataFrame:
     """I2 + I4: label, count, share of instances, cause, action, priority.
 
-    The remediation table has one row per known label (a fixed six-row
-    dimension), so broadcasting it is always safe."""
-    dist = S.type_distribution(cube)
-    dim = F.broadcast(remediation_table(spark))
-    return (dist.join(dim, "break_type", "left")
-            .select("break_type",
-                    F.coalesce("display_name", _display(F.col("break_type"))).alias("display_name"),
-                    "count",
+    ``remediation`` (break_type, priority, root_cause, action) is the user's
+    table of causes and actions, one row per label."""
+    dim = remediation_table(spark) if remediation is None else remediation
+    return (S.type_distribution(cube).join(dim, "break_type", "left")
+            .select("break_type", _display(F.col("break_type")).alias("display_name"), "count",
                     half_even(F.col("instance_share_pct"), 1).alias("share_pct"),
-                    F.coalesce("root_cause", F.lit(FALLBACK_CAUSE)).alias("root_cause"),
-                    F.coalesce("action", F.lit(FALLBACK_ACTION)).alias("action"),
-                    "priority"))
+                    "root_cause", "action", "priority"))
 
 
 def _one(df: DataFrame) -> Column:
@@ -155,7 +121,7 @@ def _num(col: Column, digits: int = 0) -> Column:
 
 
 def kb_faq(cube: DataFrame, daily: DataFrame, cs: DataFrame, cfg: ReconConfig) -> DataFrame:
-    """Six question/answer rows filled from the figures."""
+    """Six rows, each a question key and the figures that answer it."""
     k = S.kpis(cube)
     top_cp = cs.orderBy(F.desc("breaks"), F.asc("counterparty_int")).limit(1)
     top3 = (S.type_counts(cube).orderBy(F.desc("count"), F.asc("break_type")).limit(3)
@@ -179,36 +145,20 @@ def kb_faq(cube: DataFrame, daily: DataFrame, cs: DataFrame, cfg: ReconConfig) -
                                      F.regexp_replace(s["alert_type"], "_", " "))), " ").alias("txt")))
     n_alerts = alerts.agg(F.count(F.lit(1))).scalar()
 
+    def row(rank: int, df: DataFrame, question: str, **figures: Column) -> DataFrame:
+        return df.select(F.lit(rank).alias("faq_rank"), F.lit(question).alias("question"),
+                         A._figures(**figures).alias("answer"))
+
     rows = [
-        k.select(F.lit(1).alias("faq_rank"),
-                 F.lit("What is the settlement match rate?").alias("question"),
-                 F.concat(F.lit("The match rate is "), _num(F.col("match_rate"), 1), F.lit("%: "),
-                          _num(F.col("total_breaks")), F.lit(" of "), _num(F.col("total_trades")),
-                          F.lit(" trades carry at least one break.")).alias("answer")),
-        top_cp.select(F.lit(2).alias("faq_rank"),
-                      F.lit("Which counterparty has the most breaks?").alias("question"),
-                      F.concat(F.col("counterparty_int"), F.lit(", with "), _num(F.col("breaks")),
-                               F.lit(" breaks worth "), _num(F.col("total_break_value"), 0),
-                               F.lit(".")).alias("answer")),
-        top3.select(F.lit(3).alias("faq_rank"),
-                    F.lit("Which break types are most common?").alias("question"),
-                    F.concat(F.lit("Most common: "), F.col("txt"), F.lit(".")).alias("answer")),
-        facts.select(F.lit(4).alias("faq_rank"),
-                     F.lit(f"How many breaks are above {cfg.high_value:,.0f}?").alias("question"),
-                     F.concat(_num(F.col("high_value_count")),
-                              F.lit(f" breaks are above {cfg.high_value:,.0f} in notional value "
-                                    "and are handled first.")).alias("answer")),
-        aging.select(F.lit(5).alias("faq_rank"),
-                     F.lit("How old are the open breaks?").alias("question"),
-                     F.concat(F.lit("Breaks by age: "),
-                              F.when(F.col("txt") != F.lit(""), F.col("txt")).otherwise(F.lit("none")),
-                              F.lit(". Breaks older than 30 days are escalated.")).alias("answer")),
-        first3.select(F.lit(6).alias("faq_rank"),
-                      F.lit("Are there any anomalies?").alias("question"),
-                      F.concat(n_alerts.cast("string"), F.lit(" alerts are active"),
-                               F.when(F.col("txt") != F.lit(""), F.concat(F.lit(": "), F.col("txt")))
-                               .otherwise(F.lit("")),
-                               F.lit(".")).alias("answer")),
+        row(1, k, "match_rate", match_rate=_num(F.col("match_rate"), 1), breaks=_num(F.col("total_breaks")),
+            trades=_num(F.col("total_trades"))),
+        row(2, top_cp, "top_counterparty", counterparty=F.col("counterparty_int"), breaks=_num(F.col("breaks")),
+            value=_num(F.col("total_break_value"), 0)),
+        row(3, top3, "common_break_types", types=F.col("txt")),
+        row(4, facts, "high_value_breaks", breaks=_num(F.col("high_value_count")),
+            limit=F.lit(f"{cfg.high_value:,.0f}")),
+        row(5, aging, "breaks_by_age", ages=F.col("txt")),
+        row(6, first3, "alerts", alerts=n_alerts.cast("string"), first=F.col("txt")),
     ]
     out = rows[0]
     for r in rows[1:]:

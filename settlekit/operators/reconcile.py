@@ -20,32 +20,30 @@ pandas null-equals-null rule: matching nulls would emit all pairs among
 them).  They are kept as one-legged rows and are appended without any
 shuffle, so a feed full of null keys does not create a hot partition.
 
-Duplicated keys (``duplicates=``):
-
-* ``"align"`` (default).  The copies of a key inside each feed are numbered
-  1..n in content order and the k-th copies are matched with each other
-  (join on ``trade_id, seq``).  Every input row appears in exactly one
-  output row, so a key held by a third of all rows cannot explode into the
-  product of its copies.  Numbering is distributed: rows of duplicated keys
-  are range-partitioned on (trade_id, content), which splits a hot key over
-  many tasks; each task numbers its slice and per-slice offsets (one row per
-  key and slice) are added back.  Whether any key is duplicated is checked
-  first (one pass over the three key columns); unique-key feeds take the
-  plain plan.  The duplicated-key set is broadcast only below
-  ``broadcast_limit`` keys, else the split is a shuffle join.
-* ``"multiply"``.  The reference's many-to-many product, for parity on
-  trusted data; quadratic in the copies of a key.
+Duplicated keys.  The copies of a key are paired, not multiplied, so every
+input row appears in exactly one output row and a key held by a third of all
+rows cannot explode into the product of its copies:
+
+1. Exact twins first: rows of one (trade_id, quantity, price), which all
+   feeds have, are numbered in each feed; equal numbers share a seat.
+2. A row whose seat no other feed holds is a leftover.  A feed's leftovers
+   take, in one shared order, the seats of two feeds that lack this feed;
+   further leftovers are paired with those of the other feeds in order.
+
+Numbering is distributed: rows are range-partitioned on (group, order, scan
+position), which splits a hot group over many tasks; each task numbers its
+slice and per-slice offsets (one row per group and slice) are added back.
+Whether any key is duplicated is checked first (one pass over the three key
+columns); unique-key feeds take the plain plan.
 """
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import schemas
-from ..session import ensure_checkpoint_dir
+from ..session import land
 from ..sources.feeds import Feeds
 
 
@@ -59,15 +57,14 @@ def legs(feeds: Feeds) -> tuple[DataFrame, DataFrame, DataFrame]:
             _leg(feeds.exchange, schemas.EXCHANGE_LEG))
 
 
-def internal_vs_custodian(feeds: Feeds, duplicates: str = "align",
-                          broadcast_limit: int = 1_000_000) -> DataFrame:
+def internal_vs_custodian(feeds: Feeds, cached: list | None = None) -> DataFrame:
     """J1 alone: internal and custodian joined on trade_id (full outer
     semantics), with the same key-set plan and duplicate policy as the
     three-way join."""
     i, c, _ = legs(feeds)
-    (i, c), on, _ = _prepare([i, c], duplicates, broadcast_limit)
+    (i, c), on, keys = _prepare([i, c], cached)
     cols = [n for _, n in schemas.INTERNAL_LEG] + [n for _, n in schemas.CUSTODIAN_LEG[1:]]
-    return _keys_strategy([i, c], on).select(*cols)
+    return _keys_strategy([i, c], on, keys).select(*cols)
 
 
 def _keys_strategy(frames: list[DataFrame], on: list[str],
@@ -138,113 +135,88 @@ def duplicated_keys(*frames: DataFrame) -> DataFrame:
     return _dups_of(key_table(*frames), len(frames))
 
 
-def number_copies(df: DataFrame, dup: DataFrame, parts: int, broadcast_dup: bool) -> DataFrame:
-    """Adds ``seq``: 1 for keys with one copy, 1..n in content order for
-    the copies of a duplicated key -- computed without putting all copies
-    of a key in one task.
-
-    The rows of duplicated keys are range-partitioned and positioned once
-    and written under the checkpoint dir; the per-slice counts and the
-    final numbering both read that file, so positions cannot differ between
-    two evaluations (and a lost executor re-reads instead of re-deriving)."""
-    spark = df.sparkSession
-    dup = F.broadcast(dup) if broadcast_dup else dup
-    single = df.join(dup, "trade_id", "left_anti").withColumn("seq", F.lit(1).cast("long"))
-    content = [col for col in df.columns if col != "trade_id"]
-    # Copies are ranked by content; identical copies are interchangeable and
-    # are told apart by their scan position, so every range key is distinct
-    # and even a key whose copies are all identical splits over many tasks.
-    order = ["trade_id", *content, "_pos"]
-    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/settlekit-copies-{uuid.uuid4().hex}"
-    (df.withColumn("_pos", F.monotonically_increasing_id())
-     .join(dup, "trade_id", "left_semi")
-     .repartitionByRange(parts, *order).sortWithinPartitions(*order)
-     .withColumn("_mid", F.monotonically_increasing_id())
-     .withColumn("_slice", F.shiftright("_mid", 33))
-     .drop("_pos")
-     .write.parquet(path))
-    ranged = spark.read.parquet(path)
-    # one row per (key, slice): bounded by the number of partitions per key
-    slices = ranged.groupBy("trade_id", "_slice").agg(F.count(F.lit(1)).alias("_n"),
-                                                      F.min("_mid").alias("_lo"))
-    before = Window.partitionBy("trade_id").orderBy("_slice").rowsBetween(
-        Window.unboundedPreceding, -1)
+def number(df: DataFrame, group: list[str], order: list[str], name: str) -> DataFrame:
+    """Adds ``name``: 1..n within ``group`` in ``order``, computed without
+    putting a group into one task.
+
+    The rows are range-partitioned and positioned once and written under the
+    checkpoint dir; the per-slice counts and the final numbering both read
+    that file, so positions cannot differ between two evaluations (and a lost
+    executor re-reads instead of re-deriving).  Rows that are equal in group
+    and order are told apart by their scan position, so even a group of
+    identical rows splits over many tasks."""
+    by = [*group, *[c for c in order if c not in group], "_pos"]
+    ranged = land(df.withColumn("_pos", F.monotonically_increasing_id())
+                  .repartitionByRange(*by).sortWithinPartitions(*by)
+                  .withColumn("_mid", F.monotonically_increasing_id())
+                  .withColumn("_slice", F.shiftright("_mid", 33)).drop("_pos"), "copies")
+    # one row per group and slice: bounded by the number of partitions per group
+    slices = ranged.groupBy(*group, "_slice").agg(F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_lo"))
+    before = Window.partitionBy(*group).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     slices = slices.withColumn("_off", F.coalesce(F.sum("_n").over(before), F.lit(0)))
-    numbered = (ranged.join(slices, ["trade_id", "_slice"])
-                .withColumn("seq", (F.col("_off") + F.col("_mid") - F.col("_lo") + 1).cast("long"))
-                .select(*df.columns, "seq"))
-    return single.unionByName(numbered)
-
-
-# Keys per join partition: a key brings ~300 bytes of feed rows into the
-# join, so ~400k keys is ~128 MB per task.
-KEYS_PER_PARTITION = 400_000
-# Only a key table below this size is ever re-shuffled to fewer partitions.
-SMALL_KEY_TABLE = 50_000_000
-
-
-def _sized_key_side(keys: DataFrame, n_keys: int) -> DataFrame:
-    """The key side of the joins.  The cached key table keeps the session's
-    shuffle partition count, which AQE cannot coalesce once cached; when the
-    table is small and over-partitioned at least twofold, re-shuffle just
-    the keys to a size-based count (the feeds then follow it).  Large tables
-    keep the configured partitioning and are not shuffled again."""
-    spark = keys.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    side = keys.select("trade_id")
-    if n_keys >= SMALL_KEY_TABLE:
-        return side
-    want = max(spark.sparkContext.defaultParallelism, -(-n_keys // KEYS_PER_PARTITION))
-    return side.repartition(want, "trade_id") if 2 * want <= parts else side
-
-
-def _prepare(frames: list[DataFrame], duplicates: str, broadcast_limit: int,
-             cached: list | None = None
+    same = [F.col(f"r.{c}").eqNullSafe(F.col(f"s.{c}")) for c in [*group, "_slice"]]
+    out = ranged.alias("r").join(slices.alias("s"), same)
+    return out.select(*[F.col(f"r.{c}").alias(c) for c in df.columns],
+                      (F.col("_off") + F.col("_mid") - F.col("_lo") + 1).cast("long").alias(name))
+
+
+def pair_copies(frames: list[DataFrame], dup: DataFrame) -> list[DataFrame]:
+    """The frames with ``seat``: rows of a duplicated key that belong together
+    have equal seats (see the module docstring); other rows have seat ''."""
+    numbered, seats = [], None
+    twin = F.concat_ws(":", F.lit("t"), F.coalesce(F.col("_q").cast("string"), F.lit("-")),
+                       F.coalesce(F.col("_p").cast("string"), F.lit("-")), F.col("_k").cast("string"))
+    for n, f in enumerate(frames):
+        qty, price = (next(c for c in f.columns if c.startswith(x)) for x in ("quantity_", "price_"))
+        rows = f.join(dup, "trade_id", "left_semi").withColumns({"_q": F.col(qty), "_p": F.col(price)})
+        rows = land(number(rows, ["trade_id", "_q", "_p"], [c for c in f.columns if c != "trade_id"], "_k")
+                    .withColumn("_twin", twin), "copies")
+        numbered.append(rows)
+        here = rows.select("trade_id", "_q", "_p", "_k", "_twin", F.lit(1 << n).alias("_bit"))
+        seats = here if seats is None else seats.unionByName(here)
+    # which feeds hold a seat, as bits
+    seats = land(seats.groupBy("trade_id", "_q", "_p", "_k", "_twin").agg(
+        F.sum("_bit").cast("int").alias("_held")), "copies")
+    order = ["_q", "_p", "_k"]
+    out = []
+    for n, (f, rows) in enumerate(zip(frames, numbered)):
+        alone = number(seats.where(F.col("_held") == 1 << n), ["trade_id"], order, "_r")
+        free = number(seats.where((F.col("_held").bitwiseAND(1 << n) == 0) & (F.bit_count("_held") > 1)),
+                      ["trade_id"], order, "_r")
+        taken = free.select("trade_id", "_r", F.col("_twin").alias("_seat"))
+        spare = free.groupBy("trade_id").agg(F.max("_r").alias("_spare"))
+        moved = (alone.select("trade_id", "_twin", "_r").join(taken, ["trade_id", "_r"], "left")
+                 .join(spare, "trade_id", "left")
+                 .select("trade_id", "_twin", F.coalesce("_seat", F.concat(F.lit("r:"), (
+                     F.col("_r") - F.coalesce("_spare", F.lit(0))).cast("string"))).alias("_seat")))
+        placed = rows.join(moved, ["trade_id", "_twin"], "left").select(
+            *f.columns, F.coalesce("_seat", "_twin").alias("seat"))
+        single = f.join(dup, "trade_id", "left_anti").withColumn("seat", F.lit(""))
+        out.append(single.unionByName(placed))
+    return out
+
+
+def _prepare(frames: list[DataFrame], cached: list | None = None
              ) -> tuple[list[DataFrame], list[str], DataFrame | None]:
-    """Apply the duplicate policy; returns the frames, the join key and,
-    when it can serve as the key side of the join, the key table.
-
-    With ``cached`` (a list the caller owns), the key table is persisted and
-    appended there: the duplicate check is then a filter over it and the
-    joins reuse it -- and its hash partitioning -- instead of aggregating
-    and shuffling the keys a second time.  The caller unpersists it once
-    the joined rows are stored."""
-    if duplicates == "multiply":
-        return frames, ["trade_id"], None
-    if duplicates != "align":
-        raise ValueError(f"unknown duplicates policy {duplicates!r}")
-    keys = key_table(*frames)
+    """Pair the copies of duplicated keys; returns the frames, the join key
+    and, when no key is duplicated, the key table.
+
+    The key table is persisted (the caller owns ``cached`` and releases it
+    once the joined rows are stored): the duplicate check is a filter over it
+    and the joins reuse it and its hash partitioning instead of aggregating
+    the keys a second time."""
+    keys = key_table(*frames).persist()
     if cached is not None:
-        keys = keys.persist()
         cached.append(keys)
     dup = _dups_of(keys, len(frames))
-    if cached is None:
-        # one pass over the key columns; counted only when there are any
-        n_dup = 0 if dup.isEmpty() else dup.count()
-        n_keys = None
-    else:
-        # one job fills the cache and returns both figures
-        is_dup = None
-        for n in range(len(frames)):
-            c = F.col(f"n{n}") > 1
-            is_dup = c if is_dup is None else is_dup | c
-        stats = keys.agg(F.count(F.lit(1)).alias("n_keys"),
-                         F.sum(F.when(is_dup, 1).otherwise(0)).alias("n_dup")).first()
-        n_keys, n_dup = stats.n_keys, stats.n_dup or 0
-    if not n_dup:
-        if cached is None:
-            return frames, ["trade_id"], None
-        return frames, ["trade_id"], _sized_key_side(keys, n_keys)
-    spark = frames[0].sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    small = n_dup <= broadcast_limit
-    return ([number_copies(f, dup, parts, small) for f in frames], ["trade_id", "seq"], None)
-
-
-def three_way(feeds: Feeds, strategy: str = "keys", duplicates: str = "align",
-              broadcast_limit: int = 1_000_000, cached: list | None = None) -> DataFrame:
+    if dup.isEmpty():
+        return frames, ["trade_id"], keys.select("trade_id")
+    return pair_copies(frames, land(dup, "duplicated-keys")), ["trade_id", "seat"], None
+
+
+def three_way(feeds: Feeds, strategy: str = "keys", cached: list | None = None) -> DataFrame:
     """J1 + J2: the 26 joined columns of the reconciliation report."""
-    (i, c, e), on, keys = _prepare(list(legs(feeds)), duplicates, broadcast_limit, cached)
+    (i, c, e), on, keys = _prepare(list(legs(feeds)), cached)
     if strategy == "keys":
         out = _keys_strategy([i, c, e], on, keys)
     elif strategy == "chain":

@@ -2,34 +2,29 @@
 
 ``ReconContext`` owns the DataFrames every query starts from (joined rows,
 classified and aged rows, the break cube and the tables read from it).
-Nothing is collected to the driver.  Two small jobs run when a context is
-first used: the duplicate-key check of the join (a count over the key
-columns) and the write of the break cube (a few thousand rows) under the
-checkpoint dir; everything else stays lazy until the caller's action.
-
-Two ways to share the row-level work between many summaries:
-
-* ``persist()`` -- Spark cache (memory, spilling to disk).  Lost blocks are
-  recomputed from lineage if an executor dies.
-* ``materialize()`` -- write the classified rows once as parquet under the
-  cluster's shared ``spark.checkpoint.dir`` (the reference also writes its
-  report and reads it back) and continue from the files.  This cuts the
-  lineage: later failures re-read files instead of re-joining the feeds.
+Nothing is collected to the driver.  Two jobs run when a context is first
+used: the duplicate-key check of the join and the write of the row-level
+aggregates under the checkpoint dir; everything else stays lazy until the
+caller's action.
+
+``materialize()`` writes the classified rows once as parquet under the
+cluster's shared ``spark.checkpoint.dir`` (the reference also writes its
+report and reads it back) and continues from the files: each summary reads
+only its columns, and a later failure re-reads files instead of re-joining
+the feeds.  ``release()`` deletes what a context has written.
 """
 
 from __future__ import annotations
 
-import uuid
 from functools import cached_property
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 from .. import schemas
 from ..config import ReconConfig
 from ..operators import aging, breaks, reconcile, summaries
-from ..operators.cube import break_cube
-from ..session import ensure_checkpoint_dir
+from ..operators.cube import break_cube, row_aggregates
+from ..session import remove, scratch
 from ..sources.feeds import Feeds
 
 
@@ -41,13 +36,13 @@ class ReconContext:
         self._recon: DataFrame | None = None
         self._cube: DataFrame | None = None
         self._join_caches: list[DataFrame] = []   # key table of the join
+        self._written: list[str] = []
 
     # -- row level ----------------------------------------------------------
     @cached_property
     def joined(self) -> DataFrame:
         """J1 + J2: 26 joined columns."""
-        return reconcile.three_way(self.feeds, self.cfg.strategy, self.cfg.duplicates,
-                                   cached=self._join_caches)
+        return reconcile.three_way(self.feeds, self.cfg.strategy, cached=self._join_caches)
 
     @property
     def recon(self) -> DataFrame:
@@ -70,32 +65,26 @@ class ReconContext:
         return summaries.breaks_only(self.report)
 
     # -- shared aggregates -----------------------------------------------------
+    def _write(self, df: DataFrame, name: str) -> DataFrame:
+        path = scratch(self.spark, name)
+        df.write.parquet(path)
+        self._written.append(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
     @property
     def cube(self) -> DataFrame:
         """All one-key aggregates from one pass over the rows (see
-        operators.cube), written once on first use.
-
-        Its size is bounded by the dimensions (days, counterparties, labels,
-        ...), not by the number of trades, so writing it once is cheap.  The
-        checkpoint goes to the session's shared ``spark.checkpoint.dir`` and
-        cuts the lineage: every summary, alert and insight of this context
-        plans against a few-KB table instead of the whole derive-join-classify
-        plan, and a lost executor costs a re-read, not a re-join.  One
-        partition: each downstream job over it is a single task."""
+        operators.cube), written on first use.
+
+        The aggregation of the rows is written with whatever partitioning it
+        has, and its result, which is bounded by the dimensions (days,
+        counterparties, labels, ...), is read back to derive the cube.  The
+        cube is kept as one partition, so every query over it is one small
+        task without exchanges; a lost block is re-read from the file."""
         if self._cube is None:
-            root = ensure_checkpoint_dir(self.spark).rstrip("/")
-            path = f"{root}/settlekit-cube-{uuid.uuid4().hex}"
-            # a written table rather than Dataset.checkpoint(): one job, where
-            # a reliable RDD checkpoint recomputes the lineage to write it
-            break_cube(self.recon, self.cfg).coalesce(1).write.parquet(path)
-            # read back as one cached partition: its SinglePartition output
-            # satisfies every aggregate and window over it, so no query on
-            # the cube needs an exchange; a lost block is re-read from the
-            # file, not recomputed from the rows
-            self._cube = self.spark.read.parquet(path).coalesce(1).persist()
+            rows = self._write(row_aggregates(self.recon, self.cfg), "aggregates")
+            self._cube = self._write(break_cube(rows, self.cfg), "cube").coalesce(1).persist()
             if self._rows_kept:
-                # the joined rows are cached or stored now; the key table
-                # of the join is no longer needed
                 self._release_join_caches()
         return self._cube
 
@@ -108,28 +97,27 @@ class ReconContext:
         return summaries.counterparty_summary(self.cube)
 
     # -- reuse ---------------------------------------------------------------
-    _rows_kept = False   # set once the joined rows are persisted or written
+    _rows_kept = False   # set once the joined rows are written
 
     def _release_join_caches(self) -> None:
         for df in self._join_caches:
             df.unpersist()
         self._join_caches.clear()
 
-    def persist(self, level: StorageLevel = StorageLevel.MEMORY_AND_DISK) -> "ReconContext":
-        self._recon = self.recon.persist(level)
-        self._rows_kept = True
-        self._cube = None
+    def materialize(self) -> "ReconContext":
+        """Write the classified rows as parquet and continue from the files."""
+        if not self._rows_kept:
+            self._recon = self._write(self.recon, "rows")
+            self._rows_kept = True
+            self._release_join_caches()
         return self
 
-    def materialize(self, path: str | None = None) -> "ReconContext":
-        """Write the classified rows as parquet and continue from the files."""
-        if path is None:
-            root = ensure_checkpoint_dir(self.spark).rstrip("/")
-            path = f"{root}/settlekit-recon-{uuid.uuid4().hex}"
-        self.recon.write.mode("overwrite").parquet(path)
-        self._recon = self.spark.read.parquet(path)
-        self._rows_kept = True
+    def release(self) -> None:
+        """Drop the caches and delete the written tables; the context must
+        not be used afterwards."""
+        if self._cube is not None:
+            self._cube.unpersist()
         self._release_join_caches()
-        self._cube = None
-        self.materialized_path = path
-        return self
+        for path in self._written:
+            remove(self.spark, path)
+        self._written.clear()

@@ -8,8 +8,9 @@ values (shuffle partitions, checkpoint dir, ...) win.
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
@@ -47,3 +48,25 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     d = tempfile.mkdtemp(prefix="settlekit-ckpt-")
     spark.sparkContext.setCheckpointDir(d)
     return spark.sparkContext.getCheckpointDir() or d
+
+
+def scratch(spark: SparkSession, name: str) -> str:
+    """A fresh path in the shared checkpoint folder, deleted when the driver ends."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/settlekit-{name}-{uuid.uuid4().hex}"
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(p)
+    return path
+
+
+def land(df: DataFrame, name: str) -> DataFrame:
+    """Write df once to the shared folder and continue from the files: cuts
+    the lineage, so a lost executor re-reads instead of recomputing."""
+    path = scratch(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a scratch folder that is no longer read."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)

@@ -1,5 +1,4 @@
-"""The three trade feeds: reading them from storage, checking them, and
-deriving them from the driver's TPC-H-like tables.
+"""The three trade feeds: reading them from storage and cleaning them.
 
 ``Feeds`` is a plain triple of DataFrames; every operator downstream takes
 one and stays lazy.  Reading never infers a schema.
@@ -9,11 +8,11 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .. import schemas
-from ..functions.labels import FAILED_STATUS
 
 
 @dataclass(frozen=True)
@@ -31,29 +30,71 @@ class FeedSchemaError(ValueError):
     pass
 
 
-def validate(feed: DataFrame, name: str) -> DataFrame:
-    """Fail early when a required column is missing; cast the rest to the
-    contract types.  Extra columns are kept out (column pruning starts here)."""
-    wanted = schemas.FEED_SCHEMAS[name]
-    have = set(feed.columns)
-    missing = [f.name for f in wanted.fields if f.name not in have]
+#: fixed values: texts that CSV readers of the reference take as missing
+NULL_TOKENS = ("", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN",
+               "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null")
+
+
+def _clean(raw: DataFrame, field: T.StructField, null_tokens: bool) -> Column:
+    """A column in its contract type; a value that cannot be read, and a
+    number that is none (NaN), is NULL."""
+    c = F.col(f"`{field.name}`")
+    if null_tokens and isinstance(raw.schema[field.name].dataType, T.StringType):
+        c = F.when(~c.isin(*NULL_TOKENS), c)
+    if raw.schema[field.name].dataType != field.dataType:
+        c = c.try_cast(field.dataType)
+    if isinstance(field.dataType, (T.DoubleType, T.FloatType)):
+        c = F.nanvl(c, F.lit(None).cast(field.dataType))
+    return c.alias(field.name)
+
+
+def _wanted(feed: DataFrame, name: str) -> list[T.StructField]:
+    wanted = schemas.FEED_SCHEMAS[name].fields
+    missing = [f.name for f in wanted if f.name not in set(feed.columns)]
     if missing:
         raise FeedSchemaError(f"{name} feed lacks columns {missing}")
-    return feed.select([F.col(f.name).cast(f.dataType).alias(f.name) for f in wanted.fields])
+    return wanted
+
+
+def validate(feed: DataFrame, name: str, null_tokens: bool = False) -> DataFrame:
+    """Fail early when a required column is missing; bring the rest to the
+    contract types.  One unreadable value costs that value, not the run.
+    Extra columns are kept out (column pruning starts here)."""
+    return feed.select([_clean(feed, f, null_tokens) for f in _wanted(feed, name)])
+
 
+def feed_losses(feed: DataFrame, name: str, null_tokens: bool = False) -> DataFrame:
+    """One row per column: how many values ``validate`` turns into NULL
+    (``lost``) and how many are NULL afterwards (``missing``); the rows
+    without a trade_id are its ``missing`` count.  One pass over the feed."""
+    fields = _wanted(feed, name)
+    counts = []
+    for f in fields:
+        after = _clean(feed, f, null_tokens)
+        counts += [F.count(F.when(after.isNull() & F.col(f"`{f.name}`").isNotNull(), 1)).alias(f"lost_{f.name}"),
+                   F.count(F.when(after.isNull(), 1)).alias(f"missing_{f.name}")]
+    rows = ", ".join(f"'{f.name}', lost_{f.name}, missing_{f.name}" for f in fields)
+    return feed.agg(*counts).selectExpr(f"stack({len(fields)}, {rows}) AS (column_name, lost, missing)").select(
+        F.lit(name).alias("feed"), "column_name", "lost", "missing")
 
-def read_feed(spark: SparkSession, name: str, path: str, fmt: str = "parquet",
-              **options) -> DataFrame:
+
+def read_raw(spark: SparkSession, name: str, path: str, fmt: str = "parquet", **options) -> DataFrame:
+    """A feed as it is stored; CSV and JSON columns as text."""
+    reader = spark.read.format(fmt).options(**options)
+    if fmt in ("csv", "json"):
+        reader = reader.schema(T.StructType([T.StructField(f.name, T.StringType())
+                                             for f in schemas.FEED_SCHEMAS[name].fields]))
+    return reader.load(path)
+
+
+def read_feed(spark: SparkSession, name: str, path: str, fmt: str = "parquet", **options) -> DataFrame:
     """Read one feed with its declared schema.
 
     ``fmt`` is any DataFrameReader format (parquet, csv, json, orc, or a
-    table format whose package is on the classpath, e.g. "delta").  For CSV,
-    pass ``header="true"`` and, if the files use them, ``nullValue``.
+    table format whose package is on the classpath).  For CSV pass
+    ``header="true"``; the null tokens of the reference's reader are NULL.
     """
-    reader = spark.read.format(fmt).options(**options)
-    if fmt in ("csv", "json"):
-        reader = reader.schema(schemas.FEED_SCHEMAS[name])
-    return validate(reader.load(path), name)
+    return validate(read_raw(spark, name, path, fmt, **options), name, null_tokens=fmt == "csv")
 
 
 def read_feeds(spark: SparkSession, internal: str, custodian: str, exchange: str,
@@ -63,120 +104,3 @@ def read_feeds(spark: SparkSession, internal: str, custodian: str, exchange: str
         read_feed(spark, "custodian", custodian, fmt, **options),
         read_feed(spark, "exchange", exchange, fmt, **options),
     )
-
-
-def land_feeds(spark: SparkSession, feeds: Feeds, root: str) -> Feeds:
-    """Write three feeds as parquet under ``root`` (one folder each, written
-    by every task in parallel) and return them read back -- the hand-off
-    the reference makes between generating and reconciling feeds.  Later
-    plans start from file scans: small plans, column pruning for key-only
-    reads, and ``IS NULL`` key filters answered from parquet statistics."""
-    from concurrent.futures import ThreadPoolExecutor
-
-    root = root.rstrip("/")
-    # three independent jobs: submit them together so their tasks share the
-    # cluster instead of running one after the other
-    with ThreadPoolExecutor(max_workers=3) as pool:
-        list(pool.map(lambda kv: kv[1].write.mode("overwrite").parquet(f"{root}/{kv[0]}"),
-                      feeds.as_dict().items()))
-    return read_feeds(spark, f"{root}/internal", f"{root}/custodian", f"{root}/exchange")
-
-
-# ---------------------------------------------------------------------------
-# Feeds derived from orders / customer / nation (see FIXTURES.md, section 3).
-# Deterministic arithmetic on o_orderkey only -- no random numbers, no
-# hashes -- so the same rows can be rebuilt by the SQL oracle.
-# ---------------------------------------------------------------------------
-
-def _zpad(expr: str, width: int) -> str:
-    """SQL text: non-negative integer zero-padded to at least `width` digits
-    (printf '%0Nd'; plain lpad would truncate longer numbers).  Cheaper per
-    row than format_string, which goes through java.util.Formatter."""
-    return (f"CASE WHEN ({expr}) < {10 ** width} THEN lpad(CAST({expr} AS STRING), {width}, '0') "
-            f"ELSE CAST({expr} AS STRING) END")
-
-
-def _pick(key: str, labels: tuple[str, ...]) -> str:
-    """SQL text for labels[key % len(labels)]."""
-    whens = " ".join(f"WHEN {i} THEN '{v}'" for i, v in enumerate(labels))
-    return f"CASE {key} % {len(labels)} {whens} END"
-
-
-def derive_base(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # Explicit read schemas: o_orderdate is a wall-clock timestamp (parquet
-    # isAdjustedToUTC=false); reading it as timestamp_ntz keeps the trade
-    # date independent of the session time zone and of schema inference.
-    orders = spark.read.schema(
-        "o_orderkey BIGINT, o_custkey BIGINT, o_totalprice DOUBLE, o_orderdate TIMESTAMP_NTZ, "
-        "o_orderpriority STRING").parquet(f"{sf_dir}/orders.parquet")
-    customer = spark.read.schema("c_custkey BIGINT, c_nationkey INT").parquet(
-        f"{sf_dir}/customer.parquet")
-    # nation has 25 rows by the TPC-H specification: a fixed-size dimension.
-    nation = spark.read.schema("n_nationkey INT, n_name STRING").parquet(f"{sf_dir}/nation.parquet")
-    # orders -> customer first: customer's own scan size is what Catalyst
-    # checks against the broadcast threshold (a customer-nation join on that
-    # side would be estimated as the product of both sizes and force a
-    # sort-merge join at every scale).  At scale this is a shuffle join.
-    joined = (orders.join(customer, orders.o_custkey == customer.c_custkey, "left")
-              .join(F.broadcast(nation), F.col("c_nationkey") == nation.n_nationkey, "left"))
-    return joined.selectExpr(
-        "o_orderkey AS k",
-        "o_orderkey % 101 AS m",
-        f"concat('TRD-', {_zpad('o_orderkey', 7)}) AS trade_id",
-        "CAST(o_orderdate AS DATE) AS trade_date",
-        "date_add(CAST(o_orderdate AS DATE), 2) AS settlement_date",
-        f"concat('TKR', {_zpad('o_orderkey % 25', 2)}) AS ticker",
-        "o_orderpriority AS trade_type",
-        "CAST(100 * (1 + o_orderkey % 7) AS BIGINT) AS quantity",
-        "CAST(floor(o_totalprice * 100 / (100 * (1 + o_orderkey % 7))) AS DOUBLE) / 100 AS price",
-        "n_name AS counterparty",
-        f"{_pick('o_orderkey', ('USD', 'CAD', 'GBP', 'EUR'))} AS currency",
-    )
-
-
-NOTIONAL = "quantity * price AS notional_value"
-
-
-def derive_feeds(spark: SparkSession, sf_dir: str) -> Feeds:
-    base = derive_base(spark, sf_dir)
-
-    internal = base.where("m NOT IN (20, 40)").selectExpr(
-        "trade_id", "trade_date", "settlement_date", "ticker", "trade_type",
-        "quantity", "price", "counterparty", "currency", NOTIONAL,
-        "'internal' AS source",
-        f"concat('TR', {_zpad('k % 40', 3)}) AS trader_id",
-        f"{_pick('k', ('Cash Equities', 'Program Trading', 'Equity Derivatives'))} AS desk",
-        f"concat_ws(':', {_zpad('9 + k % 8', 2)}, {_zpad('(k * 7) % 60', 2)}, "
-        f"{_zpad('(k * 13) % 60', 2)}) AS booking_time",
-    )
-
-    custodian = base.where("m <> 41").selectExpr(
-        "k", "trade_id", "trade_date", "ticker", "trade_type", "currency",
-        "CASE WHEN m IN (9, 10) THEN date_add(settlement_date, CAST(1 + k % 4 AS INT)) "
-        "ELSE settlement_date END AS settlement_date",
-        "CASE WHEN m IN (0, 1, 2) THEN quantity + 100 WHEN m = 6 THEN CAST(0 AS BIGINT) "
-        "ELSE quantity END AS quantity",
-        "CASE WHEN m IN (3, 4) THEN price + CAST(0.05 AS DOUBLE) "
-        "WHEN m = 5 THEN price + CAST(0.01 AS DOUBLE) ELSE price END AS price",
-        "CASE WHEN m IN (7, 8) THEN concat('NATION_', CAST(k % 25 AS STRING)) "
-        "ELSE counterparty END AS counterparty",
-        "CASE WHEN m IN (0, 1, 2, 7, 8) THEN 'Unmatched' WHEN m IN (3, 4, 5) THEN 'Partial Match' "
-        f"WHEN m = 6 OR m BETWEEN 11 AND 20 THEN '{FAILED_STATUS}' "
-        "WHEN m IN (9, 10) THEN 'Pending' ELSE 'Matched' END AS settlement_status",
-    ).selectExpr(
-        "trade_id", "trade_date", "settlement_date", "ticker", "trade_type", "quantity",
-        "price", "counterparty", "currency", NOTIONAL, "'custodian' AS source",
-        f"concat('CUS-', {_zpad('k', 8)}) AS custodian_ref", "settlement_status",
-    )
-
-    exchange = base.where("m <> 42").selectExpr(
-        "k", "trade_id", "trade_date", "ticker", "trade_type", "price", "currency",
-        "CASE WHEN m IN (0, 21) THEN quantity + 100 ELSE quantity END AS quantity",
-    ).selectExpr(
-        "trade_id", "trade_date", "ticker", "trade_type", "quantity", "price", "currency",
-        NOTIONAL, "'exchange' AS source",
-        f"concat('EXC-', {_zpad('k', 8)}) AS exchange_ref",
-        f"{_pick('k', ('NYSE', 'NASDAQ', 'TSX'))} AS exchange",
-        f"{_pick('k', ('LIT', 'DARK', 'AUCTION', 'BLOCK'))} AS execution_venue",
-    )
-    return Feeds(internal, custodian, exchange)

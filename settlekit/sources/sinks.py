@@ -9,7 +9,8 @@ consumers expect a single CSV.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 from ..plans.context import ReconContext
 from ..operators import alerts, insights, summaries
@@ -27,17 +28,38 @@ def write_rows(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "over
     return path
 
 
-def write_small_csv(df: DataFrame, path: str, mode: str = "overwrite") -> str:
-    """A small summary table as one CSV file with a header.  Callers
-    pass only tables bounded by a dimension (counterparties, days,
-    buckets, labels), never row-level data."""
-    df.coalesce(1).write.mode(mode).option("header", "true").csv(path)
+def _plain(df: DataFrame) -> DataFrame:
+    """Doubles as plain fixed-point text (one decimal at least), never 1.0E7."""
+    def text(c: str, kind: str) -> Column:
+        x = F.col(f"`{c}`")
+        if kind != "double":
+            return x
+        exact = F.regexp_replace(x.cast("decimal(38,6)").cast("string"), "0{1,5}$", "")
+        return exact.alias(c)
+    return df.select([text(c, kind) for c, kind in df.dtypes])
+
+
+def write_small_csv(df: DataFrame, path: str, order: tuple = (), mode: str = "overwrite", **options) -> str:
+    """A small summary table as one CSV file with a header, its rows in
+    ``order``.  Callers pass only tables bounded by a dimension
+    (counterparties, days, buckets, labels), never row-level data."""
+    out = df.coalesce(1)
+    if order:
+        out = out.sortWithinPartitions(*order)
+    _plain(out).write.mode(mode).option("header", "true").options(**options).csv(path)
     return path
 
 
-def write_json_lines(df: DataFrame, path: str, mode: str = "overwrite") -> str:
-    """JSON lines (one object per alert)."""
-    df.coalesce(1).write.mode(mode).json(path)
+def alert_objects(alerts_: DataFrame) -> DataFrame:
+    """The alerts with the keys of the contract, ``dates`` as an array."""
+    return alerts_.orderBy("alert_rank").select(
+        "severity", F.col("alert_type").alias("type"), "message", F.split("dates", ",").alias("dates"),
+        "counterparty", F.col("alert_count").alias("count"))
+
+
+def write_json_lines(df: DataFrame, path: str, mode: str = "overwrite", **options) -> str:
+    """JSON lines (one object per alert, absent fields left out)."""
+    df.coalesce(1).write.mode(mode).options(**options).json(path)
     return path
 
 
@@ -47,23 +69,26 @@ def write_text(df: DataFrame, path: str, mode: str = "overwrite") -> str:
     return path
 
 
-def write_all(ctx: ReconContext, out_dir: str, fmt: str = "parquet") -> dict[str, str]:
-    """Every output of a run, the way the reference lays them out."""
+def write_all(ctx: ReconContext, out_dir: str, fmt: str = "parquet", **options) -> dict[str, str]:
+    """Every output of a run, the way the reference lays them out.  The
+    joined rows are written once and everything else reads them; ``options``
+    go to the writer of the two row-level tables."""
     out_dir = out_dir.rstrip("/")
+    ctx.materialize()
     cube, cfg = ctx.cube, ctx.cfg
+    most = F.desc("breaks")
+    small = {
+        "counterparty_summary": (ctx.counterparty_summary, (most, "counterparty_int")),
+        "trade_type_summary": (summaries.trade_type_summary(cube), (most, "trade_type")),
+        "daily_break_trend": (ctx.daily, ("trade_date_str",)),
+        "aging_summary": (summaries.aging_summary(cube), ("aging_bucket",)),
+    }
     paths = {
-        "reconciliation_report": write_rows(ctx.report, f"{out_dir}/reconciliation_report", fmt),
-        "settlement_breaks": write_rows(ctx.settlement_breaks, f"{out_dir}/settlement_breaks", fmt),
-        "counterparty_summary": write_small_csv(ctx.counterparty_summary,
-                                                f"{out_dir}/counterparty_summary"),
-        "trade_type_summary": write_small_csv(summaries.trade_type_summary(cube),
-                                              f"{out_dir}/trade_type_summary"),
-        "daily_break_trend": write_small_csv(ctx.daily, f"{out_dir}/daily_break_trend"),
-        "aging_summary": write_small_csv(summaries.aging_summary(cube), f"{out_dir}/aging_summary"),
-        "anomaly_alerts": write_json_lines(alerts.anomaly_alerts(cube, ctx.daily, cfg),
+        "reconciliation_report": write_rows(ctx.report, f"{out_dir}/reconciliation_report", fmt, **options),
+        "settlement_breaks": write_rows(ctx.settlement_breaks, f"{out_dir}/settlement_breaks", fmt, **options),
+        "anomaly_alerts": write_json_lines(alert_objects(alerts.anomaly_alerts(cube, ctx.daily, cfg)),
                                            f"{out_dir}/anomaly_alerts"),
-        "knowledge_base": write_text(insights.kb_document(cube, ctx.daily,
-                                                          ctx.counterparty_summary, cfg),
+        "knowledge_base": write_text(insights.kb_document(cube, ctx.daily, ctx.counterparty_summary, cfg),
                                      f"{out_dir}/knowledge_base"),
     }
-    return paths
+    return paths | {name: write_small_csv(df, f"{out_dir}/{name}", order) for name, (df, order) in small.items()}

@@ -1,4 +1,4 @@
-"""Properties: alignment equals a brute-force alignment, and results do not
+"""Properties: pairing equals a brute-force pairing, and results do not
 depend on input order or partitioning."""
 
 import random
@@ -16,29 +16,35 @@ from conftest import SF001
 CFG = ReconConfig()
 
 
-def _brute_force_align(internal, custodian, exchange):
-    """Python model: per key, sort each feed's copies by content and pair
-    the k-th copies; keys are matched across feeds, NULL keys never."""
-    def by_key(rows):
-        out = {}
+def _brute_force_pairs(internal, custodian, exchange):
+    """Python model: twins (same quantity and price) share a seat, a feed's
+    leftovers take the seats of two feeds that lack it, the rest pair in order."""
+    legs = []
+    for rows, q, p in ((internal, 5, 6), (custodian, 5, 6), (exchange, 4, 5)):
+        leg = {}
         for r in rows:
-            out.setdefault(r[0], []).append(r)
-        return {k: sorted(v, key=lambda r: tuple((x is None, x) for x in r[1:])) for k, v in out.items()}
-    i, c, e = by_key(internal), by_key(custodian), by_key(exchange)
+            leg.setdefault(r[0], Counter())[(r[q], r[p])] += 1
+        legs.append(leg)
     result = Counter()
-    for k in set(i) | set(c) | set(e):
-        if k is None:
-            continue
-        n = max(len(i.get(k, [])), len(c.get(k, [])), len(e.get(k, [])))
-        for j in range(n):
-            qi = i[k][j][5] if j < len(i.get(k, [])) else None
-            qc = c[k][j][5] if j < len(c.get(k, [])) else None
-            qe = e[k][j][4] if j < len(e.get(k, [])) else None
-            result[(k, qi, qc, qe)] += 1
+    for k in {k for leg in legs for k in leg} - {None}:
+        seats = {}
+        for n, leg in enumerate(legs):
+            for (q, p), c in leg.get(k, {}).items():
+                for i in range(1, c + 1):
+                    seats.setdefault((q, p, i), {})[n] = q
+        placed = {s: dict(h) for s, h in seats.items() if len(h) > 1}
+        free = {n: sorted(s for s, h in placed.items() if n not in h) for n in range(3)}
+        for n in range(3):
+            alone = sorted(s for s, h in seats.items() if set(h) == {n})
+            for r, s in enumerate(alone):
+                seat = free[n][r] if r < len(free[n]) else ("rest", r - len(free[n]))
+                placed.setdefault(seat, {})[n] = s[0]
+        for h in placed.values():
+            result[(k, h.get(0), h.get(1), h.get(2))] += 1
     return result
 
 
-def test_align_matches_brute_force(spark):
+def test_pairing_matches_brute_force(spark):
     rnd = random.Random(7)
     keys = [f"K{n}" for n in range(12)]
     internal = [internal_row(rnd.choice(keys), qty=rnd.randint(1, 6)) for _ in range(60)]
@@ -49,11 +55,11 @@ def test_align_matches_brute_force(spark):
                                              exchange=exchange), CFG.with_(strategy=strategy))
         got = Counter((r.trade_id, r.quantity_int, r.quantity_cust, r.quantity_exch)
                       for r in ctx.recon.collect())
-        assert got == _brute_force_align(internal, custodian, exchange), strategy
+        assert got == _brute_force_pairs(internal, custodian, exchange), strategy
 
 
 def test_results_do_not_depend_on_partitioning(spark):
-    feeds = catalog.landed_feeds(spark, SF001)
+    feeds = catalog.shared_feeds(spark, SF001)
     shuffled = type(feeds)(*[df.orderBy(F.rand(seed)).repartition(n)
                              for df, (seed, n) in zip(feeds.as_dict().values(),
                                                       [(1, 7), (2, 3), (3, 11)])])
