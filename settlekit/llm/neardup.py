@@ -11,9 +11,13 @@ densification, banded buckets and star-shaped candidate links.
    (1 - 0.75^4)^32 = 5e-6.
 3. A bucket links its members to one centre, the member that shares the most
    buckets, not to each other.  Links are confirmed on the full sets.
-4. Members that the star did not connect are compared with all members of
-   their bucket that are in another component, so that no link is lost that
-   the star's shape hides.
+4. Buckets whose members are then in several components are looked at
+   again: a task compares the members outside the bucket's largest component
+   with all others by their sketches (no pairs are emitted for that; large
+   buckets are dealt in blocks).  Pairs of short texts that are alike enough
+   are confirmed there and then on their full sets, which come along; pairs
+   with a long text are named once and confirmed as in step 3.  So no link is
+   lost that the star's shape hides.
 5. Components of the confirmed links.
 
 Edge cases: a text without words (or null) has an empty set, is linked with
@@ -40,10 +44,10 @@ send_with_tasks(__name__)
 SHINGLE, PERCENT = 5, 75
 BINS, ROWS = 128, 4
 #: a pair is compared on full sets unless its sketches agree on fewer bins; at
-#: a similarity of 0.75 that is six standard deviations below the mean
-LEAST_BINS = 66
-#: sets up to this size are always compared in full
-SMALL_SET = 64
+#: a similarity of 0.75 that is four standard deviations below the mean
+LEAST_BINS = 76
+#: sets up to this size travel with the sketches; members of a block
+SHORT, BLOCK = 512, 2048
 
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93,
                  0xA0761D6478BD642F], dtype=np.uint64)
@@ -117,36 +121,106 @@ def _plausible(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     small, large = F.least("n_a", "n_b"), F.greatest("n_a", "n_b")
     return (pairs.join(side("a"), "a").join(side("b"), "b")
             .filter(100 * small >= PERCENT * large)
-            .filter((large <= SMALL_SET) | (_agreeing() >= LEAST_BINS)).select("a", "b"))
+            .filter(_agreeing() >= LEAST_BINS).select("a", "b"))
 
 
-def _confirmed(pairs: DataFrame, classes: DataFrame, texts: DataFrame) -> DataFrame:
-    """The pairs whose full sets are similar enough."""
-    ends = pairs.select(F.col("a").alias("c")).unionByName(pairs.select(F.col("b").alias("c"))).distinct()
+def _sets_of(ends: DataFrame, classes: DataFrame, texts: DataFrame) -> DataFrame:
+    """(c, s): the full sets of the classes ends(c), written."""
     owner = classes.join(ends, "c").select("c", "doc_id", "mark")
     found = texts.join(owner.withColumnRenamed("doc_id", "_id"),
                        F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("own_mark") == F.col("mark")))
-    sets = land(found.dropDuplicates(["c"]).select("c", "t").mapInPandas(_sets, "c binary, s array<long>"),
+    return land(found.dropDuplicates(["c"]).select("c", "t").mapInPandas(_sets, "c binary, s array<long>"),
                 "near-sets")
+
+
+def _ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("a").alias("c")).unionByName(pairs.select(F.col("b").alias("c"))).distinct()
+
+
+def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs whose full sets are similar enough."""
     side = lambda x: sets.select(F.col("c").alias(x), F.col("s").alias(f"s_{x}"))
     both = F.size(F.array_intersect("s_a", "s_b"))
     return (pairs.join(side("a"), "a").join(side("b"), "b")
             .filter(100 * both >= PERCENT * (F.size("s_a") + F.size("s_b") - both)).select("a", "b"))
 
 
-def _crossings(members: DataFrame, found: DataFrame) -> DataFrame:
-    """Pairs of members of a bucket that are in different components: the
-    members outside the bucket's largest component against all others."""
+def _compare(g: pd.DataFrame) -> list[tuple]:
+    """(a, b, sure) of one block: members outside the bucket's largest component
+    with members of other components.  Short texts: confirmed links, one per
+    component; others: pairs that are plausible, in the first band they share."""
+    role = g["role"].to_numpy()
+    mine, theirs = np.flatnonzero(role == 0), np.flatnonzero(role == 1)
+    found: list[tuple] = []
+    if not len(mine) or not len(theirs):
+        return found
+    c, n, s, band = g["c"].to_numpy(), g["n"].to_numpy(), g["s"].to_numpy(), g["band"].iloc[0]
+    words = np.stack(g["sig"].to_list())
+    sig, root = words.view(np.uint16), pd.factorize(g["root"])[0]
+    other, m, r = sig[theirs], n[theirs], root[theirs]
+    for i in mine:
+        at = np.flatnonzero((r != root[i]) & (100 * np.minimum(m, n[i]) >= PERCENT * np.maximum(m, n[i])))
+        agree = (other[at] == sig[i]).sum(axis=1)
+        at = theirs[at[agree >= LEAST_BINS][np.argsort(-agree[agree >= LEAST_BINS], kind="stable")]]
+        at = at[(words[at] == words[i]).argmax(axis=1) == band] if len(at) else at
+        linked = set()
+        for j in at:
+            if root[j] in linked:
+                continue
+            if s[i] is None or s[j] is None:
+                found.append((c[i], c[j], False))
+                continue
+            both = len(np.intersect1d(s[i], s[j], assume_unique=True))
+            if 100 * both >= PERCENT * (n[i] + n[j] - both):
+                found.append((c[i], c[j], True))
+                linked.add(root[j])
+    return found
+
+
+def _crossing(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """``_compare`` for all blocks of a partition that is sorted by block."""
+    left: list[pd.DataFrame] = []                  # the rows of a block that may go on
+    for pdf in batches:
+        left.append(pdf)
+        if not len(pdf) or left[0]["g"].iloc[0] == pdf["g"].iloc[-1]:
+            continue
+        whole = pd.concat(left, ignore_index=True)
+        g = whole["g"].to_numpy()
+        cuts = np.append(0, np.flatnonzero(g[1:] != g[:-1]) + 1)
+        found = [x for a, b in zip(cuts[:-1], cuts[1:]) for x in _compare(whole.iloc[a:b])]
+        left = [whole.iloc[cuts[-1]:]]
+        yield pd.DataFrame(found, columns=["a", "b", "sure"])
+    if left:
+        yield pd.DataFrame(_compare(pd.concat(left, ignore_index=True)), columns=["a", "b", "sure"])
+
+
+def _torn(members: DataFrame, links: DataFrame) -> DataFrame:
+    """Members of the buckets that hold several components: band, key, c, k
+    (members of the bucket), root, main (the bucket's largest component)."""
     bucket = ["band", "key"]
-    roots = components(found)
-    m = members.join(roots.withColumnRenamed("node", "c"), "c", "left").select(
-        *bucket, "c", F.coalesce("root", "c").alias("root"))
-    torn = m.groupBy(*bucket, "root").agg(F.count("*").alias("k")).groupBy(*bucket).agg(
-        F.count("*").alias("roots"), F.max_by("root", F.struct("k", "root")).alias("main")).filter("roots > 1")
-    m = m.join(torn.select(*bucket, "main"), bucket)
-    out = m.filter("root <> main").select(*bucket, F.col("c").alias("a"), F.col("root").alias("ra"))
-    return _pairs(out.join(m.select(*bucket, F.col("c").alias("b"), F.col("root").alias("rb")), bucket)
-                  .filter("ra <> rb").select("a", "b"))
+    m = members.join(components(links).withColumnRenamed("node", "c"), "c", "left")
+    m = m.select(*bucket, "c", "k", F.coalesce("root", "c").alias("root"))
+    torn = m.groupBy(*bucket, "root").agg(F.count("*").alias("q")).groupBy(*bucket).agg(
+        F.count("*").alias("roots"), F.max_by("root", F.struct("q", "root")).alias("main")).filter("roots > 1")
+    return m.join(torn.select(*bucket, "main"), bucket)
+
+
+def _crossings(torn: DataFrame, classes: DataFrame, sets: DataFrame) -> DataFrame:
+    """(a, b, sure): confirmed links and plausible pairs across components."""
+    m = torn.join(classes.select("c", "n", "sig"), "c").join(sets, "c", "left")
+    blocks = F.ceil(F.col("k") / BLOCK).cast("int")
+    m = m.withColumns({"blocks": blocks, "own": F.pmod(F.hash("c"), blocks)})
+    to = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("to")
+    cols = ["band", "key", "c", "root", "n", "sig", "s"]
+    out = m.filter("root <> main").select(*cols, F.col("own").alias("i"), to).select(
+        *cols, "i", F.col("to").alias("j"), F.lit(0).alias("role"))
+    other = m.select(*cols, F.col("own").alias("j"), to).select(
+        *cols, F.col("to").alias("i"), "j", F.lit(1).alias("role"))
+    blocked = out.unionByName(other).select(
+        F.xxhash64("band", "key", "i", "j").alias("g"), "band", "role", "c", "root", "n", "sig", "s")
+    found = blocked.repartition("g").sortWithinPartitions("g").mapInPandas(
+        _crossing, "a binary, b binary, sure boolean")
+    return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "sure").distinct()
 
 
 def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
@@ -170,11 +244,19 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id") ->
     centre = ranked.groupBy(*bucket).agg(F.max_by("c", F.struct("shares", "c")).alias("a"))
     star = _pairs(members.join(centre, bucket).select("a", F.col("c").alias("b")))
     star = land(_plausible(star, classes), "near-star")
-    links = land(_confirmed(star, classes, texts), "near-links")
-    rest = _crossings(members, links).join(star, ["a", "b"], "left_anti")
-    rest = land(_plausible(rest, classes), "near-rest")
-    if not rest.isEmpty():
-        links = land(links.unionByName(_confirmed(rest, classes, texts)), "near-links")
+    sets = _sets_of(_ends(star), classes, texts)
+    links = land(_confirmed(star, sets), "near-links")
+    torn = land(_torn(members, links), "near-torn")
+    short = classes.filter(F.col("n") <= SHORT).select("c")
+    lacking = lambda ends: ends.join(sets.select("c"), "c", "left_anti")  # noqa: E731  (of the sets so far)
+    sets = sets.unionByName(_sets_of(lacking(torn.select("c").distinct().join(short, "c", "left_semi")), classes, texts))
+    found = land(_crossings(torn, classes, sets.join(short, "c", "left_semi")), "near-found")
+    links = links.unionByName(found.filter("sure").select("a", "b"))
+    pairs = land(found.filter(~F.col("sure")).select("a", "b").join(star, ["a", "b"], "left_anti"), "near-pairs")
+    if not pairs.isEmpty():
+        sets = sets.unionByName(_sets_of(lacking(_ends(pairs)), classes, texts))
+        links = links.unionByName(_confirmed(pairs, sets))
+    links = land(links, "near-links")
     roots = components(links)
     groups = roots.join(classes.select(F.col("c").alias("node"), "doc_id"), "node")
     least = groups.groupBy("root").agg(F.min("doc_id").alias("component_id"))
