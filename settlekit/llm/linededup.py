@@ -6,12 +6,13 @@ a class, so copies cost one row each.  A line goes when an earlier line, by
 more.  Lines with fewer than LEAST_WORDS distinct words are left alone.
 
 1. Words are ordered by rarity: their counts over all documents in a table of
-   2^20 hash buckets, which is of fixed size, so it is broadcast.  The order
-   only has to be the same everywhere for the join to be exact.
+   2^24 hash buckets of one byte, which is of fixed size, so it is broadcast.
+   The order only has to be the same everywhere for the join to be exact.
 2. Two sets that are similar enough share a word among the first
    n - ceil(t n) + 1 of each in that order (prefix filter); only these words
-   are indexed.  Length and positional filters drop pairs before they leave
-   the word's list.
+   are indexed, and of these not the ones that occur once in all texts.
+   Length and positional filters drop pairs before they leave the word's
+   list.
 3. First each list links its members to its earliest line only.  A line that
    has a confirmed earlier match needs no other.  Lines without one are then
    compared with all earlier members of their lists, so nothing is missed.
@@ -34,12 +35,13 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window as W
 from pyspark.sql import functions as F
 
-from .common import land, packed, read, send_with_tasks, unpacked
+from ..session import remove
+from .common import land, packed, read, scratch, send_with_tasks, unpacked
 
 send_with_tasks(__name__)
 
 THRESHOLD, LEAST_WORDS = 0.85, 4
-_BITS = 20
+_BITS, _PART = 24, 1 << 15      # buckets of the word counts, and how many travel in a row
 
 
 def _hashes(lines: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -54,42 +56,61 @@ def _lines(text: str) -> list[bytes]:
     return text.encode("utf-8", "surrogatepass").lower().split(b"\n")
 
 
+def _buckets(h: np.ndarray) -> np.ndarray:
+    return (h >> np.uint64(64 - _BITS)).astype(np.int64)
+
+
 def _count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    total = np.zeros(1 << _BITS, np.int64)
+    total = np.zeros(1 << _BITS, np.uint32)
     for pdf in batches:
         for text in pdf["t"]:
             h, _ = _hashes(_lines(text))
-            np.add.at(total, (h >> np.uint64(64 - _BITS)).astype(np.int64), 1)
+            np.add.at(total, _buckets(h), 1)
     used = np.flatnonzero(total)
-    yield pd.DataFrame({"bucket": used, "n": total[used]})
-
-
-def _ranks(texts: DataFrame) -> np.ndarray:
-    """The rank of every bucket, the rarest first (2^20 numbers)."""
-    counts = texts.select("t").mapInPandas(_count, "bucket long, n long").groupBy("bucket").agg(
-        F.sum("n").alias("n")).toPandas()
-    n = np.zeros(1 << _BITS, np.int64)
-    n[counts["bucket"]] = counts["n"]
-    rank = np.empty(1 << _BITS, np.int32)
-    rank[np.argsort(n, kind="stable")] = np.arange(1 << _BITS, dtype=np.int32)
-    return rank
-
-
-def _indexer(rank, threshold: float, least: int):
-    """(doc_id, mark, line, c, n, prefix) of every line; prefix once per class and task."""
+    part, cuts = np.unique(used // _PART, return_index=True)
+    ends = np.append(cuts[1:], len(used))
+    yield pd.DataFrame({
+        "part": part, "at": [(used[a:b] % _PART).astype(np.uint16).tobytes() for a, b in zip(cuts, ends)],
+        "n": [total[used[a:b]].tobytes() for a, b in zip(cuts, ends)]})
+
+
+def _merge(pdf: pd.DataFrame) -> pd.DataFrame:
+    """The sums of one part, a byte each: exact up to 128, then in steps."""
+    n = np.zeros(_PART, np.int64)
+    for at, c in zip(pdf["at"], pdf["n"]):
+        n[np.frombuffer(at, np.uint16)] += np.frombuffer(c, np.uint32)
+    steps = 128 + 6 * np.log2(np.maximum(n, 128) / 128)
+    return pd.DataFrame({"part": pdf["part"].iloc[:1],
+                         "code": [np.minimum(np.where(n < 128, n, steps), 255).astype(np.uint8).tobytes()]})
+
+
+def _rarity(texts: DataFrame) -> np.ndarray:
+    """Every bucket's coded count; the driver gets 16 MB, whatever the input."""
+    parts = texts.select("t").mapInPandas(_count, "part long, at binary, n binary").groupBy("part").applyInPandas(
+        _merge, "part long, code binary").collect()
+    code = np.zeros((1 << _BITS) // _PART * _PART, np.uint8).reshape(-1, _PART)
+    for row in parts:
+        code[row.part] = np.frombuffer(row.code, np.uint8)
+    return code.reshape(-1)
+
+
+def _indexer(rarity, threshold: float, least: int):
+    """(doc_id, mark, line, c, n, prefix, at) of every line; the words of the
+    prefix and their positions once per class and task."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        ranks, seen = rank.value, set()
+        codes, seen = rarity.value, set()
         for pdf in batches:
             rows = []
             for key, mark, text in zip(pdf["doc_id"], pdf["mark"], pdf["t"]):
                 h, line = _hashes(_lines(text))
                 if not len(h):
                     continue
-                order = np.lexsort((h, ranks[(h >> np.uint64(64 - _BITS)).astype(np.int64)], line))
-                h, line = h[order], line[order]
+                code = codes[_buckets(h)]
+                order = np.lexsort((h, code, line))
+                h, line, code = h[order], line[order], code[order]
                 new = np.ones(len(h), bool)
                 new[1:] = (h[1:] != h[:-1]) | (line[1:] != line[:-1])
-                h, line = h[new], line[new]
+                h, line, code = h[new], line[new], code[new]
                 starts = np.flatnonzero(np.append(True, line[1:] != line[:-1]))
                 ends = np.append(starts[1:], len(h))
                 for a, b in zip(starts.tolist(), ends.tolist()):
@@ -97,14 +118,15 @@ def _indexer(rank, threshold: float, least: int):
                     if n < least:
                         continue
                     c = xxhash.xxh3_64_intdigest(h[a:b].tobytes()) - (1 << 63)
-                    prefix = None
+                    prefix = at = None
                     if c not in seen:
                         seen.add(c)
-                        prefix = h[a:a + n - _needed(n, threshold) + 1].view(np.int64)
-                    rows.append((key, mark, int(line[a]), c, n, prefix))
+                        at = np.flatnonzero(code[a:a + n - _needed(n, threshold) + 1] > 1).astype(np.int32)
+                        prefix = h[a + at].view(np.int64)
+                    rows.append((key, mark, int(line[a]), c, n, prefix, at))
                 if len(seen) > 1_000_000:          # only saves repeated rows
                     seen.clear()
-            yield pd.DataFrame(rows, columns=["doc_id", "mark", "line", "c", "n", "prefix"])
+            yield pd.DataFrame(rows, columns=["doc_id", "mark", "line", "c", "n", "prefix", "at"])
     return run
 
 
@@ -156,28 +178,36 @@ def line_matches(docs: DataFrame, threshold: float = THRESHOLD, least: int = LEA
     doc_id and number (match_doc, match_line)."""
     t = F.coalesce(F.col(f"`{text}`"), F.lit(""))
     texts = docs.select(F.col(f"`{key}`").cast("long").alias("doc_id"), F.xxhash64(t).alias("mark"), t.alias("t"))
-    rank = docs.sparkSession.sparkContext.broadcast(_ranks(texts))
-    lines = land(texts.withColumn("doc_id", F.col("doc_id").cast("string")).mapInPandas(
-        _indexer(rank, threshold, least),
-        "doc_id string, mark long, line int, c long, n int, prefix array<long>")
-        .withColumn("doc_id", F.col("doc_id").cast("long")), "lines")
+    rarity = docs.sparkSession.sparkContext.broadcast(_rarity(texts))
+    spark, wide = docs.sparkSession, scratch(docs.sparkSession, "lines-wide")
+    texts.withColumn("doc_id", F.col("doc_id").cast("string")).mapInPandas(
+        _indexer(rarity, threshold, least),
+        "doc_id string, mark long, line int, c long, n int, prefix array<long>, at array<int>").withColumn(
+        "doc_id", F.col("doc_id").cast("long")).write.parquet(wide)
+    indexed = spark.read.parquet(wide)
+    lines = land(indexed.select("doc_id", "mark", "line", "c"), "lines")
     first = F.struct("doc_id", "mark", "line")
     owners = land(lines.groupBy("c").agg(F.min(first).alias("first"), F.count("*").alias("copies")), "line-owners")
     # the index: words that two classes have in their prefixes, with the earliest line of the list
-    posts = lines.filter("prefix is not null").select(
-        "c", "n", "doc_id", "mark", "line", F.posexplode("prefix").alias("pos", "word"))
+    posts = indexed.filter("prefix is not null").select(
+        "c", "n", "doc_id", "mark", "line", F.explode(F.arrays_zip("at", "prefix")).alias("x")).select(
+        "c", "n", "doc_id", "mark", "line", F.col("x.at").alias("pos"), F.col("x.prefix").alias("word"))
     of_word = W.partitionBy("word")
     head = F.min(F.struct("doc_id", "mark", "line", "c", "n", "pos")).over(of_word)
-    posts = posts.withColumns({"head": head, "one": F.min("c").over(of_word) == F.max("c").over(of_word)})
+    posts = posts.withColumns({"head": head, "one": F.min("c").over(of_word) == F.max("c").over(of_word),
+                               "many": F.count("*").over(of_word) > 2})
     posts = land(posts.filter(~F.col("one")).select(
-        "word", "c", "n", "pos", F.col("head.c").alias("hc"), F.col("head.n").alias("hn"),
+        "word", "c", "n", "pos", "many", F.col("head.c").alias("hc"), F.col("head.n").alias("hn"),
         F.col("head.pos").alias("hp")).distinct(), "line-index")
+    remove(spark, wide)
     unordered = lambda df: df.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     star = land(unordered(posts.filter((F.col("c") != F.col("hc")) & _possible(
         threshold, F.col("n"), F.col("pos"), F.col("hn"), F.col("hp"))).select(
         F.col("c").alias("a"), F.col("hc").alias("b"))), "line-star")
     found = land(_verified(star, owners, texts, threshold), "line-found")
     # lines without a match so far, against all earlier members of their lists
+    # (but the earliest, which is done; a list of two has no others)
+    posts = posts.filter(F.col("many") & (F.col("c") != F.col("hc")))
     open_ = posts.join(found.select("c").distinct(), "c", "left_anti").join(
         owners.select("c", F.col("first").alias("f_b")), "c").select(
         "word", F.col("c").alias("b"), F.col("n").alias("n_b"), F.col("pos").alias("p_b"), "f_b")
