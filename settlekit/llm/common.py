@@ -35,10 +35,16 @@ def scratch(spark: SparkSession, name: str) -> str:
 
 
 def land(df: DataFrame, name: str) -> DataFrame:
-    """Write df once to the shared folder and continue from the files."""
-    path = scratch(df.sparkSession, name)
+    """Write df once to the shared folder and continue from the files.
+
+    What lies behind earlier tables is garbage by now; collecting it lets
+    Spark's cleaner delete their shuffle files, which would else stay until
+    the driver's heap happens to fill."""
+    spark = df.sparkSession
+    spark._jvm.System.gc()
+    path = scratch(spark, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
