@@ -57,10 +57,11 @@ def labels_expr() -> str:
 
 
 def classify(joined: DataFrame, cfg: ReconConfig) -> DataFrame:
-    """Adds the six flags, then break_type, is_break and break_value."""
+    """Adds the six flags, then break_type, break_types (the labels as an
+    array), is_break and break_value."""
     flags = [f"{expr} AS {name}" for name, expr in flag_exprs(cfg).items()]
     with_flags = joined.selectExpr("*", *flags)
     return with_flags.selectExpr("*", f"{label_expr()} AS break_type").selectExpr(
-        "*", f"break_type <> '{L.MATCHED}' AS is_break",
+        "*", f"{labels_expr()} AS break_types", f"break_type <> '{L.MATCHED}' AS is_break",
         f"CASE WHEN break_type <> '{L.MATCHED}' THEN coalesce(notional_value_int, CAST(0 AS DOUBLE)) "
         "ELSE CAST(0 AS DOUBLE) END AS break_value")

@@ -46,12 +46,12 @@ class ReconContext:
 
     @property
     def recon(self) -> DataFrame:
-        """Joined rows + flags + label + value + aging (report columns and the
-        six flag_* columns)."""
+        """Joined rows + flags + labels + value + aging (report columns, the six
+        flag_* columns and break_types)."""
         if self._recon is None:
             classified = breaks.classify(self.joined, self.cfg)
             aged = aging.add_aging(classified, self.cfg.as_of)
-            self._recon = aged.select(*schemas.REPORT_COLUMNS, *breaks.FLAG_COLUMNS)
+            self._recon = aged.select(*schemas.REPORT_COLUMNS, *breaks.FLAG_COLUMNS, "break_types")
         return self._recon
 
     @property
