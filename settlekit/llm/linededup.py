@@ -136,10 +136,15 @@ def _needed(n: int, threshold: float) -> int:
 
 
 def _sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The word sets of the wanted lines.  Repeated rows meet in a task, which
+    gives each class once."""
+    seen = set()
     for pdf in batches:
         rows = []
         for wanted, text in zip(pdf["wanted"], pdf["t"]):
             lines = _lines(text)
+            wanted = [w for w in wanted if w["c"] not in seen]
+            seen.update(w["c"] for w in wanted)
             for w in wanted:
                 h, _ = _hashes([lines[w["line"]]])
                 rows.append((w["c"], np.unique(h).view(np.int64)))
@@ -160,7 +165,7 @@ def _verified(pairs: DataFrame, owners: DataFrame, texts: DataFrame, threshold:
     wanted = (owners.join(ends, "c").groupBy(F.col("first.doc_id").alias("_id"), F.col("first.mark").alias("_mark"))
               .agg(F.collect_list(F.struct(F.col("first.line").alias("line"), "c")).alias("wanted")))
     sets = land(texts.join(wanted, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("mark") == F.col("_mark")))
-                .select("wanted", "t").mapInPandas(_sets, "c long, s array<long>").dropDuplicates(["c"]), "line-sets")
+                .select("wanted", "t").mapInPandas(_sets, "c long, s array<long>"), "line-sets")
     sets = sets.join(owners, "c")
     side = lambda x: sets.select(F.col("c").alias(x), F.col("s").alias(f"s_{x}"),
                                  F.col("first").alias(f"f_{x}"))
