@@ -3,14 +3,16 @@
 A line is the set of its words (A-Z lower-cased).  Lines with equal sets form
 a class, so copies cost one row each.  A line goes when an earlier line, by
 (doc_id, line), has an equal set or one of Jaccard similarity THRESHOLD or
-more.  Lines with fewer than LEAST_WORDS distinct words are left alone.
+more.  Every line with a word takes part, however short.
 
 1. Words are ordered by rarity: their counts over all documents in a table of
    2^24 hash buckets of one byte, which is of fixed size, so it is broadcast.
    The order only has to be the same everywhere for the join to be exact.
 2. Two sets that are similar enough share a word among the first
    n - ceil(t n) + 1 of each in that order (prefix filter); only these words
-   are indexed, and of these not the ones that occur once in all texts.
+   are indexed, and of these not the ones that occur once in all texts.  Sets
+   too small for any other set to be similar (up to 5 words at 0.85) need no
+   index: their classes alone decide.
    Length and positional filters drop pairs before they leave the word's
    list.
 3. First each list links its members to its earliest line only.  A line that
@@ -40,7 +42,7 @@ from .common import land, packed, read, scratch, send_with_tasks, unpacked
 
 send_with_tasks(__name__)
 
-THRESHOLD, LEAST_WORDS = 0.85, 4
+THRESHOLD, LEAST_WORDS = 0.85, 1
 _BITS, _PART = 24, 1 << 15      # buckets of the word counts, and how many travel in a row
 
 
@@ -121,8 +123,9 @@ def _indexer(rarity, threshold: float, least: int):
                     prefix = at = None
                     if c not in seen:
                         seen.add(c)
-                        at = np.flatnonzero(code[a:a + n - _needed(n, threshold) + 1] > 1).astype(np.int32)
-                        prefix = h[a + at].view(np.int64)
+                        if n >= threshold * (n + 1) - 1e-9:      # else only equal sets are similar
+                            at = np.flatnonzero(code[a:a + n - _needed(n, threshold) + 1] > 1).astype(np.int32)
+                            prefix = h[a + at].view(np.int64)
                     rows.append((key, mark, int(line[a]), c, n, prefix, at))
                 if len(seen) > 1_000_000:          # only saves repeated rows
                     seen.clear()

@@ -196,6 +196,20 @@ def test_line_dedup_matches_brute_force(spark, edge, empty):
     assert linededup.line_matches(empty).count() == linededup.without_repeated_lines(empty).count() == 0
 
 
+def test_copied_documents_go_with_their_short_lines(spark):
+    text = "Les.\nAll rights reserved.\nthe river and a house by the old road\nLes.\na b c d e f g"
+    df = spark.createDataFrame([(0, text), (1, text), (2, "reserved. rights ALL\nown words"), (3, "a b c d e f g h"),
+                                (4, "a b c d\na b c"), (5, "a b c d e\n\nLes. Les.")], "doc_id long, text string")
+    out = defaultdict(list)
+    for r in linededup.line_matches(df).collect():
+        out[r.doc_id].append(r.line)
+    want = {0: [3], 1: [0, 1, 2, 3, 4], 2: [0], 3: [0], 5: [2]}
+    assert {k: sorted(v) for k, v in out.items()} == want
+    assert {k: v for k, v in brute.removed_lines(pairs(df), linededup.THRESHOLD, 1).items() if v} == want
+    left = {r.doc_id: r.text for r in linededup.without_repeated_lines(df).collect()}
+    assert left[2] == "own words" and sorted(left) == [0, 2, 4, 5]
+
+
 def test_search_matches_brute_force(spark, edge, empty):
     docs = table(spark)
     asked = docs.filter("doc_id % 20 = 0").select(F.col("doc_id").alias("query_id"), "text")
