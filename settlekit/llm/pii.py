@@ -3,7 +3,9 @@
 1. Base entities (e-mail, IP address, card, phone number) are found by
    patterns and checks; they are the seeds.
 2. Every mention (a base entity, or another token that looks like an
-   identifier: seven digits or more, or an ``@``) has lexical patterns: its
+   identifier: seven digits or more, or an ``@``; or a run of digit groups
+   joined by single spaces, dots, hyphens or brackets, of 7 to 19 digits
+   together) has lexical patterns: its
    two words to the left, and the words next to it on both sides.
 3. Patterns and mentions form a graph that is scored in ROUNDS rounds: a
    pattern's score for a kind is the share of its mentions that are known to
@@ -43,6 +45,13 @@ PATTERNS = {
 _BYTE = r"0*(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])"
 #: a white-space separated token with a digit or an @
 _TOKEN = r"(?<![^ \t-\r])[^ \t-\r0-9@]*+[0-9@][^ \t-\r]*+"
+#: several digit groups with at most one space, dot or hyphen (or `` - ``) and
+#: brackets between two; no letter touches a group
+_GROUP = r"[0-9]++(?![A-Za-z0-9@])"
+_RUN = (rf"(?<![^ \t-\r])[^ \t-\r0-9A-Za-z@]*+{_GROUP}(?:\)?(?: - |[ .-])?\(?{_GROUP})++"
+        r"[^ \t-\r0-9A-Za-z@]*+(?![^ \t-\r])")
+#: what stands before a run's first group, but for a bracket that closes right after it
+_LEAD = r"^(?:(?!\([0-9]+\))[^0-9+])*"
 
 
 def _luhn(digits: Column) -> Column:
@@ -114,6 +123,19 @@ def _with_mentions(df: DataFrame) -> DataFrame:
         (m["start"] + lead(m)).alias("start"), (m["end"] - tail(m)).alias("end"), F.lit(None).cast("string").alias("kind"))))
     df = df.withColumn("_tokens", F.filter("_tokens", lambda m: (m["start"] < m["end"]) & ~F.exists(
         "spans", lambda s: (s["start"] < m["end"]) & (m["start"] < s["end"]))))
+    # runs of groups, in the text without the base entities; a run wins over the tokens in it
+    lone = F.aggregate("spans", F.col("t"), lambda t, s: F.overlay(
+        t, F.repeat(F.lit("\n"), s["end"] - s["start"]), s["start"] + 1, s["end"] - s["start"]))
+    df = df.withColumn("_runs", F.when(F.col("t").rlike(r"[0-9]\)?(?: - |[ .-])?\(?[0-9]"), _found(lone, _RUN)))
+    runlead = lambda m: F.length(F.regexp_extract(m["x"], _LEAD, 0))
+    df = df.withColumn("_runs", F.transform(F.filter("_runs", lambda m: F.length(F.regexp_replace(
+        m["x"], "[^0-9]", "")).between(7, 19)), lambda m: F.struct(
+            (m["start"] + runlead(m)).alias("start"), (m["end"] - tail(m)).alias("end"),
+            F.lit(None).cast("string").alias("kind"))))
+    df = df.withColumn("_runs", F.coalesce("_runs", F.array().cast("array<struct<start:int,end:int,kind:string>>")))
+    df = df.withColumn("_tokens", F.concat("_runs", F.filter(
+        F.coalesce("_tokens", F.array().cast("array<struct<start:int,end:int,kind:string>>")), lambda m: ~F.exists(
+            "_runs", lambda r: (r["start"] < m["end"]) & (m["start"] < r["end"]))))).drop("_runs")
     known = F.transform("spans", lambda s: F.struct(s["start"], s["end"], s["kind"]))
     around = lambda m: F.struct(
         m["start"].alias("start"), m["end"].alias("end"), m["kind"].alias("kind"),
@@ -122,7 +144,7 @@ def _with_mentions(df: DataFrame) -> DataFrame:
                             F.least(m["start"], F.lit(64)))).alias("left"),
         F.lower(F.substring(F.col("t"), m["end"] + 1, F.lit(48))).alias("right"))
     return df.withColumn("mentions", F.transform(
-        F.concat(known, F.coalesce("_tokens", F.array().cast("array<struct<start:int,end:int,kind:string>>"))),
+        F.concat(known, "_tokens"),
         around)).drop("_tokens")
 
 
