@@ -44,7 +44,9 @@ send_with_tasks(__name__)
 SHINGLE, PERCENT = 5, 75
 BINS, ROWS = 128, 4
 #: a pair is compared on full sets unless its sketches agree on fewer bins; at
-#: a similarity of 0.75 that is four standard deviations below the mean
+#: a similarity of 0.75 that is four standard deviations below the mean.  Where
+#: bins share shingles they are not independent, so sets of up to SHORT
+#: shingles are compared whatever their sketches say
 LEAST_BINS = 76
 #: sets up to this size travel with the sketches; members of a block
 SHORT, BLOCK = 512, 2048
@@ -121,7 +123,7 @@ def _plausible(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     small, large = F.least("n_a", "n_b"), F.greatest("n_a", "n_b")
     return (pairs.join(side("a"), "a").join(side("b"), "b")
             .filter(100 * small >= PERCENT * large)
-            .filter(_agreeing() >= LEAST_BINS).select("a", "b"))
+            .filter((large <= SHORT) | (_agreeing() >= LEAST_BINS)).select("a", "b"))
 
 
 def _sets_of(ends: DataFrame, classes: DataFrame, texts: DataFrame) -> DataFrame:
@@ -161,7 +163,8 @@ def _compare(g: pd.DataFrame) -> list[tuple]:
     for i in mine:
         at = np.flatnonzero((r != root[i]) & (100 * np.minimum(m, n[i]) >= PERCENT * np.maximum(m, n[i])))
         agree = (other[at] == sig[i]).sum(axis=1)
-        at = theirs[at[agree >= LEAST_BINS][np.argsort(-agree[agree >= LEAST_BINS], kind="stable")]]
+        fits = (agree >= LEAST_BINS) | (np.maximum(m[at], n[i]) <= SHORT)
+        at = theirs[at[fits][np.argsort(-agree[fits], kind="stable")]]
         at = at[(words[at] == words[i]).argmax(axis=1) == band] if len(at) else at
         linked = set()
         for j in at:
