@@ -1,6 +1,7 @@
 """Operator 4, mixing sources to target weights by weighted fair queueing.
 
-Documents are shuffled within their source (order of a digest of the id).
+Documents are shuffled within their source (order of a digest of the id, then
+of the id, the size, a digest of the text, and a number for repeated rows).
 A document's virtual finish time is the running total of its source's words
 at its end, divided by the source's target; a second and third pass over a
 source follows its first.  All passes are range-sorted by finish time and cut
@@ -8,8 +9,9 @@ where the running total reaches the budget.
 
 Edge cases: a null text has size 0; rows without words have the finish time
 of the row before them and take 0 words; a null source is a source of its
-own, last in order; equal finish times are broken by source rank, digest and
-id; an empty table gives no row.
+own, last in order; equal finish times are broken by source rank and the order
+within the source; rows of one doc_id (or null) are told apart and taken each
+by itself; an empty table gives no row.
 """
 
 from __future__ import annotations
@@ -20,8 +22,8 @@ from pyspark.sql import functions as F
 from .common import land, packed, read, unpacked, word_count
 
 WEIGHTS, PASSES = (5, 2, 1), 3
-#: rows of one source are summed in RANGES ranges of the digest
-RANGES = 4096
+#: the order within a source; no two rows are equal in it
+ORDER = ("mix", "doc_id", "size", "mark", "no")
 
 
 def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = PASSES) -> DataFrame:
@@ -55,27 +57,30 @@ def _finish(cum: Column, turn: Column) -> Column:
 
 
 def taken(rows: DataFrame, weights: tuple[int, ...] = WEIGHTS, passes: int = PASSES) -> DataFrame:
-    """rows(doc_id, source, size) -> the same with source_size, target, finish,
-    turns.  rows should be a written table: it is read several times."""
+    """rows(doc_id, source, size, mark, no) -> the same with source_size, target,
+    finish, turns.  mark is a digest of the text and no a number of the row's
+    own.  rows should be a written table: it is read several times."""
     rows = rows.withColumn("mix", F.md5(F.concat(
         F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit("/mix"))))
-    rows = rows.withColumn("_r", F.conv(F.substring("mix", 1, 3), 16, 10).cast("int"))   # < RANGES
-    per = rows.groupBy("source", "_r").agg(F.sum("size").alias("_s"))
+    # ranges of the whole order, so that many rows of one id or source are dealt to several
+    rows = land(rows.repartitionByRange("source", *ORDER).withColumn("_r", F.spark_partition_id()),
+                "mix-ranges")
+    per = land(rows.groupBy("source", "_r").agg(F.sum("size").alias("_s")), "mix-sums")
     sources = land(targets(per.groupBy("source").agg(F.sum("_s").alias("source_size")), weights, passes),
                    "mix-sources")
-    before = W.partitionBy("source").orderBy("_r").rowsBetween(W.unboundedPreceding, -1)  # <= RANGES rows
+    before = W.partitionBy("source").orderBy("_r").rowsBetween(W.unboundedPreceding, -1)  # a row per range
     per = per.withColumn("_before", F.coalesce(F.sum("_s").over(before), F.lit(0)))
     per = per.join(sources.withColumnRenamed("source", "_source"),
                    F.col("source").eqNullSafe(F.col("_source"))).drop("_source", "_s")
-    upto = W.partitionBy("source", "_r").orderBy("mix", "doc_id", "size").rowsBetween(W.unboundedPreceding, 0)
+    upto = W.partitionBy("source", "_r").orderBy(*ORDER).rowsBetween(W.unboundedPreceding, 0)
     left = rows.withColumn("_cum", F.sum("size").over(upto))
     per = per.select(F.col("source").alias("_source"), F.col("_r").alias("_r2"), "_before", "source_size",
                      "target", "rank")
     timed = left.join(per, F.col("source").eqNullSafe(F.col("_source")) & (F.col("_r") == F.col("_r2")))
-    timed = land(timed.select("doc_id", "source", "size", "source_size", "target", "rank", "mix",
+    timed = land(timed.select("doc_id", "source", "size", "source_size", "target", "rank", "mix", "mark", "no",
                               (F.col("_cum") + F.col("_before")).alias("cum")), "mix-timed")
     budget = timed.agg(F.sum("size")).first()[0] or 0
-    order = ["finish", "rank", "mix", "doc_id", "size"]
+    order = ["finish", "rank", *ORDER]
     turns = F.explode(F.sequence(F.lit(0), F.lit(passes - 1))).alias("turn")
     items = (timed.filter("size > 0").select("*", turns)
              .withColumn("finish", _finish(F.col("cum"), F.col("turn"))))
@@ -113,24 +118,30 @@ def taken(rows: DataFrame, weights: tuple[int, ...] = WEIGHTS, passes: int = PAS
 def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, passes: int = PASSES,
         text: str = "text", source: str = "source", key: str = "doc_id") -> DataFrame:
     """One row per document: doc_id, size, source_size, target, taken, finish, turns."""
-    rows = land(docs.select(F.col(f"`{key}`").alias("doc_id"), F.col(f"`{source}`").alias("source"),
-                            word_count(F.col(f"`{text}`")).alias("size")), "mix-rows")
-    return taken(rows, weights, passes).select(
+    rows = packed(docs).withColumn("_no", F.monotonically_increasing_id())
+    return taken(_sized(rows, text, source, key), weights, passes).select(
         "doc_id", "size", "source_size", "target", (F.col("turns") * F.col("size")).cast("long").alias("taken"),
         "finish", "turns")
 
 
+def _sized(rows: DataFrame, text: str, source: str, key: str) -> DataFrame:
+    """rows(_row, _no) -> the rows that ``taken`` reads, written."""
+    t = F.col(f"_row.`{text}`")
+    return land(rows.select(
+        F.col(f"_row.`{key}`").alias("doc_id"), F.col(f"_row.`{source}`").alias("source"),
+        word_count(t).alias("size"), F.xxhash64(F.coalesce(t, F.lit(""))).alias("mark"),
+        F.col("_no").alias("no")), "mix-rows")
+
+
 def mixed(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, passes: int = PASSES,
           text: str = "text", source: str = "source", key: str = "doc_id") -> DataFrame:
     """The documents of the mix with their own columns, a document taken
-    twice in two rows.  Rows of one doc_id and size share their turns."""
-    counted = mix(docs, weights, passes, text, source, key).filter("turns > 0")
-    counted = counted.groupBy("doc_id", "size").agg(F.max("turns").alias("_turns"))
-    rows = packed(docs).withColumns({"_k": F.col(f"_row.`{key}`"),
-                                     "_n": word_count(F.col(f"_row.`{text}`"))})
-    out = rows.join(counted.withColumnRenamed("doc_id", "_id"),
-                    F.col("_k").eqNullSafe(F.col("_id")) & (F.col("_n") == F.col("size")))
-    return unpacked(out.select("_row", F.explode(F.sequence(F.lit(1), F.col("_turns")))))
+    twice in two rows.  Every row has a number of its own, by which its turns
+    come back to it."""
+    rows = land(packed(docs).withColumn("_no", F.monotonically_increasing_id()), "mix-docs")
+    counted = taken(_sized(rows, text, source, key), weights, passes)
+    counted = counted.filter("turns > 0").select(F.col("no").alias("_no"), F.col("turns").alias("_turns"))
+    return unpacked(rows.join(counted, "_no").select("_row", F.explode(F.sequence(F.lit(1), F.col("_turns")))))
 
 
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
