@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import licences, linededup, mixing, neardup, packing, pii, quality, search, sharding, urls
+from . import licences, linededup, mixing, neardup, packing, pieces, pii, quality, search, sharding, urls
 from . import sql
 
 QUERIES = {
@@ -16,5 +16,6 @@ QUERIES = {
     "op8_line_dedup": linededup.op8_line_dedup,
     "op9_near_dedup": neardup.op9_near_dedup,
     "op10_packing": packing.op10_packing,
+    "op12_sentencepiece": pieces.op12_sentencepiece,
 }
 SQL = sql.SQL

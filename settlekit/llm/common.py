@@ -8,7 +8,9 @@ lost executor re-reads files instead of recomputing the lineage.
 from __future__ import annotations
 
 import sys
+import types
 import uuid
+from collections.abc import Callable, Hashable
 
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -26,6 +28,14 @@ def send_with_tasks(module: str) -> None:
     cloudpickle.register_pickle_by_value(sys.modules[module])
 
 
+def kept_by_worker(key: Hashable, make: Callable):
+    """What ``make`` builds, once for all tasks of a worker process."""
+    kept = sys.modules.setdefault("_settlekit_kept", types.ModuleType("_settlekit_kept")).__dict__
+    if key not in kept:
+        kept[key] = make()
+    return kept[key]
+
+
 def scratch(spark: SparkSession, name: str) -> str:
     """A fresh path in the shared checkpoint folder, deleted when the driver ends."""
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/llm-{name}-{uuid.uuid4().hex}"
