@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import licences, linededup, mixing, neardup, packing, pieces, pii, quality, search, sharding, urls
+from . import crosstok, licences, linededup, mixing, neardup, packing, pieces, pii, quality, search, sharding, urls
 from . import sql
 
 QUERIES = {
@@ -17,5 +17,6 @@ QUERIES = {
     "op9_near_dedup": neardup.op9_near_dedup,
     "op10_packing": packing.op10_packing,
     "op12_sentencepiece": pieces.op12_sentencepiece,
+    "op13_alignment": crosstok.op13_alignment,
 }
 SQL = sql.SQL

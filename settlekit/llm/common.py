@@ -16,7 +16,7 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir
+from ..session import ensure_checkpoint_dir, remove
 
 #: the six white-space characters of the word rule ``[^\x20\x09-\x0D]+``
 SPACES = " \t\n\x0b\x0c\r"
@@ -57,6 +57,21 @@ def land(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def landed(df: DataFrame, name: str) -> DataFrame:
+    """df written to the shared folder and read from there, until ``discard``."""
+    path = scratch(df.sparkSession, name)
+    df.write.parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._landed_at = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete what ``landed`` has written, after its last reader."""
+    for t in tables:
+        remove(t.sparkSession, t._landed_at)
+
+
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
