@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from . import crosstok, licences, linededup, mixing, neardup, packing, pieces, pii, quality, search, sharding, urls
-from . import sql
+from . import (crosstok, licences, linededup, mixing, neardup, packing, phrases, pieces, pii, quality, search, sharding,
+               sql, urls)
 
 QUERIES = {
     "op1_exact_search": search.op1_exact_search,
@@ -16,6 +16,7 @@ QUERIES = {
     "op8_line_dedup": linededup.op8_line_dedup,
     "op9_near_dedup": neardup.op9_near_dedup,
     "op10_packing": packing.op10_packing,
+    "op11_collocations": phrases.op11_collocations,
     "op12_sentencepiece": pieces.op12_sentencepiece,
     "op13_alignment": crosstok.op13_alignment,
 }

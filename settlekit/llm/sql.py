@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import mixing
+from . import mixing, phrases
 from .quality import RULES, STOP_WORDS, SYMBOLS, UPPER, stop_set
 
 SQL: dict[str, str] = {}
@@ -94,3 +94,35 @@ FROM t LEFT JOIN k ON k.rank = t.rank AND k.cum = t.cum AND k.mix = t.mix AND k.
 
 SQL["op3_quality_rules"] = _quality()
 SQL["op4_mixing"] = _mixing()
+
+
+def _collocations() -> str:
+    upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+    return rf"""
+WITH p AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+             translate(coalesce(text, ''), '{upper}', '{lower}'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+     t AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM p),
+     totals AS (SELECT lang, sum(len(w))::BIGINT AS n FROM t GROUP BY lang),
+     g AS (SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase, count(*) AS f
+           FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i
+                 FROM t, (SELECT unnest(range(1, {phrases.LONGEST + 1})) AS k) WHERE len(w) >= k)
+           GROUP BY ALL HAVING count(*) >= {phrases.LEAST}),
+     c AS (SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS w FROM g WHERE k > 1),
+     cuts AS (SELECT lang, k, phrase, a, j, array_to_string(w[1:j], ' ') AS x, array_to_string(w[j + 1:], ' ') AS y
+              FROM (SELECT *, unnest(range(1, k)) AS j FROM c)),
+     scored AS (SELECT cuts.lang, cuts.phrase, a, gl.f AS l, gr.f AS r, j,
+                  ((2000000::HUGEINT * a) // (gl.f + gr.f))::BIGINT AS score
+                FROM cuts JOIN g gl ON gl.lang = cuts.lang AND gl.phrase = x
+                          JOIN g gr ON gr.lang = cuts.lang AND gr.phrase = y),
+     lowest AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1),
+     inside AS (SELECT lang, array_to_string(w[s:s + m - 1], ' ') AS phrase, max(a) AS longer
+                FROM c, (SELECT unnest(range(2, {phrases.LONGEST})) AS m), (SELECT unnest(range(1, {phrases.LONGEST})) AS s)
+                WHERE m < k AND s + m - 1 <= k GROUP BY 1, 2),
+     kept AS (SELECT lowest.* FROM lowest LEFT JOIN inside USING (lang, phrase)
+              WHERE longer IS NULL OR 100::HUGEINT * longer < {phrases.COVERED_PCT}::HUGEINT * a)
+SELECT lang, rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n, score
+FROM (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank FROM kept)
+JOIN totals USING (lang) WHERE rank <= {phrases.BEST}"""
+
+
+SQL["op11_collocations"] = _collocations()
