@@ -3,7 +3,7 @@
 Every threshold the break and alert logic uses is a field here, so a query
 never hides a constant. The defaults are the reference's values; the query
 catalog overrides a few of them for the driver-derived feeds (see
-``settlekit.plans.catalog.DERIVED_FEED_CONFIG``).
+``derived_queries.DERIVED_FEED_CONFIG``).
 """
 
 from __future__ import annotations

@@ -1,81 +1,18 @@
-"""Registered queries: name -> function of a ``ReconContext``.
+"""The report queries: name -> function of a ``ReconContext``.
 
-Every query reads the three feeds derived from the driver's tables (so its
-work grows with them) and covers the whole reconciled table.  Limits appear
-only where the top-k is the feature (top counterparties, modal values).
+Every query covers the whole reconciled table.  Limits appear only where the
+top-k is the feature (top counterparties, modal values).
 """
 
 from __future__ import annotations
 
-import datetime as _dt
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from .. import schemas
-from ..config import ReconConfig
 from ..operators import alerts, breaks, insights, reconcile, summaries, trend
-from ..sources.feeds import Feeds, feed_losses, validate
 from .context import ReconContext
-from derived_feeds import derive_feeds, duplicate_feeds
-
-# Parameters for the feeds derived from orders/customer/nation: as_of is the
-# last order date; amounts there stop near 500,000 and 25 counterparties
-# share the breaks at 4-5 % each, so the two alert thresholds are lowered to
-# make those rules fire.  Library defaults are unchanged.
-DERIVED_FEED_CONFIG = ReconConfig(
-    as_of=_dt.date(2001, 8, 1),
-    report_date=_dt.date(2001, 8, 1),
-    high_value=400_000.0,
-    concentration_pct=4.5,
-)
-
-
-_FEEDS: dict[tuple, Feeds] = {}
-_SHARED: dict[tuple, ReconContext] = {}
-
-
-def _stamp(spark: SparkSession, sf_dir: str) -> tuple:
-    """Size and time of the input tables, so that changed input is noticed."""
-    out = []
-    for t in ("orders", "customer", "nation"):
-        p = spark._jvm.org.apache.hadoop.fs.Path(f"{sf_dir}/{t}.parquet")
-        s = p.getFileSystem(spark._jsc.hadoopConfiguration())
-        out += [s.getContentSummary(p).getLength(), s.getFileStatus(p).getModificationTime()]
-    return spark.sparkContext.applicationId, sf_dir, *out
-
-
-def shared_feeds(spark: SparkSession, sf_dir: str) -> Feeds:
-    """The feeds derived from sf_dir; their base is written once per application."""
-    key = _stamp(spark, sf_dir)
-    if key not in _FEEDS:
-        _FEEDS[key] = derive_feeds(spark, sf_dir)
-    return _FEEDS[key]
-
-
-def context_for(spark: SparkSession, sf_dir: str, cfg: ReconConfig | None = None) -> ReconContext:
-    """A fresh context over the feeds derived from sf_dir."""
-    return ReconContext(spark, shared_feeds(spark, sf_dir), cfg or DERIVED_FEED_CONFIG)
-
-
-def shared_context(spark: SparkSession, sf_dir: str, cfg: ReconConfig | None = None) -> ReconContext:
-    """One context per (application, input, config) whose reconciled rows are
-    written on first use, so the feeds are joined once for all queries."""
-    cfg = cfg or DERIVED_FEED_CONFIG
-    key = (*_stamp(spark, sf_dir), cfg)
-    ctx = _SHARED.get(key)
-    if ctx is None:
-        ctx = context_for(spark, sf_dir, cfg).materialize()
-        _SHARED[key] = ctx
-    return ctx
-
-
-def release_shared() -> None:
-    """Delete what the shared contexts have written and forget them."""
-    for ctx in _SHARED.values():
-        ctx.release()
-    _SHARED.clear()
 
 
 def _break_flags(ctx: ReconContext) -> DataFrame:
@@ -87,25 +24,6 @@ def _break_aging(ctx: ReconContext) -> DataFrame:
     return ctx.recon.select("trade_id", "trade_date_dt", "days_outstanding", "aging_bucket")
 
 
-def _dirty_internal(ctx: ReconContext) -> DataFrame:
-    """The internal feed as text with unreadable values in it: every 7th
-    price NaN, every 11th trade date impossible, every 13th counterparty NA."""
-    feed = ctx.feeds.internal
-    key = F.substring("trade_id", 5, 20).cast("bigint")
-    raw = feed.select([F.col(c).cast("string").alias(c) for c in feed.columns])
-    return raw.withColumns({
-        "price": F.when(key % 7 == 0, "NaN").otherwise(F.col("price")),
-        "trade_date": F.when(key % 11 == 0, "2025-13-45").otherwise(F.col("trade_date")),
-        "counterparty": F.when(key % 13 == 0, "NA").otherwise(F.col("counterparty"))})
-
-
-def _dirty_labels(ctx: ReconContext) -> DataFrame:
-    feeds = Feeds(validate(_dirty_internal(ctx), "internal", null_tokens=True), ctx.feeds.custodian,
-                  ctx.feeds.exchange)
-    return ReconContext(ctx.spark, feeds, ctx.cfg).recon.select(
-        "trade_id", "counterparty_int", "price_int", "aging_bucket", "break_type")
-
-
 QUERIES: dict[str, Callable[[ReconContext], DataFrame]] = {
     # sources / row layer
     "feed_counts": lambda c: summaries.feed_counts(c.feeds, c.cube),
@@ -115,8 +33,6 @@ QUERIES: dict[str, Callable[[ReconContext], DataFrame]] = {
     "break_aging": _break_aging,
     "reconciliation_report": lambda c: c.report,
     "settlement_breaks": lambda c: c.settlement_breaks,
-    "feed_losses": lambda c: feed_losses(_dirty_internal(c), "internal", null_tokens=True),
-    "dirty_feed_labels": _dirty_labels,
     # one-key summaries
     "recon_kpis": lambda c: summaries.kpis(c.cube),
     "break_type_distribution": lambda c: summaries.type_distribution(c.cube),
@@ -152,26 +68,3 @@ QUERIES: dict[str, Callable[[ReconContext], DataFrame]] = {
     "kb_faq": lambda c: insights.kb_faq(c.cube, c.daily, c.counterparty_summary, c.cfg),
     "kb_document": lambda c: insights.kb_document(c.cube, c.daily, c.counterparty_summary, c.cfg),
 }
-
-
-def duplicate_key_recon(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Pairing of duplicated keys on the lines of orders."""
-    ctx = ReconContext(spark, duplicate_feeds(spark, sf_dir), DERIVED_FEED_CONFIG)
-    return ctx.recon.select("trade_id", "quantity_int", "price_int", "quantity_cust", "price_cust",
-                            "quantity_exch", "price_exch", "break_type")
-
-
-#: queries on other tables than the shared feeds
-OTHER_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"duplicate_key_recon": duplicate_key_recon}
-
-
-def run(name: str, spark: SparkSession, sf_dir: str, shared: bool = True) -> DataFrame:
-    if name in OTHER_QUERIES:
-        return OTHER_QUERIES[name](spark, sf_dir)
-    ctx = shared_context(spark, sf_dir) if shared else context_for(spark, sf_dir)
-    return QUERIES[name](ctx)
-
-
-def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return run("counterparty_summary", spark, sf_dir).orderBy(F.desc("breaks"),
-                                                              F.asc("counterparty_int"))

@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import schemas
+from . import textfeeds
+from .textfeeds import FeedSchemaError
 
 
 @dataclass(frozen=True)
@@ -26,10 +28,6 @@ class Feeds:
                 "exchange": self.exchange}
 
 
-class FeedSchemaError(ValueError):
-    pass
-
-
 #: fixed values: texts that CSV readers of the reference take as missing
 NULL_TOKENS = ("", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN",
                "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null")
@@ -79,20 +77,23 @@ def feed_losses(feed: DataFrame, name: str, null_tokens: bool = False) -> DataFr
 
 
 def read_raw(spark: SparkSession, name: str, path: str, fmt: str = "parquet", **options) -> DataFrame:
-    """A feed as it is stored; CSV and JSON columns as text."""
-    reader = spark.read.format(fmt).options(**options)
-    if fmt in ("csv", "json"):
-        reader = reader.schema(T.StructType([T.StructField(f.name, T.StringType())
-                                             for f in schemas.FEED_SCHEMAS[name].fields]))
-    return reader.load(path)
+    """A feed as it is stored, its columns bound by name; CSV and JSON columns as text."""
+    wanted = [f.name for f in schemas.FEED_SCHEMAS[name].fields]
+    if fmt == "csv":
+        return textfeeds.read_csv(spark, name, path, wanted, **options)
+    if fmt == "json":
+        return textfeeds.read_json(spark, name, path, wanted, **options)
+    return spark.read.format(fmt).options(**options).load(path)
 
 
 def read_feed(spark: SparkSession, name: str, path: str, fmt: str = "parquet", **options) -> DataFrame:
     """Read one feed with its declared schema.
 
     ``fmt`` is any DataFrameReader format (parquet, csv, json, orc, or a
-    table format whose package is on the classpath).  For CSV pass
-    ``header="true"``; the null tokens of the reference's reader are NULL.
+    table format whose package is on the classpath).  CSV files are read by
+    their headers (``header="false"`` needs ``columns``, the names in file
+    order); the null tokens of the reference's reader are NULL.  A required
+    column that no file row can give raises ``FeedSchemaError``.
     """
     return validate(read_raw(spark, name, path, fmt, **options), name, null_tokens=fmt == "csv")
 

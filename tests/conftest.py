@@ -28,5 +28,5 @@ def spark():
 
 @pytest.fixture(scope="session")
 def ctx01(spark):
-    from settlekit.plans import catalog
+    import derived_queries as catalog
     return catalog.shared_context(spark, SF01)

@@ -22,7 +22,7 @@ def test_query_matches_oracle(spark, con, name):
 
 
 def test_every_query_has_an_oracle():
-    from settlekit.plans.catalog import QUERIES
+    from derived_queries import QUERIES
     assert set(QUERIES) <= set(SQLS) and set(SQLS) <= set(entry.queries())
 
 

@@ -11,7 +11,7 @@ from fixtures import custodian_row, exchange_row, internal_row, make_feeds
 from settlekit import schemas
 from settlekit.config import ReconConfig
 from settlekit.operators.cube import row_aggregates
-from settlekit.plans import catalog
+import derived_queries as catalog
 from settlekit.plans.context import ReconContext
 from settlekit.sources import sinks
 from settlekit import streaming

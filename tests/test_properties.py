@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from fixtures import custodian_row, exchange_row, internal_row, make_feeds
 from settlekit import schemas
 from settlekit.config import ReconConfig
-from settlekit.plans import catalog
+import derived_queries as catalog
 from settlekit.plans.context import ReconContext
 from conftest import SF001
 
