@@ -30,21 +30,20 @@ rows cannot explode into the product of its copies:
    take, in one shared order, the seats of two feeds that lack this feed;
    further leftovers are paired with those of the other feeds in order.
 
-Numbering is distributed: rows are range-partitioned on (group, order, scan
-position), which splits a hot group over many tasks; each task numbers its
-slice and per-slice offsets (one row per group and slice) are added back.
-Whether any key is duplicated is checked first (one pass over the three key
-columns); unique-key feeds take the plain plan.
+``operators.pairing`` does this with one range sort of the rows of duplicated
+keys.  Whether any key is duplicated is checked first (one pass over the three
+key columns); unique-key feeds take the plain plan.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import schemas
 from ..session import land
 from ..sources.feeds import Feeds
+from .pairing import paired
 
 
 def _leg(df: DataFrame, mapping) -> DataFrame:
@@ -61,51 +60,37 @@ def internal_vs_custodian(feeds: Feeds, cached: list | None = None) -> DataFrame
     """J1 alone: internal and custodian joined on trade_id (full outer
     semantics), with the same key-set plan and duplicate policy as the
     three-way join."""
-    i, c, _ = legs(feeds)
-    (i, c), on, keys = _prepare([i, c], cached)
     cols = [n for _, n in schemas.INTERNAL_LEG] + [n for _, n in schemas.CUSTODIAN_LEG[1:]]
-    return _keys_strategy([i, c], on, keys).select(*cols)
+    return _joined(list(legs(feeds)[:2]), cached, _keys_strategy).select(*cols)
 
 
-def _keys_strategy(frames: list[DataFrame], on: list[str],
-                   keys: DataFrame | None = None) -> DataFrame:
-    """Full outer join of any number of feeds on ``on``: the distinct keys
-    of all of them, then one left join per feed on the same attribute.
-    ``keys`` may be given pre-built (non-null, distinct, hash-partitioned on
-    the key, e.g. the cached key table)."""
+def _keys_strategy(frames: list[DataFrame], keys: DataFrame, split: bool = False) -> DataFrame:
+    """Full outer join of any number of feeds: ``keys`` (distinct,
+    hash-partitioned, none of them twice in a feed), then one left join per feed
+    on the same attribute.  Rows of other keys find no partner and stay out."""
     tid = F.col("trade_id")
-    if keys is None:
-        keys = frames[0].select(*on)
-        for f in frames[1:]:
-            keys = keys.unionByName(f.select(*on))
-        keys = keys.where(tid.isNotNull()).distinct()
     keyed = keys
     for f in frames:
-        keyed = keyed.join(f.where(tid.isNotNull()), on, "left")
+        keyed = keyed.join(f.where(tid.isNotNull()), "trade_id", "left")
     orphans = frames[0].where(tid.isNull())
     for f in frames[1:]:
         orphans = orphans.unionByName(f.where(tid.isNull()), allowMissingColumns=True)
     return keyed.unionByName(orphans, allowMissingColumns=True)
 
 
-def _chain_strategy(i: DataFrame, c: DataFrame, e: DataFrame, on: list[str]) -> DataFrame:
-    def cond(a: str, b: str):
-        out = None
-        for k in on:
-            x = F.col(f"{a}.{k}") == F.col(f"{b}.{k}")
-            out = x if out is None else out & x
-        return out
-
-    def merged(a: str, b: str):
-        return [F.coalesce(F.col(f"{a}.{k}"), F.col(f"{b}.{k}")).alias(k) for k in on]
-
-    ic = i.alias("i").join(c.alias("c"), cond("i", "c"), "full_outer")
-    ic = ic.select(*merged("i", "c"),
+def _chain_strategy(frames: list[DataFrame], keys: DataFrame, split: bool = False) -> DataFrame:
+    """Two full outer joins of the feeds' rows with these keys, or none."""
+    if split:                                       # the feeds have other keys too
+        frames = [f.where(F.col("trade_id").isNull()).unionByName(f.join(keys, "trade_id", "left_semi")) for f in frames]
+    i, c, e = frames
+    merged = lambda a, b: F.coalesce(F.col(f"{a}.trade_id"), F.col(f"{b}.trade_id")).alias("trade_id")
+    ic = i.alias("i").join(c.alias("c"), F.col("i.trade_id") == F.col("c.trade_id"), "full_outer")
+    ic = ic.select(merged("i", "c"),
                    *[F.col(f"i.{n}") for _, n in schemas.INTERNAL_LEG[1:]],
                    *[F.col(f"c.{n}") for _, n in schemas.CUSTODIAN_LEG[1:]])
-    ice = ic.alias("ic").join(e.alias("e"), cond("ic", "e"), "full_outer")
-    return ice.select(*merged("ic", "e"),
-                      *[F.col(f"ic.{n}") for n in ic.columns if n not in on],
+    ice = ic.alias("ic").join(e.alias("e"), F.col("ic.trade_id") == F.col("e.trade_id"), "full_outer")
+    return ice.select(merged("ic", "e"),
+                      *[F.col(f"ic.{n}") for n in ic.columns if n != "trade_id"],
                       *[F.col(f"e.{n}") for _, n in schemas.EXCHANGE_LEG[1:]])
 
 
@@ -122,17 +107,14 @@ def key_table(*frames: DataFrame) -> DataFrame:
     return tagged.where(F.col("trade_id").isNotNull()).groupBy("trade_id").agg(*per_feed)
 
 
-def _dups_of(keys: DataFrame, n_frames: int) -> DataFrame:
-    cond = None
-    for n in range(n_frames):
-        c = F.col(f"n{n}") > 1
-        cond = c if cond is None else cond | c
-    return keys.where(cond).select("trade_id")
+def _twice(n_frames: int) -> Column:
+    """A key that one feed has more than once."""
+    return F.greatest(*[F.col(f"n{n}") for n in range(n_frames)]) > 1
 
 
 def duplicated_keys(*frames: DataFrame) -> DataFrame:
     """Keys held by more than one row of the same feed."""
-    return _dups_of(key_table(*frames), len(frames))
+    return key_table(*frames).where(_twice(len(frames))).select("trade_id")
 
 
 def number(df: DataFrame, group: list[str], order: list[str], name: str) -> DataFrame:
@@ -160,67 +142,35 @@ def number(df: DataFrame, group: list[str], order: list[str], name: str) -> Data
                       (F.col("_off") + F.col("_mid") - F.col("_lo") + 1).cast("long").alias(name))
 
 
-def pair_copies(frames: list[DataFrame], dup: DataFrame) -> list[DataFrame]:
-    """The frames with ``seat``: rows of a duplicated key that belong together
-    have equal seats (see the module docstring); other rows have seat ''."""
-    numbered, seats = [], None
-    twin = F.concat_ws(":", F.lit("t"), F.coalesce(F.col("_q").cast("string"), F.lit("-")),
-                       F.coalesce(F.col("_p").cast("string"), F.lit("-")), F.col("_k").cast("string"))
-    for n, f in enumerate(frames):
-        qty, price = (next(c for c in f.columns if c.startswith(x)) for x in ("quantity_", "price_"))
-        rows = f.join(dup, "trade_id", "left_semi").withColumns({"_q": F.col(qty), "_p": F.col(price)})
-        rows = land(number(rows, ["trade_id", "_q", "_p"], [c for c in f.columns if c != "trade_id"], "_k")
-                    .withColumn("_twin", twin), "copies")
-        numbered.append(rows)
-        here = rows.select("trade_id", "_q", "_p", "_k", "_twin", F.lit(1 << n).alias("_bit"))
-        seats = here if seats is None else seats.unionByName(here)
-    # which feeds hold a seat, as bits
-    seats = land(seats.groupBy("trade_id", "_q", "_p", "_k", "_twin").agg(
-        F.sum("_bit").cast("int").alias("_held")), "copies")
-    order = ["_q", "_p", "_k"]
-    out = []
-    for n, (f, rows) in enumerate(zip(frames, numbered)):
-        alone = number(seats.where(F.col("_held") == 1 << n), ["trade_id"], order, "_r")
-        free = number(seats.where((F.col("_held").bitwiseAND(1 << n) == 0) & (F.bit_count("_held") > 1)),
-                      ["trade_id"], order, "_r")
-        taken = free.select("trade_id", "_r", F.col("_twin").alias("_seat"))
-        spare = free.groupBy("trade_id").agg(F.max("_r").alias("_spare"))
-        moved = (alone.select("trade_id", "_twin", "_r").join(taken, ["trade_id", "_r"], "left")
-                 .join(spare, "trade_id", "left")
-                 .select("trade_id", "_twin", F.coalesce("_seat", F.concat(F.lit("r:"), (
-                     F.col("_r") - F.coalesce("_spare", F.lit(0))).cast("string"))).alias("_seat")))
-        placed = rows.join(moved, ["trade_id", "_twin"], "left").select(
-            *f.columns, F.coalesce("_seat", "_twin").alias("seat"))
-        single = f.join(dup, "trade_id", "left_anti").withColumn("seat", F.lit(""))
-        out.append(single.unionByName(placed))
-    return out
-
-
-def _prepare(frames: list[DataFrame], cached: list | None = None
-             ) -> tuple[list[DataFrame], list[str], DataFrame | None]:
-    """Pair the copies of duplicated keys; returns the frames, the join key
-    and, when no key is duplicated, the key table.
+def _joined(frames: list[DataFrame], cached: list | None, join) -> DataFrame:
+    """The frames joined on trade_id: ``join(frames, keys)`` for the keys that no
+    feed holds twice, and the paired copies of the others.  Where most rows
+    are copies, all are paired (the same result): the joins would not pay.
 
     The key table is persisted (the caller owns ``cached`` and releases it
-    once the joined rows are stored): the duplicate check is a filter over it
+    once the joined rows are stored): the duplicate check is a sum over it
     and the joins reuse it and its hash partitioning instead of aggregating
     the keys a second time."""
+    feeds = range(len(frames))
     keys = key_table(*frames).persist()
     if cached is not None:
         cached.append(keys)
-    dup = _dups_of(keys, len(frames))
-    if dup.isEmpty():
-        return frames, ["trade_id"], keys.select("trade_id")
-    return pair_copies(frames, land(dup, "duplicated-keys")), ["trade_id", "seat"], None
+    twice, rows = _twice(len(frames)), sum((F.col(f"n{n}") for n in feeds), F.lit(0))
+    copies, total = keys.agg(F.sum(F.when(twice, rows)), F.sum(rows)).first()
+    if not copies:
+        return join(frames, keys.select("trade_id"))
+    if 2 * copies > total:
+        out = paired(frames)
+        for f in frames:
+            out = out.unionByName(f.where(F.col("trade_id").isNull()), allowMissingColumns=True)
+        return out
+    return join(frames, keys.where(~twice).select("trade_id"), split=True).unionByName(
+        paired(frames, keys.where(twice).select("trade_id")))
 
 
 def three_way(feeds: Feeds, strategy: str = "keys", cached: list | None = None) -> DataFrame:
     """J1 + J2: the 26 joined columns of the reconciliation report."""
-    (i, c, e), on, keys = _prepare(list(legs(feeds)), cached)
-    if strategy == "keys":
-        out = _keys_strategy([i, c, e], on, keys)
-    elif strategy == "chain":
-        out = _chain_strategy(i, c, e, on)
-    else:
+    if strategy not in ("keys", "chain"):
         raise ValueError(f"unknown join strategy {strategy!r}")
-    return out.select(*schemas.JOINED_COLUMNS)
+    join = _keys_strategy if strategy == "keys" else _chain_strategy
+    return _joined(list(legs(feeds)), cached, join).select(*schemas.JOINED_COLUMNS)
