@@ -41,7 +41,7 @@ from .common import discard, kept_by_worker, landed, read, send_with_tasks
 
 send_with_tasks(__name__)
 
-BLOCK, LANE = 3_000_000, 256
+BLOCK, LANE = 600_000, 256
 SPACE = "▁"
 #: characters whose classes are the same in all Unicode versions; a text with
 #: others is encoded by the file's own library
