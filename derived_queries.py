@@ -15,11 +15,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from derived_feeds import derive_feeds, duplicate_feeds
+from settlekit import schemas
 from settlekit.config import ReconConfig
 from settlekit.plans.catalog import QUERIES
 from settlekit.plans.context import ReconContext
 from settlekit.session import scratch
-from settlekit.sources.feeds import Feeds, feed_losses, read_feeds, validate
+from settlekit.sources.feeds import Feeds, read_feeds, validate
 
 # Parameters for the feeds derived from orders/customer/nation: as_of is the
 # last order date; amounts there stop near 500,000 and 25 counterparties
@@ -92,7 +93,8 @@ def _dirty_internal(feeds: Feeds) -> DataFrame:
 
 
 def dirty_feed_losses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return feed_losses(_dirty_internal(shared_feeds(spark, sf_dir)), "internal", null_tokens=True)
+    """Losses of the internal feed, counted on the joined rows."""
+    return audited_context(spark, sf_dir).feed_losses.where("feed = 'internal'")
 
 
 def dirty_feed_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -120,7 +122,33 @@ def text_feed_recon(spark: SparkSession, sf_dir: str) -> DataFrame:
         feed.filter(~even).select(F.lit("x").alias("own"), *reversed(feed.columns)).write.option(
             "header", "true").csv(f"{paths[name]}/odd")
     feeds = read_feeds(spark, *[f"{paths[n]}/*" for n in ("internal", "custodian", "exchange")], fmt="csv")
-    return ReconContext(spark, feeds, DERIVED_FEED_CONFIG).joined
+    return ReconContext(spark, feeds, DERIVED_FEED_CONFIG).joined.select(*schemas.JOINED_COLUMNS)
+
+
+_PUBLISHED: dict[tuple, str] = {}
+
+
+def reopened(spark: SparkSession, sf_dir: str) -> ReconContext:
+    """A published run of the derived feeds, opened without them."""
+    key = _stamp(spark, sf_dir)
+    if key not in _PUBLISHED:
+        _PUBLISHED[key] = scratch(spark, "published")
+        shared_context(spark, sf_dir).publish(_PUBLISHED[key])
+    return ReconContext.open(spark, _PUBLISHED[key], DERIVED_FEED_CONFIG)
+
+
+def audited_context(spark: SparkSession, sf_dir: str) -> ReconContext:
+    """The derived feeds, the internal one with unreadable values, audited."""
+    feeds = shared_feeds(spark, sf_dir)
+    internal = validate(_dirty_internal(feeds), "internal", null_tokens=True, audit=True)
+    others = {n: validate(df, n, audit=True) for n, df in feeds.as_dict().items() if n != "internal"}
+    return ReconContext(spark, Feeds(internal, **others), DERIVED_FEED_CONFIG)
+
+
+def rejected_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audited_context(spark, sf_dir).rejected_rows.select(
+        "feed", "trade_id", F.array_join("lost_columns", ",").alias("lost_columns"),
+        F.get_json_object("raw", "$.price").alias("raw_price"))
 
 
 #: queries on feeds of other make than the shared ones
@@ -129,6 +157,9 @@ OTHER_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dirty_feed_labels": dirty_feed_labels,
     "duplicate_key_recon": duplicate_key_recon,
     "text_feed_recon": text_feed_recon,
+    "rejected_rows": rejected_rows,
+    "reopened_alerts": lambda spark, sf_dir: QUERIES["anomaly_alerts"](reopened(spark, sf_dir)),
+    "reopened_kb": lambda spark, sf_dir: QUERIES["kb_document"](reopened(spark, sf_dir)),
 }
 
 

@@ -2,30 +2,26 @@
 
 The three break-level rules (high value, aged, failed) are conditional
 counts computed in the break cube's single pass.  The alert table itself is
-tiny and bounded: at most one row per rule, plus at most
-floor(100 / concentration_pct) concentration rows (no more counterparties
-than that can each hold more than that share), so ranking it with a global
-window is safe.
+tiny and bounded (at most one row per rule, plus at most
+floor(100 / concentration_pct) concentration rows: no more counterparties
+than that can each hold more than that share) and is an array of the fact
+vector.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..config import ReconConfig
 from ..functions import labels as L
-from . import summaries, trend
+from . import facts, summaries
 from .cube import totals
 
 ALERT_COLUMNS = ("alert_rank", "severity", "alert_type", "message", "dates",
                  "counterparty", "alert_count")
 
 
-def _num(col: Column, digits: int = 0) -> Column:
-    return F.format_number(col, digits)
-
-
 def break_alert_facts(cube: DataFrame, cfg: ReconConfig) -> DataFrame:
     """High-value, aged and failed counts/values over the breaks (already
     computed in the cube's single pass)."""
@@ -61,58 +57,6 @@ def counterparty_concentration(cube: DataFrame, cfg: ReconConfig) -> DataFrame:
             .where(F.col("share_pct") > F.lit(float(cfg.concentration_pct))))
 
 
-def _figures(**figures: Column) -> Column:
-    """The one message template: ``name=figure; name=figure``."""
-    parts = [F.concat(F.lit(f"{name}="), value) for name, value in figures.items()]
-    return F.concat_ws("; ", *parts)
-
-
-def _alert(rule: int, severity: str, kind: str, message: Column, *, sub: Column | None = None,
-           dates: Column | None = None, counterparty: Column | None = None,
-           count: Column | None = None) -> list[Column]:
-    return [F.lit(rule).alias("rule"), (sub if sub is not None else F.lit(0.0)).alias("sub"),
-            F.lit(severity).alias("severity"), F.lit(kind).alias("alert_type"),
-            message.alias("message"),
-            (dates if dates is not None else F.lit(None).cast("string")).alias("dates"),
-            (counterparty if counterparty is not None else F.lit(None).cast("string")).alias("counterparty"),
-            (count if count is not None else F.lit(None).cast("bigint")).alias("alert_count")]
-
-
-def anomaly_alerts(cube: DataFrame, daily: DataFrame, cfg: ReconConfig) -> DataFrame:
-    """The fired alerts in rule order, ranked 1..n."""
-    spikes = trend.break_rate_spikes(daily, cfg)
-    first5 = spikes.orderBy("trade_date_str").limit(5)
-    spike = spikes.agg(
-        F.count(F.lit(1)).alias("n"), F.first("threshold").alias("thr"),
-        F.first("mean_rate").alias("mean")).where(F.col("n") > 0)
-    spike = spike.select(*_alert(
-        1, L.HIGH, L.BREAK_RATE_SPIKE,
-        _figures(days=F.col("n").cast("string"), sigma=F.lit(f"{cfg.sigma:g}"), limit=_num(F.col("thr"), 1),
-                 mean=_num(F.col("mean"), 1)),
-        dates=first5.agg(F.array_join(F.array_sort(F.collect_list("trade_date_str")), ",")).scalar()))
-
-    conc = counterparty_concentration(cube, cfg).select(*_alert(
-        2, L.MEDIUM, L.COUNTERPARTY_CONCENTRATION,
-        _figures(counterparty=F.col("counterparty"), share=_num(F.col("share_pct"), 1),
-                 limit=F.lit(f"{cfg.concentration_pct:g}")),
-        sub=-F.col("share_pct"), counterparty=F.col("counterparty")))
-
-    facts = break_alert_facts(cube, cfg)
-    high = facts.where(F.col("high_value_count") > 0).select(*_alert(
-        3, L.HIGH, L.HIGH_VALUE_BREAKS,
-        _figures(breaks=_num(F.col("high_value_count")), value=_num(F.col("high_value_total"), 0),
-                 limit=F.lit(f"{cfg.high_value:,.0f}")),
-        count=F.col("high_value_count")))
-    aged = facts.where(F.col("aged_count") > 0).select(*_alert(
-        4, L.HIGH, L.AGING_BREAKS,
-        _figures(breaks=_num(F.col("aged_count")), value=_num(F.col("aged_value"), 0)),
-        count=F.col("aged_count")))
-    failed = facts.where(F.col("failed_count") > F.lit(cfg.failed_min)).select(*_alert(
-        5, L.MEDIUM, L.FAILED_SETTLEMENT_VOLUME,
-        _figures(failed=_num(F.col("failed_count")), limit=F.lit(f"{cfg.failed_min:,}")),
-        count=F.col("failed_count")))
-
-    union = spike.unionByName(conc).unionByName(high).unionByName(aged).unionByName(failed)
-    # bounded table (see module docstring): a global window is fine here
-    rank = F.row_number().over(Window.orderBy("rule", "sub", "counterparty"))
-    return union.select(rank.alias("alert_rank"), *ALERT_COLUMNS[1:])
+def anomaly_alerts(cube: DataFrame, cfg: ReconConfig) -> DataFrame:
+    """The fired alerts in rule order, ranked 1..n (``facts.alert_array``)."""
+    return facts.vector(cube, cfg).select(F.inline(facts.alert_array(cfg))).select(*ALERT_COLUMNS)

@@ -25,6 +25,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .. import schemas
 from ..config import ReconConfig
 from ..functions import labels as L
 from ..functions.numeric import amount, count_true, money
@@ -38,7 +39,8 @@ ROW_DIMENSIONS = ("counterparty", "trade_type", "day", "label", "status")
 ALL = "all"
 
 _COUNTS = ("rows", "keyed_rows", "breaks", "keyed_breaks",
-           *[f"n_{name}" for name, _ in L.CHECKS], "high_value_count", "aged_count", "failed_count")
+           *[f"n_{name}" for name, _ in L.CHECKS], "high_value_count", "aged_count", "failed_count",
+           *[f"{feed}_rows" for feed in schemas.LEGS])
 _SUMS = ("value_sum", "high_value_sum", "aged_value_sum")
 
 
@@ -54,7 +56,7 @@ def row_aggregates(recon: DataFrame, cfg: ReconConfig) -> DataFrame:
         F.col("break_type").alias("label"),
         F.col("settlement_status").alias("status"),
         "trade_id", "is_break", "break_value",
-        *[f"flag_{name}" for name, _ in L.CHECKS],
+        *[f"flag_{name}" for name, _ in L.CHECKS], *[f"has_{leg}" for leg in schemas.LEGS.values()],
         high.alias("_high"), aged.alias("_aged"), failed.alias("_failed"),
     )
     sets = [[d] for d in ROW_DIMENSIONS] + [[]]
@@ -67,6 +69,7 @@ def row_aggregates(recon: DataFrame, cfg: ReconConfig) -> DataFrame:
         count_true(F.col("_high")).alias("high_value_count"),
         count_true(F.col("_aged")).alias("aged_count"),
         count_true(F.col("_failed")).alias("failed_count"),
+        *[count_true(F.col(f"has_{leg}")).alias(f"{feed}_rows") for feed, leg in schemas.LEGS.items()],
         F.sum(money(F.col("break_value"))).alias("value_sum"),
         F.sum(F.when(F.col("_high"), money(F.col("break_value")))).alias("high_value_sum"),
         F.sum(F.when(F.col("_aged"), money(F.col("break_value")))).alias("aged_value_sum"),
@@ -108,6 +111,7 @@ def break_cube(agg: DataFrame, cfg: ReconConfig) -> DataFrame:
         F.col("aged_count").cast("bigint").alias("aged_count"),
         dbl("aged_value_sum").alias("aged_value"),
         F.col("failed_count").cast("bigint").alias("failed_count"),
+        *[F.col(f"{feed}_rows").cast("bigint").alias(f"{feed}_rows") for feed in schemas.LEGS],
     )
 
 

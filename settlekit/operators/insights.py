@@ -5,89 +5,65 @@ numbers are computed by Spark and whose text columns are assembled with
 ``concat``/``format_number``.  The wording is ours; the figures, labels and
 orderings are the contract.
 
-Each insight is a handful of one-row aggregates of the break cube.
-They are combined with scalar subqueries (planned once, used as literals),
-so no stage ever joins an aggregate back onto rows.
+Each composite table is a projection of the fact vector (``facts``): one
+aggregation of the break cube, no join of aggregates.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import ReconConfig
 from ..functions import labels as L
-from ..functions.numeric import half_even
-from . import alerts as A
+from ..functions.numeric import half_even, pct
+from . import facts
 from . import summaries as S
-from . import trend
 
 #: fixed values: resolution priority by break label
 PRIORITIES = ((L.QUANTITY_MISMATCH, "HIGH"), (L.PRICE_MISMATCH, "MEDIUM"), (L.COUNTERPARTY_MISMATCH, "MEDIUM"),
               (L.DATE_MISMATCH, "LOW"), (L.SETTLEMENT_FAILED, "HIGH"), (L.EXCHANGE_QTY_MISMATCH, None))
 
 
-def remediation_table(spark: SparkSession) -> DataFrame:
-    """The shipped remediation table: one row per label with its priority.
-    Causes and actions are the user's own (``root_cause_by_type``)."""
-    rows = [F.struct(F.lit(label).alias("break_type"), F.lit(priority).cast("string").alias("priority"),
-                     F.lit(None).cast("string").alias("root_cause"), F.lit(None).cast("string").alias("action"))
-            for label, priority in PRIORITIES]
-    return spark.range(1).select(F.inline(F.array(*rows)))
-
-
-def _display(label: Column) -> Column:
-    return F.initcap(F.regexp_replace(label, "_", " "))
-
-
-def root_cause_by_type(spark: SparkSession, cube: DataFrame, remediation: DataFrame | None = None) -> DataFrame:
+def root_cause_by_type(cube: DataFrame, cfg: ReconConfig, remediation: DataFrame | None = None) -> DataFrame:
     """I2 + I4: label, count, share of instances, cause, action, priority.
 
     ``remediation`` (break_type, priority, root_cause, action) is the user's
-    table of causes and actions, one row per label."""
-    dim = remediation_table(spark) if remediation is None else remediation
-    return (S.type_distribution(cube).join(dim, "break_type", "left")
-            .select("break_type", _display(F.col("break_type")).alias("display_name"), "count",
-                    half_even(F.col("instance_share_pct"), 1).alias("share_pct"),
-                    "root_cause", "action", "priority"))
-
-
-def _one(df: DataFrame) -> Column:
-    """The single row of a small frame as one struct-valued scalar subquery
-    (one subquery for all its fields instead of one per field)."""
-    return df.select(F.struct(*df.columns)).scalar()
+    table of causes and actions, one row per label; without it the shipped
+    priorities stand alone."""
+    row = facts.vector(cube, cfg)
+    rows = row.select("instances", F.explode("types").alias("t")).select(
+        F.col("t.key").alias("break_type"), facts.display(F.col("t.key")).alias("display_name"),
+        F.col("t.count").alias("count"), half_even(facts.share(F.col("t.count")), 1).alias("share_pct"))
+    if remediation is not None:
+        return rows.join(remediation, "break_type", "left").select(*rows.columns, "root_cause", "action", "priority")
+    priority = F.coalesce(*[F.when(F.col("break_type") == label, F.lit(p)) for label, p in PRIORITIES if p is not None])
+    return rows.select("*", F.lit(None).cast("string").alias("root_cause"), F.lit(None).cast("string").alias("action"),
+                       priority.alias("priority"))
+
+
+def daily_summary_facts(cube: DataFrame, cfg: ReconConfig) -> DataFrame:
+    """Headline KPIs, day-over-day change, worst counterparty, top label."""
+    worst, change = facts.summary_counterparty(facts.top("cps")), facts.trend()
+    return facts.vector(cube, cfg).withColumns({"worst": F.when(F.size("cps") > 0, worst), "change": change}).select(
+        F.col("trades").alias("total_trades"), F.col("breaks").alias("total_breaks"),
+        half_even(facts.match_rate(), 1).alias("match_rate"), F.col("value").alias("total_break_value"),
+        *[F.col(f"change.{c}").alias(c) for c in ("latest_date", "latest_rate", "previous_date", "previous_rate", "trend")],
+        F.col("worst.counterparty").alias("top_counterparty"), F.col("worst.breaks").alias("top_counterparty_breaks"),
+        F.col("worst.total_break_value").alias("top_counterparty_value"),
+        F.substring_index(facts.top("patterns")["key"], L.LABEL_SEPARATOR, 1).alias("top_break_type"))
 
 
-def daily_summary_facts(cube: DataFrame, daily: DataFrame, cs: DataFrame) -> DataFrame:
-    """Headline KPIs, day-over-day change, worst counterparty, top label."""
-    change = _one(trend.daily_trend_change(daily))
-    top_cp = _one(cs.orderBy(F.desc("breaks"), F.asc("counterparty_int")).limit(1))
-    modal = _one(S.modal_break_pattern(cube))
-    return S.kpis(cube).select(
-        "total_trades", "total_breaks", half_even(F.col("match_rate"), 1).alias("match_rate"),
-        "total_break_value",
-        change["latest_date"].alias("latest_date"), change["latest_rate"].alias("latest_rate"),
-        change["previous_date"].alias("previous_date"),
-        change["previous_rate"].alias("previous_rate"),
-        change["trend"].alias("trend"),
-        top_cp["counterparty_int"].alias("top_counterparty"),
-        top_cp["breaks"].alias("top_counterparty_breaks"),
-        top_cp["total_break_value"].alias("top_counterparty_value"),
-        modal["top_break"].alias("top_break_type"),
-    )
-
-
-def pattern_facts(cube: DataFrame) -> DataFrame:
+def pattern_facts(cube: DataFrame, cfg: ReconConfig) -> DataFrame:
     """Top-3 counterparty concentration, modal trade type, peak weekday."""
-    mtt = _one(S.modal_trade_type(cube))
-    peak = _one(S.breaks_by_weekday(cube).orderBy(F.desc("breaks"), F.asc("weekday")).limit(1))
-    return S.top3_concentration(cube).select(
-        "top3_counterparties", "top3_share_pct",
-        mtt["trade_type"].alias("modal_trade_type"),
-        mtt["breaks"].alias("modal_trade_type_breaks"),
-        peak["weekday"].alias("peak_weekday"),
-        peak["breaks"].alias("peak_weekday_breaks"),
-    )
+    top3 = F.filter(facts.top("cps", 3), lambda s: s["breaks"] > 0)
+    held = F.aggregate("top3", F.lit(0).cast("bigint"), lambda acc, s: acc + s["breaks"])
+    return facts.vector(cube, cfg).withColumns({
+        "top3": top3, "kind": facts.top("trade_types"), "peak": facts.top("weekdays")}).select(
+        F.array_join(F.transform("top3", lambda s: s["key"]), ", ").alias("top3_counterparties"),
+        F.when(F.size("top3") > 0, pct(held, F.col("breaks"))).alias("top3_share_pct"),
+        F.col("kind.key").alias("modal_trade_type"), F.col("kind.breaks").alias("modal_trade_type_breaks"),
+        F.col("peak.key").alias("peak_weekday"), F.col("peak.breaks").alias("peak_weekday_breaks"))
 
 
 # --- knowledge base --------------------------------------------------------
@@ -115,88 +91,36 @@ def kb_top_counterparties(cs: DataFrame, k: int = 5) -> DataFrame:
                     half_even(F.col("total_break_value"), 0).alias("break_value")))
 
 
-def _num(col: Column, digits: int = 0) -> Column:
-    return F.format_number(col, digits)
+def kb_faq(cube: DataFrame, cfg: ReconConfig) -> DataFrame:
+    """Six rows, each a question key and the figures that answer it."""
+    row = facts.vector(cube, cfg).withColumn("alerts", facts.alert_array(cfg))
+    return row.select(F.inline(facts.faq_array(cfg)))
 
 
-def kb_faq(cube: DataFrame, daily: DataFrame, cs: DataFrame, cfg: ReconConfig) -> DataFrame:
-    """Six rows, each a question key and the figures that answer it."""
-    k = S.kpis(cube)
-    top_cp = cs.orderBy(F.desc("breaks"), F.asc("counterparty_int")).limit(1)
-    top3 = (S.type_counts(cube).orderBy(F.desc("count"), F.asc("break_type")).limit(3)
-            .agg(F.array_join(F.transform(
-                F.array_sort(F.collect_list(F.struct((-F.col("count")).alias("o"),
-                                                     F.col("break_type").alias("t"),
-                                                     F.col("count").alias("c")))),
-                lambda s: F.concat(_display(s["t"]), F.lit(" ("), F.format_number(s["c"], 0),
-                                   F.lit(")"))), ", ").alias("txt")))
-    facts = A.break_alert_facts(cube, cfg)
-    aging = (S.aging_distribution(cube)
-             .agg(F.array_join(F.transform(
-                 F.array_sort(F.collect_list(F.struct("display_order", "aging_bucket", "count"))),
-                 lambda s: F.concat(s["aging_bucket"], F.lit(": "), F.format_number(s["count"], 0))),
-                 ", ").alias("txt")))
-    alerts = A.anomaly_alerts(cube, daily, cfg)
-    first3 = (alerts.where(F.col("alert_rank") <= 3)
-              .agg(F.array_join(F.transform(
-                  F.array_sort(F.collect_list(F.struct("alert_rank", "severity", "alert_type"))),
-                  lambda s: F.concat(F.lit("["), s["severity"], F.lit("] "),
-                                     F.regexp_replace(s["alert_type"], "_", " "))), " ").alias("txt")))
-    n_alerts = alerts.agg(F.count(F.lit(1))).scalar()
-
-    def row(rank: int, df: DataFrame, question: str, **figures: Column) -> DataFrame:
-        return df.select(F.lit(rank).alias("faq_rank"), F.lit(question).alias("question"),
-                         A._figures(**figures).alias("answer"))
-
-    rows = [
-        row(1, k, "match_rate", match_rate=_num(F.col("match_rate"), 1), breaks=_num(F.col("total_breaks")),
-            trades=_num(F.col("total_trades"))),
-        row(2, top_cp, "top_counterparty", counterparty=F.col("counterparty_int"), breaks=_num(F.col("breaks")),
-            value=_num(F.col("total_break_value"), 0)),
-        row(3, top3, "common_break_types", types=F.col("txt")),
-        row(4, facts, "high_value_breaks", breaks=_num(F.col("high_value_count")),
-            limit=F.lit(f"{cfg.high_value:,.0f}")),
-        row(5, aging, "breaks_by_age", ages=F.col("txt")),
-        row(6, first3, "alerts", alerts=n_alerts.cast("string"), first=F.col("txt")),
-    ]
-    out = rows[0]
-    for r in rows[1:]:
-        out = out.unionByName(r)
-    return out
-
-
-def _ordered_map(df: DataFrame, order: list[Column], key: Column, value: Column) -> Column:
-    """A map literal built from a small, bounded frame, entries in `order`."""
-    entries = F.array_sort(F.collect_list(F.struct(*[o.alias(f"o{i}") for i, o in enumerate(order)],
-                                                   key.alias("key"), value.alias("value"))))
-    return df.agg(F.map_from_entries(F.transform(
-        entries, lambda s: F.struct(s["key"].alias("key"), s["value"].alias("value"))))).scalar()
-
-
-def kb_document(cube: DataFrame, daily: DataFrame, cs: DataFrame, cfg: ReconConfig) -> DataFrame:
+def kb_document(cube: DataFrame, cfg: ReconConfig) -> DataFrame:
     """The whole knowledge base as one JSON document (one row).
 
     Numbers are written as decimals at their rounding scale (rates and
     shares 1 dp, money 2 dp / 0 dp), so the text is plain fixed-point and
     independent of how a JSON writer prints doubles."""
-    ov = kb_overview(cube, cfg)
-    bt = kb_break_types(cube)
-    top = kb_top_counterparties(cs)
-    faq = kb_faq(cube, daily, cs, cfg)
-    overview = ov.select(F.struct(
-        "total_trades", "total_breaks", F.col("match_rate").cast("decimal(6,1)").alias("match_rate"),
-        F.col("total_break_value").cast("decimal(20,2)").alias("total_break_value"),
-        "report_date")).scalar()
-    types_map = _ordered_map(bt, [-F.col("count"), F.col("break_type")], F.col("break_type"),
-                             F.struct("count", F.col("percentage").cast("decimal(6,1)")
-                                      .alias("percentage")))
-    cp_map = _ordered_map(top, [-F.col("breaks"), F.col("counterparty")], F.col("counterparty"),
-                          F.struct("total_trades", "breaks",
-                                   F.col("match_rate").cast("decimal(6,1)").alias("match_rate"),
-                                   F.col("break_value").cast("decimal(20,0)").alias("break_value")))
-    faq_arr = faq.agg(F.transform(
-        F.array_sort(F.collect_list(F.struct("faq_rank", "question", "answer"))),
-        lambda s: F.struct(s["question"].alias("question"), s["answer"].alias("answer")))).scalar()
-    doc = F.struct(overview.alias("overview"), types_map.alias("break_types"),
-                   cp_map.alias("counterparty_breaks"), faq_arr.alias("faq_pairs"))
-    return ov.select(F.to_json(doc).alias("kb_json"))
+    overview = F.struct(
+        F.col("trades").alias("total_trades"), F.col("breaks").alias("total_breaks"),
+        half_even(facts.match_rate(), 1).cast("decimal(6,1)").alias("match_rate"),
+        half_even(F.col("value"), 2).cast("decimal(20,2)").alias("total_break_value"),
+        F.lit(cfg.effective_report_date.isoformat()).alias("report_date"))
+    entry = lambda key, value: F.struct(key.alias("key"), value.alias("value"))
+    types = F.map_from_entries(F.transform("types", lambda t: entry(F.lower(t["key"]), F.struct(
+        t["count"].alias("count"), half_even(facts.share(t["count"]), 1).cast("decimal(6,1)").alias("percentage")))))
+
+    def counterparty(s: Column) -> Column:
+        row = facts.summary_counterparty(s)
+        return entry(s["key"], F.struct(
+            row["total_trades"].alias("total_trades"), row["breaks"].alias("breaks"),
+            half_even(row["match_rate"], 1).cast("decimal(6,1)").alias("match_rate"),
+            half_even(row["total_break_value"], 0).cast("decimal(20,0)").alias("break_value")))
+    worst = F.map_from_entries(F.transform(facts.top("cps", 5), counterparty))
+    faq = F.transform(facts.faq_array(cfg), lambda r: F.struct(r["question"].alias("question"), r["answer"].alias("answer")))
+    row = facts.vector(cube, cfg).withColumn("alerts", facts.alert_array(cfg))
+    return row.select(F.to_json(F.struct(
+        overview.alias("overview"), types.alias("break_types"), worst.alias("counterparty_breaks"),
+        faq.alias("faq_pairs"))).alias("kb_json"))

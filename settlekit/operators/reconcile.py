@@ -46,14 +46,17 @@ from ..sources.feeds import Feeds
 from .pairing import paired
 
 
-def _leg(df: DataFrame, mapping) -> DataFrame:
-    return df.select([F.col(src).alias(dst) for src, dst in mapping])
+def _leg(df: DataFrame, mapping, leg: str) -> DataFrame:
+    side = [F.lit(True).alias(f"has_{leg}"), F.col("trade_date").alias(f"day_{leg}")]
+    if f"_{schemas.AUDIT[0]}" in df.columns:
+        side += [F.col(f"_{c}").alias(f"{c}_{leg}") for c in schemas.AUDIT]
+    return df.select([F.col(src).alias(dst) for src, dst in mapping] + side)
 
 
 def legs(feeds: Feeds) -> tuple[DataFrame, DataFrame, DataFrame]:
-    return (_leg(feeds.internal, schemas.INTERNAL_LEG),
-            _leg(feeds.custodian, schemas.CUSTODIAN_LEG),
-            _leg(feeds.exchange, schemas.EXCHANGE_LEG))
+    return (_leg(feeds.internal, schemas.INTERNAL_LEG, "int"),
+            _leg(feeds.custodian, schemas.CUSTODIAN_LEG, "cust"),
+            _leg(feeds.exchange, schemas.EXCHANGE_LEG, "exch"))
 
 
 def internal_vs_custodian(feeds: Feeds, cached: list | None = None) -> DataFrame:
@@ -86,12 +89,12 @@ def _chain_strategy(frames: list[DataFrame], keys: DataFrame, split: bool = Fals
     merged = lambda a, b: F.coalesce(F.col(f"{a}.trade_id"), F.col(f"{b}.trade_id")).alias("trade_id")
     ic = i.alias("i").join(c.alias("c"), F.col("i.trade_id") == F.col("c.trade_id"), "full_outer")
     ic = ic.select(merged("i", "c"),
-                   *[F.col(f"i.{n}") for _, n in schemas.INTERNAL_LEG[1:]],
-                   *[F.col(f"c.{n}") for _, n in schemas.CUSTODIAN_LEG[1:]])
+                   *[F.col(f"i.{n}") for n in i.columns if n != "trade_id"],
+                   *[F.col(f"c.{n}") for n in c.columns if n != "trade_id"])
     ice = ic.alias("ic").join(e.alias("e"), F.col("ic.trade_id") == F.col("e.trade_id"), "full_outer")
     return ice.select(merged("ic", "e"),
                       *[F.col(f"ic.{n}") for n in ic.columns if n != "trade_id"],
-                      *[F.col(f"e.{n}") for _, n in schemas.EXCHANGE_LEG[1:]])
+                      *[F.col(f"e.{n}") for n in e.columns if n != "trade_id"])
 
 
 def key_table(*frames: DataFrame) -> DataFrame:
@@ -169,8 +172,17 @@ def _joined(frames: list[DataFrame], cached: list | None, join) -> DataFrame:
 
 
 def three_way(feeds: Feeds, strategy: str = "keys", cached: list | None = None) -> DataFrame:
-    """J1 + J2: the 26 joined columns of the reconciliation report."""
+    """J1 + J2: the 26 joined columns of the reconciliation report, then which
+    legs are there with their trade dates, and the audit columns of the legs
+    whose feeds have them."""
     if strategy not in ("keys", "chain"):
         raise ValueError(f"unknown join strategy {strategy!r}")
     join = _keys_strategy if strategy == "keys" else _chain_strategy
-    return _joined(list(legs(feeds)), cached, join).select(*schemas.JOINED_COLUMNS)
+    out = _joined(list(legs(feeds)), cached, join)
+    return out.select(*schemas.JOINED_COLUMNS, *side_columns(out))
+
+
+def side_columns(joined: DataFrame) -> list[Column]:
+    """Presence as true or false, trade dates, and audit columns if there are any."""
+    return [F.coalesce(c, F.lit(False)).alias(c) if c.startswith("has_") else F.col(c)
+            for c in (*schemas.PRESENCE_COLUMNS, *schemas.AUDIT_COLUMNS) if c in joined.columns]

@@ -15,6 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .. import schemas
 from ..functions import labels as L
 from ..functions.numeric import half_even, pct
 from .aging import bucket_ordinal
@@ -172,12 +173,9 @@ def counterparty_share(cube: DataFrame) -> DataFrame:
     return counts.select("counterparty", "breaks", pct(F.col("breaks"), total).alias("share_pct"))
 
 
-def feed_counts(feeds, cube: DataFrame) -> DataFrame:
-    """S3: rows per feed and after the join."""
-    parts = [df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("feed"), "rows")
-             for name, df in feeds.as_dict().items()]
-    parts.append(totals(cube).select(F.lit("reconciled").alias("feed"), "rows"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+def feed_counts(cube: DataFrame) -> DataFrame:
+    """S3: rows per feed and after the join.  Every row of a feed is in exactly
+    one joined row, so the cube has counted them and no feed is read again."""
+    names = [*schemas.LEGS, "reconciled"]
+    return totals(cube).agg(*[_sum0(f"{n}_rows" if n in schemas.LEGS else "rows").alias(n) for n in names]).selectExpr(
+        f"stack({len(names)}, " + ", ".join(f"'{n}', {n}" for n in names) + ") AS (feed, rows)")

@@ -26,7 +26,7 @@ def _break_aging(ctx: ReconContext) -> DataFrame:
 
 QUERIES: dict[str, Callable[[ReconContext], DataFrame]] = {
     # sources / row layer
-    "feed_counts": lambda c: summaries.feed_counts(c.feeds, c.cube),
+    "feed_counts": lambda c: summaries.feed_counts(c.cube),
     "internal_vs_custodian": lambda c: reconcile.internal_vs_custodian(c.feeds),
     "three_way_recon": lambda c: c.recon.select(*schemas.JOINED_COLUMNS),
     "break_flags": _break_flags,
@@ -48,7 +48,7 @@ QUERIES: dict[str, Callable[[ReconContext], DataFrame]] = {
     "top3_concentration": lambda c: summaries.top3_concentration(c.cube),
     "modal_trade_type": lambda c: summaries.modal_trade_type(c.cube),
     "breaks_by_weekday": lambda c: summaries.breaks_by_weekday(c.cube),
-    "pattern_facts": lambda c: insights.pattern_facts(c.cube),
+    "pattern_facts": lambda c: insights.pattern_facts(c.cube, c.cfg),
     "daily_trend_change": lambda c: trend.daily_trend_change(c.daily),
     "break_rate_stats": lambda c: trend.break_rate_stats(c.daily, c.cfg),
     # alerts
@@ -57,14 +57,13 @@ QUERIES: dict[str, Callable[[ReconContext], DataFrame]] = {
     "high_value_breaks": lambda c: alerts.high_value_breaks(c.cube, c.cfg),
     "aged_breaks": lambda c: alerts.aged_breaks(c.cube, c.cfg),
     "failed_settlements": lambda c: alerts.failed_settlements(c.cube, c.cfg),
-    "anomaly_alerts": lambda c: alerts.anomaly_alerts(c.cube, c.daily, c.cfg),
+    "anomaly_alerts": lambda c: alerts.anomaly_alerts(c.cube, c.cfg),
     # insight tables and knowledge base
-    "daily_summary_facts": lambda c: insights.daily_summary_facts(c.cube, c.daily,
-                                                                  c.counterparty_summary),
-    "root_cause_by_type": lambda c: insights.root_cause_by_type(c.spark, c.cube),
+    "daily_summary_facts": lambda c: insights.daily_summary_facts(c.cube, c.cfg),
+    "root_cause_by_type": lambda c: insights.root_cause_by_type(c.cube, c.cfg),
     "kb_overview": lambda c: insights.kb_overview(c.cube, c.cfg),
     "kb_break_types": lambda c: insights.kb_break_types(c.cube),
     "kb_top_counterparties": lambda c: insights.kb_top_counterparties(c.counterparty_summary),
-    "kb_faq": lambda c: insights.kb_faq(c.cube, c.daily, c.counterparty_summary, c.cfg),
-    "kb_document": lambda c: insights.kb_document(c.cube, c.daily, c.counterparty_summary, c.cfg),
+    "kb_faq": lambda c: insights.kb_faq(c.cube, c.cfg),
+    "kb_document": lambda c: insights.kb_document(c.cube, c.cfg),
 }

@@ -25,33 +25,67 @@ from ..config import ReconConfig
 from ..operators import aging, breaks, reconcile, summaries
 from ..operators.cube import break_cube, row_aggregates
 from ..session import remove, scratch
+from ..sources import feeds
 from ..sources.feeds import Feeds
+from . import runs
 
 
 class ReconContext:
-    def __init__(self, spark: SparkSession, feeds: Feeds, cfg: ReconConfig | None = None):
+    def __init__(self, spark: SparkSession, feeds: Feeds | None, cfg: ReconConfig | None = None):
         self.spark = spark
-        self.feeds = feeds
+        self._feeds = feeds
         self.cfg = cfg or ReconConfig()
+        self.run: runs.Run | None = None
         self._recon: DataFrame | None = None
+        self._aggregates: DataFrame | None = None
         self._cube: DataFrame | None = None
         self._join_caches: list[DataFrame] = []   # key table of the join
         self._written: list[str] = []
 
+    # -- published runs -------------------------------------------------------
+    @classmethod
+    def open(cls, spark: SparkSession, out_dir: str, cfg: ReconConfig | None = None,
+             inputs: dict[str, str] | None = None, number: int | None = None) -> "ReconContext":
+        """Start from a published run (the current one, or ``number``),
+        without its feeds.  A run that is not whole, or not made with ``cfg`` and
+        of the ``inputs`` as they are now, is refused (``plans.runs``)."""
+        run = runs.check(spark, runs.current(spark, out_dir, number), cfg, inputs)
+        ctx = cls(spark, None, run.config)
+        ctx.run = run
+        ctx._recon = ctx._classified(run.read(spark, "reconciliation_report").select(*schemas.JOINED_COLUMNS))
+        ctx._rows_kept = True
+        ctx._aggregates = run.read(spark, "row_aggregates")
+        ctx._cube = run.read(spark, "break_cube").coalesce(1).persist()
+        return ctx
+
+    def publish(self, out_dir: str, fmt: str = "parquet", inputs: dict[str, str] | None = None, keep: int = 2,
+                **options) -> runs.Run:
+        """Write all outputs and make them the current run of ``out_dir``."""
+        return runs.publish(self, out_dir, fmt, inputs, keep, **options)
+
+    @property
+    def feeds(self) -> Feeds:
+        if self._feeds is None:
+            raise runs.RunError("a reopened run has no feeds")
+        return self._feeds
+
     # -- row level ----------------------------------------------------------
     @cached_property
     def joined(self) -> DataFrame:
-        """J1 + J2: 26 joined columns."""
+        """J1 + J2: 26 joined columns, presence and audit columns."""
         return reconcile.three_way(self.feeds, self.cfg.strategy, cached=self._join_caches)
 
+    def _classified(self, joined: DataFrame) -> DataFrame:
+        aged = aging.add_aging(breaks.classify(joined, self.cfg), self.cfg.as_of)
+        side = [c for c in joined.columns if c not in schemas.JOINED_COLUMNS]
+        return aged.select(*schemas.REPORT_COLUMNS, *breaks.FLAG_COLUMNS, "break_types", *side)
+
     @property
     def recon(self) -> DataFrame:
         """Joined rows + flags + labels + value + aging (report columns, the six
-        flag_* columns and break_types)."""
+        flag_* columns, break_types, presence and audit columns)."""
         if self._recon is None:
-            classified = breaks.classify(self.joined, self.cfg)
-            aged = aging.add_aging(classified, self.cfg.as_of)
-            self._recon = aged.select(*schemas.REPORT_COLUMNS, *breaks.FLAG_COLUMNS, "break_types")
+            self._recon = self._classified(self.joined)
         return self._recon
 
     @property
@@ -64,6 +98,22 @@ class ReconContext:
         """Report rows that are breaks."""
         return summaries.breaks_only(self.report)
 
+    @property
+    def feed_losses(self) -> DataFrame:
+        """Lost and missing values per column of the audited feeds, counted on
+        the joined rows."""
+        return feeds.losses(self.recon)
+
+    @property
+    def rejected_rows(self) -> DataFrame:
+        """The rows of the audited feeds that lost a value or their key, or were
+        malformed, as they came."""
+        return feeds.rejects(self.recon)
+
+    @property
+    def audited(self) -> bool:
+        return any(c in self.recon.columns for c in schemas.AUDIT_COLUMNS)
+
     # -- shared aggregates -----------------------------------------------------
     def _write(self, df: DataFrame, name: str) -> DataFrame:
         path = scratch(self.spark, name)
@@ -71,6 +121,13 @@ class ReconContext:
         self._written.append(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    @property
+    def aggregates(self) -> DataFrame:
+        """The one-pass aggregation of the rows, written on first use."""
+        if self._aggregates is None:
+            self._aggregates = self._write(row_aggregates(self.recon, self.cfg), "aggregates")
+        return self._aggregates
+
     @property
     def cube(self) -> DataFrame:
         """All one-key aggregates from one pass over the rows (see
@@ -82,8 +139,7 @@ class ReconContext:
         cube is kept as one partition, so every query over it is one small
         task without exchanges; a lost block is re-read from the file."""
         if self._cube is None:
-            rows = self._write(row_aggregates(self.recon, self.cfg), "aggregates")
-            self._cube = self._write(break_cube(rows, self.cfg), "cube").coalesce(1).persist()
+            self._cube = self._write(break_cube(self.aggregates, self.cfg), "cube").coalesce(1).persist()
             if self._rows_kept:
                 self._release_join_caches()
         return self._cube

@@ -68,3 +68,11 @@ JOINED_COLUMNS = tuple(
 DERIVED_COLUMNS = ("break_type", "is_break", "break_value", "trade_date_dt",
                    "days_outstanding", "aging_bucket")
 REPORT_COLUMNS = JOINED_COLUMNS + DERIVED_COLUMNS
+
+# What a leg adds to the joined rows besides the report's columns: whether it
+# is there, its own trade date and, for audited feeds, which columns lost their
+# value or miss it (bit n: n-th column of the feed) and the row as it came.
+LEGS = {"internal": "int", "custodian": "cust", "exchange": "exch"}
+PRESENCE_COLUMNS = tuple(f"{c}_{leg}" for leg in LEGS.values() for c in ("has", "day"))
+AUDIT = ("lost", "missing", "raw")
+AUDIT_COLUMNS = tuple(f"{c}_{leg}" for leg in LEGS.values() for c in AUDIT)

@@ -12,7 +12,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..plans.context import ReconContext
 from ..operators import alerts, insights, summaries
 
 
@@ -69,26 +68,39 @@ def write_text(df: DataFrame, path: str, mode: str = "overwrite") -> str:
     return path
 
 
-def write_all(ctx: ReconContext, out_dir: str, fmt: str = "parquet", **options) -> dict[str, str]:
-    """Every output of a run, the way the reference lays them out.  The
-    joined rows are written once and everything else reads them; ``options``
-    go to the writer of the two row-level tables."""
-    out_dir = out_dir.rstrip("/")
+def write_tables(ctx, folder: str, fmt: str = "parquet", **options) -> dict[str, tuple]:
+    """Every output of a run below ``folder``, the way the reference lays them
+    out, and the aggregates that a later run starts from: name -> (frame,
+    format, reader options).  The joined rows are written once and everything
+    else reads them; ``options`` go to the writer of the two row-level tables."""
     ctx.materialize()
     cube, cfg = ctx.cube, ctx.cfg
     most = F.desc("breaks")
-    small = {
-        "counterparty_summary": (ctx.counterparty_summary, (most, "counterparty_int")),
-        "trade_type_summary": (summaries.trade_type_summary(cube), (most, "trade_type")),
-        "daily_break_trend": (ctx.daily, ("trade_date_str",)),
-        "aging_summary": (summaries.aging_summary(cube), ("aging_bucket",)),
-    }
-    paths = {
-        "reconciliation_report": write_rows(ctx.report, f"{out_dir}/reconciliation_report", fmt, **options),
-        "settlement_breaks": write_rows(ctx.settlement_breaks, f"{out_dir}/settlement_breaks", fmt, **options),
-        "anomaly_alerts": write_json_lines(alert_objects(alerts.anomaly_alerts(cube, ctx.daily, cfg)),
-                                           f"{out_dir}/anomaly_alerts"),
-        "knowledge_base": write_text(insights.kb_document(cube, ctx.daily, ctx.counterparty_summary, cfg),
-                                     f"{out_dir}/knowledge_base"),
-    }
-    return paths | {name: write_small_csv(df, f"{out_dir}/{name}", order) for name, (df, order) in small.items()}
+    csv = {"header": "true"}
+    rows = (fmt, csv if fmt == "csv" else {})
+    out = {}
+
+    def done(name: str, df: DataFrame, how: tuple, write, *args, **kw) -> None:
+        write(df, f"{folder}/{name}", *args, **kw)
+        out[name] = (df, *how)
+    done("reconciliation_report", ctx.report, rows, write_rows, fmt, **options)
+    done("settlement_breaks", ctx.settlement_breaks, rows, write_rows, fmt, **options)
+    for name, df, order in (
+            ("counterparty_summary", ctx.counterparty_summary, (most, "counterparty_int")),
+            ("trade_type_summary", summaries.trade_type_summary(cube), (most, "trade_type")),
+            ("daily_break_trend", ctx.daily, ("trade_date_str",)),
+            ("aging_summary", summaries.aging_summary(cube), ("aging_bucket",))):
+        done(name, df, ("csv", csv), write_small_csv, order)
+    done("anomaly_alerts", alert_objects(alerts.anomaly_alerts(cube, cfg)), ("json", {}), write_json_lines)
+    done("knowledge_base", insights.kb_document(cube, cfg).select(
+        F.col("kb_json").alias("value")), ("text", {}), write_text)
+    if ctx.audited:
+        done("rejected_rows", ctx.rejected_rows, ("parquet", {}), write_rows)
+    done("row_aggregates", ctx.aggregates, ("parquet", {}), write_rows)
+    done("break_cube", cube, ("parquet", {}), write_rows)
+    return out
+
+
+def write_all(ctx, out_dir: str, fmt: str = "parquet", **options) -> dict[str, str]:
+    """Publish every output of a run (``plans.runs``): name -> path of the table."""
+    return ctx.publish(out_dir, fmt, **options).paths

@@ -25,6 +25,8 @@ from pyspark.sql import types as T
 
 #: bytes of a file in which its header, or first rows, must end; files looked at together
 HEAD_BYTES, AT_ONCE = 1 << 16, 16
+#: the column of records that the reader could not make sense of
+MALFORMED = "_malformed_record"
 
 
 class FeedSchemaError(ValueError):
@@ -77,8 +79,10 @@ def _check(name: str, wanted: list[str], have: list[str], where: str) -> None:
 
 
 def read_csv(spark: SparkSession, name: str, path: str, wanted: list[str], header: str = "true",
-             columns: list[str] | None = None, **options) -> DataFrame:
-    """The wanted columns of all files, as text.  A file without a byte has no rows."""
+             columns: list[str] | None = None, malformed: bool = False, **options) -> DataFrame:
+    """The wanted columns of all files, as text; with ``malformed`` also the
+    records with too few or too many fields, as they are in the file.  A file
+    without a byte has no rows."""
     files = files_of(spark, path)
     layouts: dict[tuple[str, ...], list[str]] = defaultdict(list)
     if str(header).lower() == "true":
@@ -98,10 +102,13 @@ def read_csv(spark: SparkSession, name: str, path: str, wanted: list[str], heade
     if not any(layouts.values()):
         raise FeedSchemaError(f"{name} feed: no file with a header in {path}")
     out = None
+    own = [MALFORMED] if malformed else []
+    if malformed:                 # whole records have to be looked at, whatever columns are asked for
+        options = options | {"columnNameOfCorruptRecord": MALFORMED, "columnPruning": "false"}
     for have, at in layouts.items():
         part = (spark.read.options(**options).option("header", header)
-                .schema(T.StructType([T.StructField(c, T.StringType()) for c in have])).csv(at))
-        part = part.select(*[F.col(f"`{c}`") for c in wanted])
+                .schema(T.StructType([T.StructField(c, T.StringType()) for c in [*have, *own]])).csv(at))
+        part = part.select(*[F.col(f"`{c}`") for c in [*wanted, *own]])
         out = part if out is None else out.unionByName(part)
     return out
 
@@ -111,7 +118,8 @@ def _json_keys(spark: SparkSession, lines: DataFrame) -> set[str]:
     return {r.k for r in keys.collect()}
 
 
-def read_json(spark: SparkSession, name: str, path: str, wanted: list[str], **options) -> DataFrame:
+def read_json(spark: SparkSession, name: str, path: str, wanted: list[str], malformed: bool = False,
+              **options) -> DataFrame:
     """The wanted keys of all rows, as text; NULL where a row lacks one.  Files
     without a row are an empty feed."""
     files = files_of(spark, path)
@@ -123,5 +131,7 @@ def read_json(spark: SparkSession, name: str, path: str, wanted: list[str], **op
         have = _json_keys(spark, lines)
         if have:
             _check(name, wanted, sorted(have), path)
+    if malformed:
+        options, wanted = options | {"columnNameOfCorruptRecord": MALFORMED}, [*wanted, MALFORMED]
     schema = T.StructType([T.StructField(c, T.StringType()) for c in wanted])
     return spark.read.options(**options).schema(schema).json(files)

@@ -202,7 +202,7 @@ def test_empty_feeds(spark):
     k = summaries.kpis(ctx.cube).first()
     assert (k.total_trades, k.total_breaks, k.match_rate) == (0, 0, None)
     assert trend.daily_trend_change(ctx.daily).count() == 0
-    assert alerts.anomaly_alerts(ctx.cube, ctx.daily, CFG).count() == 0
+    assert alerts.anomaly_alerts(ctx.cube, CFG).count() == 0
 
 
 def test_single_day_has_no_spike(spark):
@@ -251,12 +251,11 @@ def test_alert_order_and_kb_document(spark):
               for i in range(150)]
     ctx = ReconContext(spark, make_feeds(spark, internal=rows_i, custodian=rows_c),
                        CFG.with_(report_date=dt.date(2026, 1, 2)))
-    al = alerts.anomaly_alerts(ctx.cube, ctx.daily, ctx.cfg).orderBy("alert_rank").collect()
+    al = alerts.anomaly_alerts(ctx.cube, ctx.cfg).orderBy("alert_rank").collect()
     assert [a.alert_type for a in al] == ["COUNTERPARTY_CONCENTRATION"] * 3 + [
         "HIGH_VALUE_BREAKS", "AGING_BREAKS", "FAILED_SETTLEMENT_VOLUME"]
     assert [a.alert_rank for a in al] == list(range(1, 7))
-    doc = json.loads(insights.kb_document(ctx.cube, ctx.daily, ctx.counterparty_summary,
-                                          ctx.cfg).first().kb_json)
+    doc = json.loads(insights.kb_document(ctx.cube, ctx.cfg).first().kb_json)
     assert doc["overview"] == {"total_trades": 150, "total_breaks": 150, "match_rate": 0.0,
                                "total_break_value": 150 * 200000 * 10.0,
                                "report_date": "2026-01-02"}
