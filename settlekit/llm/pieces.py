@@ -38,8 +38,8 @@ from .common import kept_by_worker, read, send_with_tasks
 send_with_tasks(__name__)
 
 SPACE = "▁"
-#: chunks remembered before the older half is forgotten, and the longest that is
-CACHE, LONGEST = 300_000, 64
+#: chunks remembered before the older ones are forgotten, pairs remembered, longest chunk remembered
+CACHE, PAIRS, LONGEST = 150_000, 250_000, 64
 _PROBES = ("", " ", "Hello  world, it's 3.14!\n\tÉté   漢字 ▁x", "a" * 40 + " " * 70 + "\U0001F600\x00 <s> <0x41>\r\n")
 
 
@@ -62,6 +62,7 @@ class PieceTokenizer:
         self.shorter = [-1] * len(self.piece)      # the longest other piece that starts this one
         for p, i in self.id.items():
             self.shorter[i] = next((self.id[p[:k]] for k in range(len(p) - 1, 0, -1) if p[:k] in self.id), -1)
+        self.size = list(map(len, self.piece))
         self.automaton = ahocorasick.Automaton()
         for p, i in self.id.items():
             self.automaton.add_word(p, i)
@@ -103,24 +104,30 @@ class PieceTokenizer:
     def compatible(self, a: int, b: int) -> bool:
         ok = self.fits.get((a, b))
         if ok is None:
-            if len(self.fits) > 4 * CACHE:
+            if len(self.fits) > PAIRS:
                 self.fits.clear()
             ok = self.fits[a, b] = self.merged(self.piece[a] + self.piece[b]) == [a, b]
         return ok
 
     def _run(self, text: str) -> list[int]:
         """The pieces of a text of known characters."""
+        fits, size = self.fits, self.size
         longest = [i for _, i in self.automaton.iter_long(text)]
-        if all(map(self.fits.get, zip(longest, longest[1:]))):       # pairs seen before
+        if all(map(fits.get, zip(longest, longest[1:]))):            # pairs seen before
             return longest
-        failed, taken, at = bytearray(len(text) + 1), [], 0
-        following = longest[0]
+        k = next((k for k in range(1, len(longest)) if not self.compatible(longest[k - 1], longest[k])), None)
+        if k is None:
+            return longest
+        taken, following, failed = longest[:k], longest[k], bytearray(len(text) + 1)
+        at = sum(map(size.__getitem__, taken))
         while at < len(text):
             piece, last = following, taken[-1] if taken else None
             while piece >= 0:
-                to = at + len(self.piece[piece])
-                if not failed[to] and (last is None or self.compatible(last, piece)):
-                    break
+                to = at + size[piece]
+                if not failed[to]:
+                    ok = last is None or fits.get((last, piece))
+                    if ok or ok is None and self.compatible(last, piece):
+                        break
                 piece = self.shorter[piece]
             if piece >= 0:
                 taken.append(piece)
@@ -128,14 +135,13 @@ class PieceTokenizer:
                 if at < len(text):
                     following = next(self.automaton.iter_long(text[at:at + self.most]))[1]
             else:                                   # nothing fits here: a shorter one before
-                failed[at] = 1
-                at -= len(self.piece[taken.pop()])
-                following = self.shorter[last]
-                while following < 0:                # the one before has no shorter either
+                while True:
                     failed[at] = 1
                     last = taken.pop()
-                    at -= len(self.piece[last])
+                    at -= size[last]
                     following = self.shorter[last]
+                    if following >= 0:
+                        break
         return taken
 
     def _ids(self, chunk: str) -> bytes:
