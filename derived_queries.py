@@ -19,7 +19,9 @@ from settlekit import schemas
 from settlekit.config import ReconConfig
 from settlekit.plans.catalog import QUERIES
 from settlekit.plans.context import ReconContext
+from settlekit.plans.daily import DayStore
 from settlekit.session import scratch
+from settlekit.sources.bucketed import write_bucketed
 from settlekit.sources.feeds import Feeds, read_feeds, validate
 
 # Parameters for the feeds derived from orders/customer/nation: as_of is the
@@ -151,6 +153,23 @@ def rejected_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.get_json_object("raw", "$.price").alias("raw_price"))
 
 
+def bucketed_recon(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The feeds written in buckets and joined without a shuffle."""
+    feeds = write_bucketed(shared_feeds(spark, sf_dir), scratch(spark, "bucketed"), 16)
+    return ReconContext(spark, feeds, DERIVED_FEED_CONFIG).joined.select(*schemas.JOINED_COLUMNS)
+
+
+def replaced_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Days kept from feeds in which one trade date came wrong, that date
+    replaced by its right feeds: the daily trend."""
+    feeds, wrong = shared_feeds(spark, sf_dir), _dt.date(1998, 3, 3)
+    at = F.col("trade_date") == F.lit(wrong)
+    damaged = Feeds(feeds.internal.withColumn("quantity", F.when(at, F.lit(1).cast("long")).otherwise(F.col("quantity"))),
+                    feeds.custodian.where(~at), feeds.exchange)
+    store = DayStore.create(spark, damaged, scratch(spark, "days"), DERIVED_FEED_CONFIG)
+    return store.replace([wrong], feeds).context().daily
+
+
 #: queries on feeds of other make than the shared ones
 OTHER_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "feed_losses": dirty_feed_losses,
@@ -158,6 +177,8 @@ OTHER_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "duplicate_key_recon": duplicate_key_recon,
     "text_feed_recon": text_feed_recon,
     "rejected_rows": rejected_rows,
+    "bucketed_recon": bucketed_recon,
+    "replaced_days": replaced_days,
     "reopened_alerts": lambda spark, sf_dir: QUERIES["anomaly_alerts"](reopened(spark, sf_dir)),
     "reopened_kb": lambda spark, sf_dir: QUERIES["kb_document"](reopened(spark, sf_dir)),
 }

@@ -539,6 +539,8 @@ SELECT to_json({{
   'faq_pairs': (SELECT list({{'question': question, 'answer': answer}} ORDER BY faq_rank) FROM faq)
 }}) AS kb_json""",
     }
-    q["reopened_alerts"], q["reopened_kb"] = q["anomaly_alerts"], q["kb_document"]
+    for same, name in (("reopened_alerts", "anomaly_alerts"), ("reopened_kb", "kb_document"),
+                       ("bucketed_recon", "three_way_recon"), ("replaced_days", "daily_break_trend")):
+        q[same] = q[name]
     return {name: p + more + "\n" + sql for name, sql in q.items()} | {
         "duplicate_key_recon": duplicate_key_sql()}

@@ -24,6 +24,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .. import schemas
 from ..config import ReconConfig
@@ -44,13 +45,16 @@ _COUNTS = ("rows", "keyed_rows", "breaks", "keyed_breaks",
 _SUMS = ("value_sum", "high_value_sum", "aged_value_sum")
 
 
-def row_aggregates(recon: DataFrame, cfg: ReconConfig) -> DataFrame:
+def row_aggregates(recon: DataFrame, cfg: ReconConfig, also: str | None = None) -> DataFrame:
+    """The one-pass aggregation; with ``also``, per value of that column too
+    (``merged`` adds these up)."""
     is_break = F.col("is_break")
     high = is_break & (F.col("break_value") > F.lit(float(cfg.high_value)))
     aged = is_break & F.col("aging_bucket").isin(*L.AGED_BUCKETS)
     failed = is_break & F.coalesce(F.col("break_type").contains(L.FAILED_MARKER), F.lit(False))
+    kept = [also] if also else []
     rows = recon.select(
-        F.col("counterparty_int").alias("counterparty"),
+        *kept, F.col("counterparty_int").alias("counterparty"),
         "trade_type",
         F.col("trade_date_dt").alias("day"),
         F.col("break_type").alias("label"),
@@ -59,8 +63,8 @@ def row_aggregates(recon: DataFrame, cfg: ReconConfig) -> DataFrame:
         *[f"flag_{name}" for name, _ in L.CHECKS], *[f"has_{leg}" for leg in schemas.LEGS.values()],
         high.alias("_high"), aged.alias("_aged"), failed.alias("_failed"),
     )
-    sets = [[d] for d in ROW_DIMENSIONS] + [[]]
-    return rows.groupingSets(sets, *ROW_DIMENSIONS).agg(
+    sets = [[d, *kept] for d in ROW_DIMENSIONS] + [kept]
+    return rows.groupingSets(sets, *ROW_DIMENSIONS, *kept).agg(
         F.count(F.lit(1)).alias("rows"),
         F.count("trade_id").alias("keyed_rows"),
         count_true(is_break).alias("breaks"),
@@ -77,6 +81,22 @@ def row_aggregates(recon: DataFrame, cfg: ReconConfig) -> DataFrame:
     )
 
 
+def measures(also: str) -> T.StructType:
+    """The schema of ``row_aggregates`` per date column ``also``."""
+    kinds = ([(d, T.DateType() if d == "day" else T.StringType()) for d in ROW_DIMENSIONS]
+             + [(c, T.LongType()) for c in _COUNTS] + [(c, T.DecimalType(38, 6)) for c in _SUMS]
+             + [(f"g_{d}", T.ByteType()) for d in ROW_DIMENSIONS] + [(also, T.DateType())])
+    return T.StructType([T.StructField(n, t) for n, t in kinds])
+
+
+def merged(parts: DataFrame) -> DataFrame:
+    """The aggregates of all parts of the rows from those of each: counts and
+    decimal sums add up exactly."""
+    keys = [*ROW_DIMENSIONS, *[f"g_{d}" for d in ROW_DIMENSIONS]]
+    sums = parts.groupBy(*keys).agg(*[F.sum(m).alias(m) for m in (*_COUNTS, *_SUMS)])
+    return sums.select(*ROW_DIMENSIONS, *_COUNTS, *_SUMS, *[f"g_{d}" for d in ROW_DIMENSIONS])
+
+
 def break_cube(agg: DataFrame, cfg: ReconConfig) -> DataFrame:
     """The cube from the written rows of ``row_aggregates``."""
     dim = F.lit(ALL)
@@ -85,19 +105,19 @@ def break_cube(agg: DataFrame, cfg: ReconConfig) -> DataFrame:
         dim = F.when(F.col(f"g_{d}") == 0, F.lit(d)).otherwise(dim)
         value = F.date_format(F.col(d), "yyyy-MM-dd") if d == "day" else F.col(d)
         key = F.when(F.col(f"g_{d}") == 0, value).otherwise(key)
-    measures = [*_COUNTS, *_SUMS]
-    per_row = agg.select(dim.alias("dim"), key.alias("key"), F.col("day").alias("_day"), *measures)
+    values = [*_COUNTS, *_SUMS]
+    per_row = agg.select(dim.alias("dim"), key.alias("key"), F.col("day").alias("_day"), *values)
 
     # aging bucket and weekday from the day slice (one row per trade date)
     days = per_row.where(F.col("dim") == F.lit("day"))
     age = F.datediff(F.lit(cfg.as_of), F.col("_day"))
     derived = [
         days.withColumn("_age", age).select(
-            F.lit("aging").alias("dim"), F.expr(bucket_expr("_age")).alias("key"), *measures),
+            F.lit("aging").alias("dim"), F.expr(bucket_expr("_age")).alias("key"), *values),
         days.select(F.lit("weekday").alias("dim"), F.date_format("_day", "EEEE").alias("key"),
-                    *measures),
+                    *values),
     ]
-    sums = [F.sum(m).alias(m) for m in measures]
+    sums = [F.sum(m).alias(m) for m in values]
     out = per_row.drop("_day")
     for d in derived:
         out = out.unionByName(d.groupBy("dim", "key").agg(*sums))

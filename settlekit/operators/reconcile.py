@@ -4,13 +4,14 @@ Semantics (reference): a full outer equi-join on ``trade_id`` of internal
 with custodian, then of that with exchange; duplicated keys multiply
 (many-to-many), and every column is suffixed by its leg.
 
-Two physical shapes produce the same rows:
+Three physical shapes produce the same rows:
 
 * ``strategy="keys"`` (default).  The set of non-null keys is built from
   the three key columns (a narrow, map-side-deduplicated shuffle), then each
   feed is left-joined to it.  All three joins are on the same attribute,
   so Spark keeps the hash partitioning of the key set: each feed is shuffled
   exactly once and the wide intermediate result is never re-shuffled.
+* Bucketed feeds (``sources.bucketed``) are joined without any shuffle.
 * ``strategy="chain"``.  The literal two full outer joins.  The second join
   is on ``coalesce(i.trade_id, c.trade_id)``, which hides the partitioning,
   so the whole first-join result is shuffled again.
@@ -42,6 +43,7 @@ from pyspark.sql import functions as F
 
 from .. import schemas
 from ..session import land
+from ..sources.bucketed import BucketedFeeds, whole
 from ..sources.feeds import Feeds
 from .pairing import paired
 
@@ -64,6 +66,10 @@ def internal_vs_custodian(feeds: Feeds, cached: list | None = None) -> DataFrame
     semantics), with the same key-set plan and duplicate policy as the
     three-way join."""
     cols = [n for _, n in schemas.INTERNAL_LEG] + [n for _, n in schemas.CUSTODIAN_LEG[1:]]
+    if isinstance(feeds, BucketedFeeds):
+        if feeds.unique:
+            return _bucketed(feeds, 2).select(*cols)
+        feeds = whole(feeds)
     return _joined(list(legs(feeds)[:2]), cached, _keys_strategy).select(*cols)
 
 
@@ -171,14 +177,36 @@ def _joined(frames: list[DataFrame], cached: list | None, join) -> DataFrame:
         paired(frames, keys.where(twice).select("trade_id")))
 
 
+def _bucketed(feeds: BucketedFeeds, n_frames: int = 3) -> DataFrame:
+    """Full outer join of bucketed feeds without a shuffle, in parts that keep
+    the buckets of their left side: the keys of the first feed, those that only
+    the others have, and so on."""
+    frames, out = list(legs(feeds)[:n_frames]), None
+    for n, first in enumerate(frames):
+        part = first
+        for earlier in frames[:n]:
+            part = part.join(earlier.select("trade_id"), "trade_id", "left_anti")
+        for later in frames[n + 1:]:
+            part = part.join(later, "trade_id", "left")
+        out = part if out is None else out.unionByName(part, allowMissingColumns=True)
+    for frame in legs(feeds.keyless)[:n_frames]:
+        out = out.unionByName(frame, allowMissingColumns=True)
+    return out
+
+
 def three_way(feeds: Feeds, strategy: str = "keys", cached: list | None = None) -> DataFrame:
     """J1 + J2: the 26 joined columns of the reconciliation report, then which
     legs are there with their trade dates, and the audit columns of the legs
-    whose feeds have them."""
+    whose feeds have them.  Bucketed feeds without duplicated keys are joined
+    bucket by bucket, whatever the strategy."""
     if strategy not in ("keys", "chain"):
         raise ValueError(f"unknown join strategy {strategy!r}")
     join = _keys_strategy if strategy == "keys" else _chain_strategy
-    out = _joined(list(legs(feeds)), cached, join)
+    if isinstance(feeds, BucketedFeeds) and feeds.unique:
+        out = _bucketed(feeds)
+    else:
+        feeds = whole(feeds) if isinstance(feeds, BucketedFeeds) else feeds
+        out = _joined(list(legs(feeds)), cached, join)
     return out.select(*schemas.JOINED_COLUMNS, *side_columns(out))
 
 

@@ -58,6 +58,13 @@ class ReconContext:
         ctx._cube = run.read(spark, "break_cube").coalesce(1).persist()
         return ctx
 
+    @classmethod
+    def of_aggregates(cls, spark: SparkSession, aggregates: DataFrame, cfg: ReconConfig) -> "ReconContext":
+        """Summaries and insights over row aggregates that are there already."""
+        ctx = cls(spark, None, cfg)
+        ctx._aggregates = aggregates
+        return ctx
+
     def publish(self, out_dir: str, fmt: str = "parquet", inputs: dict[str, str] | None = None, keep: int = 2,
                 **options) -> runs.Run:
         """Write all outputs and make them the current run of ``out_dir``."""
@@ -66,7 +73,7 @@ class ReconContext:
     @property
     def feeds(self) -> Feeds:
         if self._feeds is None:
-            raise runs.RunError("a reopened run has no feeds")
+            raise runs.RunError("this run was not made from feeds")
         return self._feeds
 
     # -- row level ----------------------------------------------------------

@@ -23,13 +23,12 @@ import datetime as _dt
 import json
 import uuid
 
-from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..config import ReconConfig
-from ..session import remove
+from ..session import get_file, names_in, put_file, remove
 from ..sources import sinks
 
 FORMAT = 1
@@ -56,9 +55,7 @@ class Run:
 
     @property
     def config(self) -> ReconConfig:
-        fields = {f.name: f.type for f in dataclasses.fields(ReconConfig)}
-        return ReconConfig(**{k: _dt.date.fromisoformat(v) if v is not None and "date" in fields[k] else v
-                              for k, v in self.manifest["config"].items()})
+        return config_from(self.manifest["config"])
 
     def read(self, spark: SparkSession, name: str) -> DataFrame:
         t = self.manifest["tables"][name]
@@ -89,61 +86,61 @@ def stamps(spark: SparkSession, inputs: dict[str, str] | None) -> dict[str, dict
     return {name: _files(spark, path, times=True) for name, path in (inputs or {}).items()}
 
 
-def _config(cfg: ReconConfig) -> dict:
+def config_from(kept: dict) -> ReconConfig:
+    fields = {f.name: f.type for f in dataclasses.fields(ReconConfig)}
+    return ReconConfig(**{k: _dt.date.fromisoformat(v) if v is not None and "date" in fields[k] else v
+                          for k, v in kept.items()})
+
+
+def config_to(cfg: ReconConfig) -> dict:
     return {k: v.isoformat() if isinstance(v, _dt.date) else v for k, v in dataclasses.asdict(cfg).items()}
 
 
 def _numbers(spark: SparkSession, out_dir: str) -> list[int]:
-    p, fs = _fs(spark, f"{out_dir}/_runs")
-    names = [s.getPath().getName() for s in fs.listStatus(p)] if fs.exists(p) else []
-    return sorted(int(n[:-5]) for n in names if n.endswith(".json") and n[:-5].isdigit())
+    return [int(n[:-5]) for n in names_in(spark, f"{out_dir}/_runs") if n.endswith(".json") and n[:-5].isdigit()]
+
 
+def _manifest_path(out_dir: str, number: int) -> str:
+    return f"{out_dir}/_runs/{number:08d}.json"
 
-def _read_manifest(spark: SparkSession, out_dir: str, number: int) -> dict | None:
+
+def read_manifest(spark: SparkSession, out_dir: str, number: int) -> dict | None:
     """A manifest, or None while it is being written."""
-    p, fs = _fs(spark, f"{out_dir}/_runs/{number:08d}.json")
-    stream = fs.open(p)
-    try:
-        text = bytes(spark._jvm.org.apache.commons.io.IOUtils.toByteArray(stream)).decode("utf-8")
-    finally:
-        stream.close()
     try:
-        found = json.loads(text)
+        found = json.loads(get_file(spark, _manifest_path(out_dir, number)))
     except ValueError:
         return None
     if found.get("format") != FORMAT:
-        raise RunError(f"{p.toString()}: unknown format {found.get('format')}")
+        raise RunError(f"{_manifest_path(out_dir, number)}: unknown format {found.get('format')}")
     return found
 
 
-def _write_manifest(spark: SparkSession, out_dir: str, manifest: dict) -> int:
+def last_manifest(spark: SparkSession, out_dir: str) -> tuple[int, dict]:
+    for n in reversed(_numbers(spark, out_dir)):
+        manifest = read_manifest(spark, out_dir, n)
+        if manifest is not None:
+            return n, manifest
+    raise RunError(f"no published run in {out_dir}")
+
+
+def write_manifest(spark: SparkSession, out_dir: str, manifest: dict) -> int:
     """The manifest under the next free number; another writer's number is never overwritten."""
-    number = max(_numbers(spark, out_dir), default=0)
-    raw = json.dumps(manifest, indent=1).encode("utf-8")
-    while True:
+    number = max(_numbers(spark, out_dir), default=0) + 1
+    text = json.dumps({"format": FORMAT} | manifest, indent=1)
+    while not put_file(spark, _manifest_path(out_dir, number), text):
         number += 1
-        p, fs = _fs(spark, f"{out_dir}/_runs/{number:08d}.json")
-        try:
-            stream = fs.create(p, False)
-        except Py4JJavaError as e:
-            if "already exists" in str(e.java_exception).lower():
-                continue
-            raise
-        try:
-            stream.write(raw)
-        finally:
-            stream.close()
-        return number
+    return number
 
 
 def current(spark: SparkSession, out_dir: str, number: int | None = None) -> Run:
     """The published run with the highest number (or the given one)."""
     out_dir = out_dir.rstrip("/")
-    for n in reversed(_numbers(spark, out_dir)) if number is None else [number]:
-        manifest = _read_manifest(spark, out_dir, n)
-        if manifest is not None:
-            return Run(out_dir, n, manifest)
-    raise RunError(f"no published run in {out_dir}")
+    if number is None:
+        return Run(out_dir, *last_manifest(spark, out_dir))
+    manifest = read_manifest(spark, out_dir, number) if number in _numbers(spark, out_dir) else None
+    if manifest is None:
+        raise RunError(f"no run {number} in {out_dir}")
+    return Run(out_dir, number, manifest)
 
 
 def publish(ctx, out_dir: str, fmt: str = "parquet", inputs: dict[str, str] | None = None, keep: int = 2,
@@ -164,15 +161,15 @@ def publish(ctx, out_dir: str, fmt: str = "parquet", inputs: dict[str, str] | No
                             "schema": df.schema.jsonValue(), **_files(spark, f"{out_dir}/{folder}/{name}")}
         if stamped != stamps(spark, inputs):
             raise StaleRunError("the inputs changed while the run was made")
-        number = _write_manifest(spark, out_dir, {
-            "format": FORMAT, "run": run_id, "config": _config(ctx.cfg), "inputs": stamped, "tables": tables})
+        number = write_manifest(spark, out_dir, {
+            "run": run_id, "config": config_to(ctx.cfg), "inputs": stamped, "tables": tables})
     except BaseException:
         remove(spark, f"{out_dir}/{folder}")
         raise
     for old in _numbers(spark, out_dir):
         if old <= number - keep:
-            gone = _read_manifest(spark, out_dir, old)
-            remove(spark, f"{out_dir}/_runs/{old:08d}.json")
+            gone = read_manifest(spark, out_dir, old)
+            remove(spark, _manifest_path(out_dir, old))
             if gone is not None:
                 remove(spark, f"{out_dir}/run-{gone['run']}")
     return current(spark, out_dir, number)
@@ -186,8 +183,8 @@ def check(spark: SparkSession, run: Run, cfg: ReconConfig | None = None, inputs:
         if found != {k: t[k] for k in found}:
             raise RunError(f"run {run.number} is not whole: {name} has {found['files']} files of {found['bytes']} "
                            f"bytes, its manifest {t['files']} of {t['bytes']}")
-    if cfg is not None and _config(cfg) != run.manifest["config"]:
-        other = {k for k, v in _config(cfg).items() if run.manifest["config"].get(k) != v}
+    if cfg is not None and config_to(cfg) != run.manifest["config"]:
+        other = {k for k, v in config_to(cfg).items() if run.manifest["config"].get(k) != v}
         raise StaleRunError(f"run {run.number} was made with another {', '.join(sorted(other))}")
     now = stamps(spark, inputs)
     changed = [n for n in now if now[n] != run.manifest["inputs"].get(n)]

@@ -10,6 +10,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -70,3 +71,35 @@ def remove(spark: SparkSession, path: str) -> None:
     """Delete a scratch folder that is no longer read."""
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
     p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def put_file(spark: SparkSession, path: str, text: str) -> bool:
+    """Write a small file; False if there is one already (it stays as it is)."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    try:
+        stream = p.getFileSystem(spark._jsc.hadoopConfiguration()).create(p, False)
+    except Py4JJavaError as e:
+        if "already exists" in str(e.java_exception).lower():
+            return False
+        raise
+    try:
+        stream.write(text.encode("utf-8"))
+    finally:
+        stream.close()
+    return True
+
+
+def get_file(spark: SparkSession, path: str) -> str:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    stream = p.getFileSystem(spark._jsc.hadoopConfiguration()).open(p)
+    try:
+        return bytes(spark._jvm.org.apache.commons.io.IOUtils.toByteArray(stream)).decode("utf-8")
+    finally:
+        stream.close()
+
+
+def names_in(spark: SparkSession, path: str) -> list[str]:
+    """The names in a folder; none if it is not there."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    return sorted(s.getPath().getName() for s in fs.listStatus(p)) if fs.exists(p) else []
