@@ -17,7 +17,7 @@ Texts are cut into pieces and words; all counts are per language.
    that are one word shorter are frequent, which loses none.
 
 The sums, ids and phrases are joined and ranked by Spark; no task holds more
-than a block and the answers to it, and nothing is broadcast by this code.
+than a block and the answers to it.
 
 Edge cases: null and empty texts have no words; a null lang is ``und``; rows
 count each, whatever their ids; a word is never longer than its text, texts of
@@ -28,12 +28,12 @@ read; an empty table, or one without frequent pairs, gives no row.
 
 from __future__ import annotations
 
+import zlib
 from collections import defaultdict
 from collections.abc import Iterator
 from itertools import count
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window as W
@@ -47,6 +47,8 @@ send_with_tasks(__name__)
 LEAST, LONGEST, BEST, COVERED_PCT = 30, 4, 2000, 80
 #: words in a block; side of a tile, and the pairs from which a tile is counted densely
 BLOCK, SIDE, DENSE = 2_000_000, 1024, 1 << 15
+#: codes (16 bytes each) that are sent to all tasks; more than these are joined by a shuffle
+SMALL = 3_000_000
 _BREAK = b"\n"
 _CUTS = bytes.maketrans(b".,;:!?\x0a\x0b\x0c\x0d\t", _BREAK * 10 + b" ")
 
@@ -58,35 +60,49 @@ def _words(text: str) -> Iterator[bytes]:
 
 
 def _planes(x: np.ndarray) -> bytes:
-    """Numbers below 2^32 by byte planes, which compress well in files and shuffles."""
-    return x.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes()
+    """Numbers below 2^32 as compressed byte planes."""
+    return zlib.compress(x.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes(), 1)
 
 
 def _from_planes(raw: bytes) -> np.ndarray:
-    planes = np.frombuffer(raw, np.uint8).reshape(4, -1)
+    planes = np.frombuffer(zlib.decompress(raw), np.uint8).reshape(4, -1)
     return np.ascontiguousarray(planes.T).view("<u4").reshape(-1).astype(np.int64)
 
 
+#: a block's state (copies null): words and phrases, a number per place; and the
+#: rows of what it asks for: a word with its number in the block, or a code
+_ROWS = [("block", pa.int64()), ("lang", pa.string()), ("words", pa.binary()), ("grams", pa.binary()), ("pos", pa.int32()),
+         ("word", pa.string()), ("code", pa.int64()), ("copies", pa.int32())]
+_SCHEMA = "block long, lang string, words binary, grams binary, pos int, word string, code long, copies int"
+
+
+def _table(block: int, copies: np.ndarray, words: np.ndarray | None, grams: np.ndarray, **asked) -> pa.Table:
+    """The state row of a block and the rows of what it asks for."""
+    n = len(copies)
+    own = {"block": block, "words": None if words is None else _planes(words), "grams": _planes(grams)}
+    asked |= {"block": pa.array(np.full(n, block), pa.int64()), "copies": pa.array(copies, pa.int32())}
+    return pa.concat_tables([pa.table({c: pa.array([own.get(c)], t) for c, t in _ROWS}),
+                             pa.table({c: asked.get(c, pa.nulls(n, t)) for c, t in _ROWS})])
+
+
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(block, lang, at, words, copies): ``at`` has at each place of the block
-    the number of its word from 1 on, in order of frequency; 0 is a break."""
+    """Blocks of words: ``grams`` has at each place the number of its word from
+    1 on, in order of frequency in the block; 0 is a break."""
     known, texts, size, done = {}, {}, 0, 0
 
     def flush():
-        block = TaskContext.get().partitionId() << 32 | done
-        for lang, parts in texts.items():
+        for k, (lang, parts) in enumerate(texts.items()):
             ids = np.concatenate(parts)
             copies = np.bincount(ids, minlength=len(known[lang]))
-            words = np.array(list(known[lang]), object)
             order = 1 + np.argsort(-copies[1:], kind="stable")
             if not len(order):
                 continue
             rank = np.zeros(len(copies), np.int64)
             rank[order] = np.arange(1, len(copies))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([block], pa.int64()), pa.array([lang], pa.string()), pa.array([_planes(rank[ids])], pa.binary()),
-                 pa.array([[w.decode("utf-8", "replace") for w in words[order]]], pa.list_(pa.string())),
-                 pa.array([copies[order]], pa.list_(pa.int64()))], ["block", "lang", "at", "words", "copies"])
+            words = pa.array(list(known[lang]), pa.binary()).take(pa.array(order)).cast(pa.string())
+            yield from _table(TaskContext.get().partitionId() << 40 | done + k, copies[order], None, rank[ids], word=words,
+                              lang=pa.repeat(pa.scalar(lang, pa.string()), len(words)),
+                              pos=pa.array(np.arange(1, len(copies)), pa.int32())).to_batches(10_000)
     for batch in batches:
         for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
             if lang not in known:
@@ -98,7 +114,8 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             size += len(part)
             if size >= BLOCK:
                 yield from flush()
-                known, texts, size, done = {}, {}, 0, done + 1
+                done += len(texts)
+                known, texts, size = {}, {}, 0
     yield from flush()
 
 
@@ -123,47 +140,80 @@ def tile_counts(first: np.ndarray, second: np.ndarray) -> tuple[np.ndarray, np.n
     return codes[order], copies[order]
 
 
-_GRAMS = "block long, lang string, words binary, at binary, codes array<long>, copies array<long>"
+def _masked(x: np.ndarray, at: np.ndarray) -> np.ndarray:
+    out = np.zeros(len(x), np.int64)
+    out[at] = x[at]
+    return out
+
+
+def _counted(block: int, here: np.ndarray, words: np.ndarray, width: int) -> pa.Table:
+    """A block with the ids ``here`` of its frequent phrases of ``width`` words:
+    counts the phrases that are one word longer.  Of its state only the places
+    where these begin, and their last words, are kept."""
+    n = max(len(words) - width, 0)
+    at = np.flatnonzero((here[:n] > 0) & (np.append(here[1:], 0)[:n] > 0) & (words[width:] > 0))
+    codes, copies = tile_counts(here[at], words[at + width])
+    return _table(block, copies, _masked(words, at + width), _masked(here, at), code=pa.array(codes, pa.int64()))
+
+
+def _pairs(block: pa.Table, told: pa.Table) -> pa.Table:
+    """A block of word numbers, told the ids of its frequent words."""
+    row = block.to_pylist()[0]
+    numbers = _from_planes(row["grams"])
+    ids = np.zeros(int(numbers.max(initial=0)) + 1, np.int64)
+    ids[told["pos"].to_numpy()] = told["id"].to_numpy()
+    return _counted(row["block"], ids[numbers], ids[numbers], 1)
+
+
+def _renumbered(row: dict, width: int, known: np.ndarray, ids: np.ndarray) -> pa.Table:
+    """A block's phrases of ``width`` words, named by code, take the ids of the
+    known codes (which are in order)."""
+    grams, words = _from_planes(row["grams"]), _from_planes(row["words"])
+    here, at = np.zeros(len(grams), np.int64), np.flatnonzero(grams)
+    codes = grams[at] << 32 | words[at + width - 1]
+    if len(known):
+        which = np.minimum(np.searchsorted(known, codes), len(known) - 1)
+        here[at] = np.where(known[which] == codes, ids[which], 0)
+    return _counted(row["block"], here, words, width)
 
 
 def _longer(width: int):
-    """A block with the ids of its frequent phrases of ``width`` words: counts
-    the phrases that are one word longer."""
-    def run(block: pd.DataFrame, told: pd.DataFrame) -> pd.DataFrame:
-        if not len(block):
-            return pd.DataFrame(columns=[c.split()[0] for c in _GRAMS.split(", ")])
-        row = block.iloc[0]
-        ids = np.zeros(int(row["asked"]) + 1, np.int64)
-        ids[told["pos"].to_numpy(np.int64) + 1] = told["id"].to_numpy(np.int64)
-        here = ids[_from_planes(row["at"])]
-        words = here if width == 1 else _from_planes(row["words"])
-        n = max(len(words) - width, 0)
-        after = np.append(here[1:], 0)[:n]
-        at = np.flatnonzero((here[:n] > 0) & (after > 0) & (words[width:] > 0))
-        first, second = here[at], words[at + width]
-        codes, copies = tile_counts(first, second)
-        where = np.zeros(len(words), np.int64)
-        where[at] = 1 + np.searchsorted(codes, first << 32 | second)
-        return pd.DataFrame([(row["block"], row["lang"], _planes(words), _planes(where), codes, copies)],
-                            columns=[c.split()[0] for c in _GRAMS.split(", ")])
+    def run(block: pa.Table, told: pa.Table) -> pa.Table:
+        known, ids = told["code"].to_numpy(), told["id"].to_numpy()
+        order = np.argsort(known)
+        return _renumbered(block.to_pylist()[0], width, known[order], ids[order])
+    return run
+
+
+def _longer_by(width: int, sent):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in range(batch.num_rows):
+                yield from _renumbered(batch.slice(k, 1).to_pylist()[0], width, *sent.value).to_batches(10_000)
     return run
 
 
 def _ranked(sums: DataFrame, by: list[str]) -> DataFrame:
-    """Frequent rows of (lang, by, n) with ``id``: 1.. in order of frequency."""
+    """Frequent rows of (by, n) with ``id``: 1.. in order of frequency, over all
+    languages (an id tells its language)."""
     rows = sums.filter(F.col("n") >= LEAST).withColumn("_less", -F.col("n"))
-    return number(rows, ["lang"], ["_less", *by], "id").drop("_less")
+    return number(rows, [], ["_less", *by], "id").drop("_less")
 
 
-def _step(blocks: DataFrame, asked: str, frequent: DataFrame, key: str, width: int) -> DataFrame:
-    """Each block's own ids go back to it; then it counts longer phrases."""
-    questions = blocks.select(F.col("block").alias("asker"), F.col("lang").alias("speech"),
-                              F.posexplode(asked).alias("pos", key))
-    told = questions.join(frequent.select(F.col("lang").alias("speech"), key, "id"), ["speech", key]).select(
-        "asker", "speech", "pos", "id")
-    have = [c for c in ("block", "lang", "words", "at") if c != "words" or width > 1]
-    return (blocks.select(*have, F.size(asked).alias("asked")).groupBy("block", "lang")
-            .cogroup(told.groupBy("asker", "speech")).applyInPandas(_longer(width), _GRAMS))
+def _step(blocks: DataFrame, frequent: DataFrame, key: list[str], width: int) -> DataFrame:
+    """The blocks with the ids of their frequent words or phrases; they count
+    what is one word longer.  Up to SMALL codes are sent to all tasks; of more,
+    each block gets those that it has."""
+    state = blocks.filter("copies is null").select("block", "words", "grams")
+    if width > 1 and frequent.count() <= SMALL:
+        codes = frequent.select("code", "id").toArrow().sort_by("code")
+        sent = blocks.sparkSession.sparkContext.broadcast((codes["code"].to_numpy(), codes["id"].to_numpy()))
+        return state.mapInArrow(_longer_by(width, sent), _SCHEMA)
+    own = "pos" if width == 1 else "code"
+    asked = blocks.filter("copies is not null").select(F.col("block").alias("asker"), *{own: 0, **dict.fromkeys(key)})
+    told = asked.join(frequent.select(*key, "id"), key).select("asker", own, "id")
+    return state.groupBy("block").cogroup(told.groupBy("asker")).applyInArrow(
+        _pairs if width == 1 else _longer(width), _SCHEMA)
 
 
 def phrase_counts(docs: DataFrame, text: str = "text", lang: str = "lang") -> tuple[DataFrame, DataFrame]:
@@ -171,27 +221,26 @@ def phrase_counts(docs: DataFrame, text: str = "text", lang: str = "lang") -> tu
     LEAST times or more, and (lang, n) of the languages' words."""
     src = docs.select(F.coalesce(F.col(f"`{lang}`"), F.lit("und")).alias("lang"),
                       F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("t"))
-    blocks = landed(src.mapInArrow(
-        _blocks, "block long, lang string, at binary, words array<string>, copies array<long>"), "phrase-blocks")
-    found = landed(blocks.select("lang", F.explode(F.arrays_zip("words", "copies")).alias("w"))
-                   .groupBy("lang", F.col("w.words").alias("word")).agg(F.sum("w.copies").alias("n")), "phrase-words")
+    blocks = landed(src.mapInArrow(_blocks, _SCHEMA), "phrase-blocks")
+
+    def sums(*key: str) -> DataFrame:
+        return blocks.filter("copies is not null").groupBy(*key).agg(F.sum("copies").alias("n"))
+    found = landed(sums("lang", "word"), "phrase-words")
     totals = landed(found.groupBy("lang").agg(F.sum("n").alias("n")), "phrase-totals")
-    words = landed(_ranked(found, ["word"]), "phrase-ids")
+    words = landed(_ranked(found, ["lang", "word"]), "phrase-ids")
     discard(found)
     parts = [words.select("lang", F.col("word").alias("phrase"), F.lit(1).alias("width"), F.col("n").alias("f"))]
     shorter = words.select("lang", F.col("id").alias("front"), F.col("word").alias("begin"))
-    frequent, key, asked = words, "word", "words"
+    last = words.select(F.col("id").alias("back"), F.col("word").alias("end"))
+    frequent, key = words, ["lang", "word"]
     for width in range(2, LONGEST + 1):
-        longer = landed(_step(blocks, asked, frequent, key, width - 1), "phrase-blocks")
+        longer = landed(_step(blocks, frequent, key, width - 1), "phrase-blocks")
         discard(blocks)
-        blocks, key, asked = longer, "code", "codes"
-        sums = (blocks.select("lang", F.explode(F.arrays_zip("codes", "copies")).alias("c"))
-                .groupBy("lang", F.col("c.codes").alias("code")).agg(F.sum("c.copies").alias("n")))
-        frequent = landed(_ranked(sums, ["code"]), "phrase-ids")
-        last = words.select("lang", F.col("id").alias("back"), F.col("word").alias("end"))
+        blocks, key = longer, ["code"]
+        frequent = landed(_ranked(sums("code"), ["code"]), "phrase-ids")
         named = landed(
             frequent.withColumns({"front": F.shiftright("code", 32), "back": F.col("code").bitwiseAND(0xFFFFFFFF)})
-            .join(shorter, ["lang", "front"]).join(last, ["lang", "back"])
+            .join(shorter, "front").join(last, "back")
             .select("lang", "id", "n", F.concat_ws(" ", "begin", "end").alias("phrase")), "phrase-names")
         parts.append(named.select("lang", "phrase", F.lit(width).alias("width"), F.col("n").alias("f")))
         shorter = named.select("lang", F.col("id").alias("front"), F.col("phrase").alias("begin"))

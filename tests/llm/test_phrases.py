@@ -44,9 +44,10 @@ def plain(rows, least, best):
             for i, (_, _, w, (a, l, r, s)) in enumerate(sorted(rows)[:best], 1)}
 
 
-@pytest.mark.parametrize("block, side, dense", [(2_000_000, 1024, 1 << 15), (400, 4, 3), (3000, 16, 40)])
-def test_given_texts(spark, monkeypatch, block, side, dense):
-    for name, value in (("LEAST", 4), ("BLOCK", block), ("SIDE", side), ("DENSE", dense)):
+@pytest.mark.parametrize("block, side, dense, small", [
+    (2_000_000, 1024, 1 << 15, 10 ** 6), (400, 4, 3, 10 ** 6), (400, 4, 3, 0), (3000, 16, 40, 60)])
+def test_given_texts(spark, monkeypatch, block, side, dense, small):
+    for name, value in (("LEAST", 4), ("BLOCK", block), ("SIDE", side), ("DENSE", dense), ("SMALL", small)):
         monkeypatch.setattr(phrases, name, value)
     df = spark.read.parquet(f"{SF001}/documents.parquet").repartition(3)
     out = phrases.collocations(df, best=300)
