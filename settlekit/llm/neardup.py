@@ -33,10 +33,10 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession, Window as W
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import land, packed, read, send_with_tasks, unpacked
+from .common import SPACES, land, packed, read, send_with_tasks, unpacked
 from .components import components
 
 send_with_tasks(__name__)
@@ -227,7 +227,8 @@ def _crossings(torn: DataFrame, classes: DataFrame, sets: DataFrame) -> DataFram
 
 
 def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """doc_id, mark (hash of the text), n_shingles, component_id of every row."""
+    """doc_id, mark (hash of the text), n_shingles, component_id and root (the
+    class that names the component, null without words) of every row."""
     t = F.coalesce(F.col(f"`{text}`"), F.lit(""))
     texts = docs.select(F.col(f"`{key}`").cast("long").alias("doc_id"), t.alias("t"),
                         F.xxhash64(t).alias("own_mark"))
@@ -263,25 +264,30 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id") ->
     roots = components(links)
     groups = roots.join(classes.select(F.col("c").alias("node"), "doc_id"), "node")
     least = groups.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    linked = groups.join(least, "root").select(F.col("node").alias("c"), "component_id")
+    linked = groups.join(least, "root").select(F.col("node").alias("c"), "root", "component_id")
     # classes of one row without links are their own component and need no entry
-    single = classes.filter("copies > 1").select("c", F.col("doc_id").alias("component_id")).join(
+    single = classes.filter("copies > 1").select("c", F.col("c").alias("root"), F.col("doc_id").alias("component_id")).join(
         linked.select("c"), "c", "left_anti")
     return (rows.join(linked.unionByName(single), "c", "left")
-            .select("doc_id", "mark", F.col("n").alias("n_shingles"),
-                    F.coalesce("component_id", "doc_id").alias("component_id")))
+            .select("doc_id", "mark", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"),
+                    F.coalesce("root", "c").alias("root")))
 
 
 def one_of_each(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """The documents with one (that of the least id) of each component."""
-    keep = near_duplicates(docs, text, key).filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    keep = keep.select(F.col("doc_id").alias("_id"), F.col("mark").alias("_mark")).distinct()
-    rows = packed(docs).withColumns({
-        "_k": F.col(f"_row.`{key}`").cast("long"),
-        "_m": F.xxhash64(F.coalesce(F.col(f"_row.`{text}`"), F.lit("")))})
-    rows = rows.join(keep, F.col("_k").eqNullSafe(F.col("_id")) & (F.col("_m") == F.col("_mark")), "left_semi")
-    first = F.row_number().over(W.partitionBy("_k", "_m").orderBy(F.lit(0)))
-    return unpacked(rows.withColumn("_nth", first).filter("_nth = 1"))
+    """The documents with one row of each component: the least id (null only
+    if there is no other), then the least hash of the text, then the least row.
+    Documents without words are linked with nothing and all stay."""
+    found = near_duplicates(docs, text, key).filter("root is not null")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "mark"))
+    keep = found.groupBy("root").agg(first.alias("first")).select(
+        F.col("first.doc_id").alias("_id"), F.col("first.mark").alias("_mark")).distinct()
+    t = F.coalesce(F.col(f"_row.`{text}`"), F.lit(""))
+    rows = packed(docs).withColumns({"_k": F.col(f"_row.`{key}`").cast("long"), "_m": F.xxhash64(t)})
+    blank = F.btrim(t, F.lit(SPACES)) == ""
+    kept = (rows.filter(~blank)
+            .join(keep, F.col("_k").eqNullSafe(F.col("_id")) & (F.col("_m") == F.col("_mark")), "left_semi")
+            .groupBy("_k", "_m").agg(F.min("_row").alias("_row")).select("_row"))
+    return unpacked(kept.unionByName(rows.filter(blank).select("_row")))
 
 
 def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

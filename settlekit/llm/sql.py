@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import mixing, phrases
+from . import mixing, neardup, phrases
 from .quality import RULES, STOP_WORDS, SYMBOLS, UPPER, stop_set
 
 SQL: dict[str, str] = {}
@@ -126,3 +126,33 @@ JOIN totals USING (lang) WHERE rank <= {phrases.BEST}"""
 
 
 SQL["op11_collocations"] = _collocations()
+
+
+def _near() -> str:
+    upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+    k = neardup.SHINGLE
+    return rf"""
+WITH RECURSIVE
+ d AS (SELECT row_number() OVER () AS rid, doc_id, {WORDS.format(f"translate(text, '{upper}', '{lower}')")} AS w FROM documents),
+ sh AS (SELECT DISTINCT rid, s FROM (
+          SELECT rid, array_to_string(w[i:i + {k - 1}], ' ') AS s
+          FROM (SELECT rid, w, unnest(range(1, greatest(len(w) - {k - 2}, 2))) AS i FROM d WHERE len(w) > 0))),
+ n AS (SELECT rid, count(*) AS n FROM sh GROUP BY rid),
+ -- documents of one set are one class, so that copies give no pairs
+ named AS (SELECT rid, n, min(rid) OVER (PARTITION BY n, h) AS c
+           FROM (SELECT rid, count(*) AS n, list(s ORDER BY s) AS h FROM sh GROUP BY rid)),
+ pairs AS (SELECT a.rid AS a, b.rid AS b, count(*) AS shared
+           FROM (sh JOIN named USING (rid)) a JOIN (sh JOIN named USING (rid)) b ON a.s = b.s AND a.rid < b.rid
+           WHERE a.rid = a.c AND b.rid = b.c GROUP BY 1, 2),
+ links AS (SELECT a, b FROM pairs JOIN n x ON x.rid = a JOIN n y ON y.rid = b
+           WHERE 100 * shared >= {neardup.PERCENT} * (x.n + y.n - shared)),
+ e AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+ reach(c, t) AS (SELECT DISTINCT c, c FROM named UNION SELECT reach.c, e.b FROM reach JOIN e ON e.a = reach.t),
+ ids AS (SELECT c, min(doc_id) AS least FROM named JOIN d USING (rid) GROUP BY c),
+ roots AS (SELECT reach.c, min(least) AS least FROM reach JOIN ids ON ids.c = reach.t GROUP BY reach.c)
+SELECT d.doc_id, coalesce(named.n, 0)::BIGINT AS n_shingles, coalesce(least, d.doc_id) AS component_id,
+       (d.doc_id IS NOT DISTINCT FROM coalesce(least, d.doc_id)) AS kept
+FROM d LEFT JOIN named USING (rid) LEFT JOIN roots USING (c)"""
+
+
+SQL["op9_near_dedup"] = _near()
