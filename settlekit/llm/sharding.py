@@ -89,8 +89,9 @@ def shard(docs: DataFrame, shards: int = 8, text: str = "text", key: str = "doc_
     rows = land(docs.select(
         F.col(f"`{key}`").alias("doc_id"), (F.octet_length(t) + 1).cast("long").alias("size"),
         F.crc32(t.cast("binary")).alias("text_crc32"), F.unhex(F.md5(t.cast("binary"))).alias("g"),
-        ).withColumn("part", F.pmod(F.xxhash64("doc_id", "size"), F.lit(SPLIT)).cast("int")), "shard-rows")
-    # rows of a group in SPLIT parts, so that a group of any size is numbered in parallel
+        ).withColumn("part", F.pmod(F.monotonically_increasing_id(), F.lit(SPLIT)).cast("int")), "shard-rows")
+    # a group's rows go to SPLIT parts by their place in the scan, so that a group of
+    # any size is numbered in parallel, whatever its ids
     parts = rows.groupBy("g", "part").agg(F.count("*").alias("n"), F.sum("size").alias("size"))
     parts = land(parts, "shard-parts")
     totals = _running(parts.groupBy("g").agg(F.sum("n").alias("n"), F.sum("size").alias("size")))
