@@ -17,6 +17,8 @@ of any length are cut, none is shortened; an empty table gives no row.
 
 from __future__ import annotations
 
+import re
+import struct
 import sys
 import types
 import zlib
@@ -34,12 +36,34 @@ send_with_tasks(__name__)
 CAPACITY, END_ID = 4096, 1
 #: pieces of one length are numbered in SPLIT parts
 SPLIT = 512
-#: entries after which a worker's cache of known words starts anew
-CACHE = 400_000
+#: words, and parts of words, after which the older ones that a worker knows age away; the longest kept
+CACHE, LONGEST = 400_000, 64
 #: white space to str.split, but not to the tokenizer
 SEPARATORS = "\x1c\x1d\x1e\x1f"
 
 
+class Remembered(dict):
+    """What ``make`` gives for a key, remembered: the entries asked for since
+    ``limit`` others came stay, older ones age away; keys above LONGEST letters
+    are made each time."""
+
+    def __init__(self, make, limit: int):
+        super().__init__()
+        self.make, self.limit, self.older = make, limit, {}
+
+    def __missing__(self, key: str):
+        if len(key) > LONGEST:
+            return self.make(key)
+        found = self.older.get(key)
+        if found is None:
+            found = self.make(key)
+        if len(self) >= self.limit:
+            self.older = dict(self)
+            self.clear()
+        self[key] = found
+        return found
+
+
 class WordTokenizer:
     """ids of a tokenizer whose words end at white space.
 
@@ -57,10 +81,10 @@ class WordTokenizer:
         self.special = [t.content for t in self.full.get_added_tokens_decoder().values()]
         self.pieces = regex.compile(
             r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+").findall
+        self.ascii = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[A-Za-z]+|[0-9]|[^\sA-Za-z0-9]+", re.ASCII).findall
         self.space = regex.compile(r"\s+").split
         self.alphabet = _byte_letters()
-        self.chunk: dict[str, bytes] = {}
-        self.piece: dict[str, bytes] = {}
+        self.chunk, self.piece = Remembered(self._ids, CACHE), Remembered(self._piece_ids, CACHE)
         self.control = {b: x for b, x in self.alphabet.items() if b < 128 and chr(b) != x}
         controls = "".join(f"a{chr(b)}b {chr(b)} " for b in (*range(32), 127, 0x85, 0xA0))
         for probe in ("It's a test, n°42!", "Él l'a dit: «ça va»…", "<a|b> 3.14 ###", "漢字 ß İ", controls):
@@ -75,27 +99,26 @@ class WordTokenizer:
             return [c for c in self.space(text) if c]
         return text.split()
 
+    def _piece_ids(self, piece: str) -> bytes:
+        if piece.isascii():
+            raw = piece.translate(self.control)
+        else:
+            raw = piece.encode().decode("latin-1").translate(self.alphabet)
+        ids = [t.id for t in self.model.tokenize(raw)]
+        return struct.pack(f"<{len(ids)}I", *ids)
+
     def _ids(self, chunk: str) -> bytes:
         text = chunk.lower() if chunk.isascii() else self.full.normalizer.normalize_str(chunk)
-        out = []
-        for p in self.pieces(text):
-            ids = self.piece.get(p)
-            if ids is None:
-                raw = p.translate(self.control) if p.isascii() else p.encode().decode("latin-1").translate(self.alphabet)
-                ids = self.piece[p] = np.array([t.id for t in self.model.tokenize(raw)], "<u4").tobytes()
-            out.append(ids)
-        return b"".join(out)
+        if text.isalpha():                       # letters only: one piece
+            return self.piece[text]
+        pieces = self.ascii(text) if text.isascii() else self.pieces(text)
+        return b"".join(map(self.piece.__getitem__, pieces))
 
     def encode(self, text: str) -> bytes:
         """The ids as little-endian unsigned 32-bit numbers."""
         if any(s in text for s in self.special):
             return np.array(self.full.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-        if len(self.chunk) > CACHE or len(self.piece) > CACHE:
-            self.chunk, self.piece = {}, {}
-        known, chunks = self.chunk, self._chunks(text)
-        for c in set(chunks).difference(known):
-            known[c] = self._ids(c)
-        return b"".join(map(known.__getitem__, chunks))
+        return b"".join(map(self.chunk.__getitem__, self._chunks(text)))
 
 
 def _byte_letters() -> dict[int, str]:
@@ -210,7 +233,7 @@ def pack(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int
         _cutter(tokenizer, capacity, end_id),
         "doc_id string, piece int, start long, length long, ids_crc32 long")
     pieces = land(pieces.withColumn("doc_id", F.col("doc_id").cast("long")).withColumn(
-        "part", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(SPLIT)).cast("int")), "pack-pieces")
+        "part", F.pmod(F.monotonically_increasing_id(), F.lit(SPLIT)).cast("int")), "pack-pieces")
     parts = pieces.groupBy("length", "part").agg(F.count("*").alias("n"))
     parts = land(parts, "pack-parts")                               # <= capacity x SPLIT rows
     histogram = dict(parts.groupBy("length").agg(F.sum("n")).collect())   # <= capacity rows
