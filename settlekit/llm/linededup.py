@@ -13,12 +13,15 @@ more.  Every line with a word takes part, however short.
    are indexed, and of these not the ones that occur once in all texts.  Sets
    too small for any other set to be similar (up to 5 words at 0.85) need no
    index: their classes alone decide.
-   Length and positional filters drop pairs before they leave the word's
-   list.
+   Length and positional filters, and 64-bit signatures (the parity of the
+   words by hash), drop pairs before they leave the word's list; none of them
+   drops a similar pair.
 3. First each list links its members to its earliest line only.  A line that
    has a confirmed earlier match needs no other.  Lines without one are then
    compared with all earlier members of their lists, so nothing is missed.
-4. Pairs are verified on their full sets.
+4. Pairs are verified on their full sets.  These are read from the texts anew:
+   a table of 2^27 bits, of fixed size, so it is broadcast, tells which lines are
+   wanted (and a few others, which no pair names), so no text is shuffled.
 
 Edge cases: null and empty texts have no lines; a line without words stays;
 rows with the same doc_id and text count as one document, whose lines stay or
@@ -33,17 +36,20 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window as W
 from pyspark.sql import functions as F
 
 from ..session import remove
-from .common import land, packed, read, scratch, send_with_tasks, unpacked
+from .common import discard, land, landed, packed, read, scratch, send_with_tasks, unpacked
 
 send_with_tasks(__name__)
 
 THRESHOLD, LEAST_WORDS = 0.85, 1
 _BITS, _PART = 24, 1 << 15      # buckets of the word counts, and how many travel in a row
+_ONE, _SIXTY_THREE = np.uint64(1), np.uint64(63)
+_PLACES = 1 << 27               # places in the table of wanted lines
 
 
 def _hashes(lines: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -97,8 +103,8 @@ def _rarity(texts: DataFrame) -> np.ndarray:
 
 
 def _indexer(rarity, threshold: float, least: int):
-    """(doc_id, mark, line, c, n, prefix, at) of every line; the words of the
-    prefix and their positions once per class and task."""
+    """(doc_id, mark, line, c, n, prefix, at, sig) of every line; the words of the
+    prefix, their positions and the set's signature once per class and task."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         codes, seen = rarity.value, set()
         for pdf in batches:
@@ -119,17 +125,20 @@ def _indexer(rarity, threshold: float, least: int):
                     n = b - a
                     if n < least:
                         continue
-                    c = xxhash.xxh3_64_intdigest(h[a:b].tobytes()) - (1 << 63)
-                    prefix = at = None
+                    c = _class(h[a:b])
+                    prefix = at = sig = None
                     if c not in seen:
                         seen.add(c)
                         if n >= threshold * (n + 1) - 1e-9:      # else only equal sets are similar
                             at = np.flatnonzero(code[a:a + n - _needed(n, threshold) + 1] > 1).astype(np.int32)
                             prefix = h[a + at].view(np.int64)
-                    rows.append((key, mark, int(line[a]), c, n, prefix, at))
+                            sig = int(np.bitwise_xor.reduce(_ONE << (h[a:b] & _SIXTY_THREE)).view(np.int64))
+                    rows.append((key, mark, int(line[a]), c, n, prefix, at, sig))
                 if len(seen) > 1_000_000:          # only saves repeated rows
                     seen.clear()
-            yield pd.DataFrame(rows, columns=["doc_id", "mark", "line", "c", "n", "prefix", "at"])
+            out = pd.DataFrame([r[:-1] for r in rows], columns=["doc_id", "mark", "line", "c", "n", "prefix", "at"])
+            out["sig"] = pd.array([r[-1] for r in rows], dtype="Int64")      # as floats, numbers would lose bits
+            yield out
     return run
 
 
@@ -138,37 +147,65 @@ def _needed(n: int, threshold: float) -> int:
     return int(np.ceil(threshold * n - 1e-9))
 
 
-def _sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """The word sets of the wanted lines.  Repeated rows meet in a task, which
-    gives each class once."""
-    seen = set()
-    for pdf in batches:
-        rows = []
-        for wanted, text in zip(pdf["wanted"], pdf["t"]):
-            lines = _lines(text)
-            wanted = [w for w in wanted if w["c"] not in seen]
-            seen.update(w["c"] for w in wanted)
-            for w in wanted:
-                h, _ = _hashes([lines[w["line"]]])
-                rows.append((w["c"], np.unique(h).view(np.int64)))
-        yield pd.DataFrame(rows, columns=["c", "s"])
-
-
-def _possible(threshold: float, n_a: Column, p_a: Column, n_b: Column, p_b: Column) -> Column:
+def _class(h: np.ndarray) -> int:
+    """The name of a set of word hashes."""
+    return xxhash.xxh3_64_intdigest(np.sort(h).tobytes()) - (1 << 63)
+
+
+def _place(doc_id, mark, line, mod):
+    """A line's place in the table of wanted lines (numbers or columns)."""
+    return mod(mod(doc_id, _PLACES) * 31 + mod(mark, _PLACES) + line * 40503, _PLACES)
+
+
+def _sets(bits):
+    """The word sets of the lines whose places are wanted, and of the few that
+    share a place with one."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = bits.value
+        for batch in batches:
+            c, s = [], []
+            for key, mark, text in zip(*(x.to_pylist() for x in batch.columns)):
+                lines = _lines(text)
+                at = _place(key or 0, mark, np.arange(len(lines)), lambda a, b: a % b)
+                for i in np.flatnonzero(table[at >> 3] >> (at & 7).astype(np.uint8) & 1).tolist():
+                    h = np.unique(_hashes([lines[i]])[0])
+                    if len(h):
+                        c.append(_class(h))
+                        s.append(h.view(np.int64))
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()), pa.array(s, pa.list_(pa.int64()))], ["c", "s"])
+    return run
+
+
+def _wanted(owners: DataFrame) -> np.ndarray:
+    """A bit for each place of the owners' first lines: 16 MB, whatever their number."""
+    first = [F.coalesce(F.col("first.doc_id"), F.lit(0)), F.col("first.mark"), F.col("first.line").cast("long")]
+    place = _place(*first, lambda a, b: F.pmod(a, F.lit(b)))
+    parts = owners.select(place.alias("p")).groupBy(F.expr("p div 32768").alias("part")).agg(
+        F.bitmap_construct_agg(F.col("p") % 32768).alias("bits")).collect()
+    table = np.zeros((_PLACES // 32768, 4096), np.uint8)
+    for row in parts:
+        table[row.part] = np.frombuffer(row.bits, np.uint8)
+    return table.reshape(-1)
+
+
+def _possible(threshold: float, n_a: Column, p_a: Column, s_a: Column, n_b: Column, p_b: Column, s_b: Column) -> Column:
     """Length and positional filters: the overlap that the similarity needs can
-    still be reached when the words at p_a and p_b are the first in common."""
+    still be reached when the words at p_a and p_b are the first in common.
+    And the signatures: each word that only one set has turns one bit at most,
+    so they differ in no more bits than the sets may differ in words."""
     need = F.ceil(F.lit(threshold / (1 + threshold)) * (n_a + n_b) - 1e-9)
     rest = F.least(n_a - p_a, n_b - p_b)
-    return (F.least(n_a, n_b) >= threshold * F.greatest(n_a, n_b) - 1e-9) & (rest >= need)
+    apart = F.bit_count(s_a.bitwiseXOR(s_b)) <= F.lit((1 - threshold) / (1 + threshold)) * (n_a + n_b) + 1e-9
+    return (F.least(n_a, n_b) >= threshold * F.greatest(n_a, n_b) - 1e-9) & (rest >= need) & apart
 
 
 def _verified(pairs: DataFrame, owners: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
     """pairs(a, b) that are similar, as (c, earlier): the later class and the earlier."""
     ends = pairs.select(F.col("a").alias("c")).unionByName(pairs.select(F.col("b").alias("c"))).distinct()
-    wanted = (owners.join(ends, "c").groupBy(F.col("first.doc_id").alias("_id"), F.col("first.mark").alias("_mark"))
-              .agg(F.collect_list(F.struct(F.col("first.line").alias("line"), "c")).alias("wanted")))
-    sets = land(texts.join(wanted, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("mark") == F.col("_mark")))
-                .select("wanted", "t").mapInPandas(_sets, "c long, s array<long>"), "line-sets")
+    owners = landed(owners.join(ends, "c").select("c", "first"), "line-ends")
+    bits = pairs.sparkSession.sparkContext.broadcast(_wanted(owners))
+    read_ = landed(texts.select("doc_id", "mark", "t").mapInArrow(_sets(bits), "c long, s array<long>"), "line-sets")
+    sets = read_
     sets = sets.join(owners, "c")
     side = lambda x: sets.select(F.col("c").alias(x), F.col("s").alias(f"s_{x}"),
                                  F.col("first").alias(f"f_{x}"))
@@ -176,8 +213,10 @@ def _verified(pairs: DataFrame, owners: DataFrame, texts: DataFrame, threshold:
     ok = (pairs.join(side("a"), "a").join(side("b"), "b")
           .filter(both >= threshold * (F.size("s_a") + F.size("s_b") - both) - 1e-9))
     later = F.col("f_a") > F.col("f_b")
-    return ok.select(F.when(later, F.col("a")).otherwise(F.col("b")).alias("c"),
-                     F.when(later, F.col("f_b")).otherwise(F.col("f_a")).alias("earlier"))
+    out = landed(ok.select(F.when(later, F.col("a")).otherwise(F.col("b")).alias("c"),
+                           F.when(later, F.col("f_b")).otherwise(F.col("f_a")).alias("earlier")), "line-found")
+    discard(read_, owners)
+    return out
 
 
 def line_matches(docs: DataFrame, threshold: float = THRESHOLD, least: int = LEAST_WORDS,
@@ -190,41 +229,41 @@ def line_matches(docs: DataFrame, threshold: float = THRESHOLD, least: int = LEA
     spark, wide = docs.sparkSession, scratch(docs.sparkSession, "lines-wide")
     texts.withColumn("doc_id", F.col("doc_id").cast("string")).mapInPandas(
         _indexer(rarity, threshold, least),
-        "doc_id string, mark long, line int, c long, n int, prefix array<long>, at array<int>").withColumn(
+        "doc_id string, mark long, line int, c long, n int, prefix array<long>, at array<int>, sig long").withColumn(
         "doc_id", F.col("doc_id").cast("long")).write.parquet(wide)
     indexed = spark.read.parquet(wide)
     lines = land(indexed.select("doc_id", "mark", "line", "c"), "lines")
     first = F.struct("doc_id", "mark", "line")
     owners = land(lines.groupBy("c").agg(F.min(first).alias("first"), F.count("*").alias("copies")), "line-owners")
-    # the index: words that two classes have in their prefixes, with the earliest line of the list
+    # the index: words that two classes have in their prefixes, with the list's earliest line
     posts = indexed.filter("prefix is not null").select(
-        "c", "n", "doc_id", "mark", "line", F.explode(F.arrays_zip("at", "prefix")).alias("x")).select(
-        "c", "n", "doc_id", "mark", "line", F.col("x.at").alias("pos"), F.col("x.prefix").alias("word"))
+        "c", "n", "doc_id", "sig", F.explode(F.arrays_zip("at", "prefix")).alias("x")).select(
+        "c", "n", "doc_id", "sig", F.col("x.at").alias("pos"), F.col("x.prefix").alias("word"))
     of_word = W.partitionBy("word")
-    head = F.min(F.struct("doc_id", "mark", "line", "c", "n", "pos")).over(of_word)
+    head = F.min(F.struct("doc_id", "c", "n", "pos", "sig")).over(of_word)
     posts = posts.withColumns({"head": head, "one": F.min("c").over(of_word) == F.max("c").over(of_word),
                                "many": F.count("*").over(of_word) > 2})
-    posts = land(posts.filter(~F.col("one")).select(
-        "word", "c", "n", "pos", "many", F.col("head.c").alias("hc"), F.col("head.n").alias("hn"),
-        F.col("head.pos").alias("hp")).distinct(), "line-index")
+    near = _possible(threshold, *[F.col(x) for x in ("n", "pos", "sig", "head.n", "head.pos", "head.sig")])
+    index = landed(posts.filter(~F.col("one")).select(
+        "word", "c", "n", "pos", "sig", "many", F.col("head.c").alias("hc"), near.alias("near")).distinct(), "line-index")
     remove(spark, wide)
+    posts = index
     unordered = lambda df: df.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    star = land(unordered(posts.filter((F.col("c") != F.col("hc")) & _possible(
-        threshold, F.col("n"), F.col("pos"), F.col("hn"), F.col("hp"))).select(
+    star = land(unordered(posts.filter((F.col("c") != F.col("hc")) & F.col("near")).select(
         F.col("c").alias("a"), F.col("hc").alias("b"))), "line-star")
-    found = land(_verified(star, owners, texts, threshold), "line-found")
+    found = _verified(star, owners, texts, threshold)
     # lines without a match so far, against all earlier members of their lists
     # (but the earliest, which is done; a list of two has no others)
     posts = posts.filter(F.col("many") & (F.col("c") != F.col("hc")))
-    open_ = posts.join(found.select("c").distinct(), "c", "left_anti").join(
-        owners.select("c", F.col("first").alias("f_b")), "c").select(
-        "word", F.col("c").alias("b"), F.col("n").alias("n_b"), F.col("pos").alias("p_b"), "f_b")
-    others = posts.join(owners.select("c", F.col("first").alias("f_a")), "c").select(
-        "word", F.col("c").alias("a"), F.col("n").alias("n_a"), F.col("pos").alias("p_a"), "f_a")
-    rest = unordered(open_.join(others, "word").filter(
-        (F.col("f_a") < F.col("f_b")) & _possible(threshold, F.col("n_a"), F.col("p_a"), F.col("n_b"), F.col("p_b"))
-        ).select("a", "b")).join(star, ["a", "b"], "left_anti")
+    open_ = posts.join(found.select("c").distinct(), "c", "left_anti").select(
+        "word", F.col("c").alias("b"), F.col("n").alias("n_b"), F.col("pos").alias("p_b"), F.col("sig").alias("s_b"))
+    others = posts.select(
+        "word", F.col("c").alias("a"), F.col("n").alias("n_a"), F.col("pos").alias("p_a"), F.col("sig").alias("s_a"))
+    rest = unordered(open_.join(others, "word").filter((F.col("a") != F.col("b")) & _possible(
+        threshold, *[F.col(x) for x in ("n_a", "p_a", "s_a", "n_b", "p_b", "s_b")])).select("a", "b"))
+    rest = rest.join(star, ["a", "b"], "left_anti")
     rest = land(rest, "line-rest")
+    discard(index)
     if not rest.isEmpty():
         found = found.unionByName(_verified(rest, owners, texts, threshold))
     matched = found.groupBy("c").agg(F.min("earlier").alias("earlier"))
