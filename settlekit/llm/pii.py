@@ -3,10 +3,13 @@
 1. Base entities (e-mail, IP address, card, phone number) are found by
    patterns and checks; they are the seeds.
 2. Every mention (a base entity, or another token that looks like an
-   identifier: seven digits or more, or an ``@``; or a run of digit groups
+   identifier: seven digits or more, or an ``@``; a run of digit groups
    joined by single spaces, dots, hyphens or brackets, of 7 to 19 digits
-   together) has lexical patterns: its
-   two words to the left, and the words next to it on both sides.
+   together; or a long mix of letters and digits) has lexical patterns: its
+   two words to the left, the words next to it on both sides, and the word with
+   a label's punctuation before it (``token = "``).  Words of more than CONTEXT
+   letters are no part of a pattern.  A long mix of letters and digits right
+   after a word for a credential is a seed of the kind ``secret``.
 3. Patterns and mentions form a graph that is scored in ROUNDS rounds: a
    pattern's score for a kind is the share of its mentions that are known to
    be of that kind (with one mention added against it); an identifier's
@@ -32,7 +35,9 @@ from pyspark.sql import functions as F
 from .common import land, read
 
 KINDS = ("email", "ip", "card", "phone")
-ROUNDS, LEAST_SEEDS, CONFIDENT = 3, 5, 0.8
+#: what the method finds besides: credentials, by their context only
+SECRET = "secret"
+ROUNDS, LEAST_SEEDS, CONFIDENT, CONTEXT = 3, 5, 0.8, 100
 
 _LOCAL = "[A-Za-z0-9._%+-]"
 #: a start inside a run cannot match where the run's own start did not
@@ -52,6 +57,11 @@ _RUN = (rf"(?<![^ \t-\r])[^ \t-\r0-9A-Za-z@]*+{_GROUP}(?:\)?(?: - |[ .-])?\(?{_G
         r"[^ \t-\r0-9A-Za-z@]*+(?![^ \t-\r])")
 #: what stands before a run's first group, but for a bracket that closes right after it
 _LEAD = r"^(?:(?!\([0-9]+\))[^0-9+])*"
+#: a run of letters, digits and the signs of encodings, with a digit in it
+_MIX = r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]*+[0-9])[A-Za-z0-9+/_-]{16,}+={0,2}"
+#: words for a credential, and what may stand between them and it
+_LABEL = (r"(?:^|[^a-z])(?:token|secret|passw(?:or)?d|passphrase|credentials?|bearer|(?:api|access|auth|private|secret)[ _-]?key)"
+          r"[\"']?\s*(?:[:=]|=>|\bis\b)?\s*[\"']?$")
 
 
 def _luhn(digits: Column) -> Column:
@@ -136,39 +146,63 @@ def _with_mentions(df: DataFrame) -> DataFrame:
     df = df.withColumn("_tokens", F.concat("_runs", F.filter(
         F.coalesce("_tokens", F.array().cast("array<struct<start:int,end:int,kind:string>>")), lambda m: ~F.exists(
             "_runs", lambda r: (r["start"] < m["end"]) & (m["start"] < r["end"]))))).drop("_runs")
+    # long mixes win over the tokens and runs that they touch
+    df = df.withColumn("_mixes", F.when(F.col("t").rlike(_MIX), _found(lone, _MIX)))
+    df = df.withColumn("_mixes", F.coalesce(F.transform(F.filter("_mixes", lambda m: _mixed(m["x"])), lambda m: F.struct(
+        m["start"].alias("start"), m["end"].alias("end"), F.lit(None).cast("string").alias("kind"))),
+        F.array().cast("array<struct<start:int,end:int,kind:string>>")))
+    df = df.withColumn("_tokens", F.concat("_mixes", F.filter("_tokens", lambda m: ~F.exists(
+        "_mixes", lambda r: (r["start"] < m["end"]) & (m["start"] < r["end"]))))).drop("_mixes")
     known = F.transform("spans", lambda s: F.struct(s["start"], s["end"], s["kind"]))
+    reach = 2 * CONTEXT + 50
+    # a word that the cut of a context has hit is none
+    cut_left = lambda m, x: F.when(m["start"] > reach, F.regexp_replace(x, r"^[^\s\p{Punct}]+", "")).otherwise(x)
+    cut_right = lambda x: F.when(F.length(x) == reach, F.regexp_replace(x, r"[^\s\p{Punct}]+$", "")).otherwise(x)
     around = lambda m: F.struct(
         m["start"].alias("start"), m["end"].alias("end"), m["kind"].alias("kind"),
         F.lower(F.substring(F.col("t"), m["start"] + 1, m["end"] - m["start"])).alias("x"),
-        F.lower(F.substring(F.col("t"), F.greatest(m["start"] - 63, F.lit(1)),
-                            F.least(m["start"], F.lit(64)))).alias("left"),
-        F.lower(F.substring(F.col("t"), m["end"] + 1, F.lit(48))).alias("right"))
-    return df.withColumn("mentions", F.transform(
-        F.concat(known, "_tokens"),
-        around)).drop("_tokens")
+        F.lower(cut_left(m, F.substring(F.col("t"), F.greatest(m["start"] - reach + 1, F.lit(1)),
+                                        F.least(m["start"], F.lit(reach))))).alias("left"),
+        F.lower(cut_right(F.substring(F.col("t"), m["end"] + 1, F.lit(reach)))).alias("right"))
+    secret = lambda m: m["kind"].isNull() & _mixed(m["x"]) & m["left"].rlike(_LABEL)
+    mentions = F.transform(F.transform(F.concat(known, "_tokens"), around), lambda m: m.withField(
+        "kind", F.when(secret(m), F.lit(SECRET)).otherwise(m["kind"])))
+    return df.withColumn("mentions", mentions).drop("_tokens")
+
+
+def _mixed(x: Column) -> Column:
+    """At least 16 letters, digits and signs of encodings, four letters and four digits among them."""
+    return x.rlike(r"^[A-Za-z0-9+/_-]{16,}+=*$") & (F.length(F.regexp_replace(x, "[^0-9]", "")) >= 4) & (
+        F.length(F.regexp_replace(x, "[^A-Za-z]", "")) >= 4)
 
 
 def discover(mentions: DataFrame, rounds: int = ROUNDS, seeds: int = LEAST_SEEDS,
              confident: float = CONFIDENT) -> DataFrame:
     """mentions(doc_id, mark, start, end, kind, x, left, right) -> the mentions
     without a kind that the graph gives one: (doc_id, mark, start, end, kind)."""
-    before = F.regexp_extract_all("left", F.lit(r"[^\s\p{Punct}]+"), F.lit(0))
-    after = F.regexp_extract("right", r"^[\s\p{Punct}]*([^\s\p{Punct}]+)", 1)
+    word = rf"(?<![^\s\p{{Punct}}])[^\s\p{{Punct}}]{{1,{CONTEXT}}}(?![^\s\p{{Punct}}])"
+    before = F.regexp_extract_all("left", F.lit(word), F.lit(0))
+    after = F.regexp_extract("right", rf"^[\s\p{{Punct}}]*([^\s\p{{Punct}}]{{1,{CONTEXT}}})(?![^\s\p{{Punct}}])", 1)
+    label = F.regexp_extract("left", rf"(?<![^\s\p{{Punct}}])[^\s\p{{Punct}}]{{1,{CONTEXT}}}[\s\p{{Punct}}]*[:=#][\s\p{{Punct}}]*$", 0)
     df = mentions.withColumn("w", before).withColumn("nxt", after)
     two = F.when(F.size("w") >= 2, F.concat(F.lit("L:"), F.get("w", F.size("w") - 2), F.lit(" "),
                                             F.get("w", F.size("w") - 1)))
     both = F.when((F.size("w") >= 1) & (F.col("nxt") != ""), F.concat(
         F.lit("B:"), F.get("w", F.size("w") - 1), F.lit(" _ "), F.col("nxt")))
+    named = F.when(label != "", F.concat(F.lit("O:"), F.regexp_replace(label, r"\s+", " ")))
     # the graph's edges, each with how often it occurs
-    edges = land(df.select("x", "kind", F.explode(F.filter(F.array(two, both), lambda p: p.isNotNull())).alias("p"))
+    edges = land(df.select("x", "kind", F.explode(F.filter(F.array(two, both, named), lambda p: p.isNotNull())).alias("p"))
                  .groupBy("p", "x", "kind").agg(F.count("*").alias("n")), "pii-edges")
     size = edges.groupBy("p").agg(F.sum("n").alias("all"))
-    scores = None                                  # of identifiers that are not seeds: x, kind, score
+    # identifiers that are seeds in one place and not in another: seeds everywhere
+    loose = edges.filter("kind is null").select("x").distinct()
+    sure = land(edges.filter("kind is not null").join(loose, "x").groupBy("x").agg(F.max("kind").alias("kind")).withColumn(
+        "score", F.lit(1.0)), "pii-seeds")
+    scores = sure                                  # of mentions that are not seeds: x, kind, score
     for _ in range(rounds):
         votes = edges.filter("kind is not null").select("p", "x", "kind", F.col("n").cast("double").alias("v"))
-        if scores is not None:
-            votes = votes.unionByName(edges.filter("kind is null").drop("kind").join(scores, "x").select(
-                "p", "x", "kind", (F.col("n") * F.col("score")).alias("v")))
+        votes = votes.unionByName(edges.filter("kind is null").drop("kind").join(scores, "x").select(
+            "p", "x", "kind", (F.col("n") * F.col("score")).alias("v")))
         good = (votes.groupBy("p", "kind").agg(F.sum("v").alias("v"), F.count_distinct("x").alias("xs"))
                 .filter(F.col("xs") >= seeds).join(size, "p")
                 .withColumn("s", F.col("v") / (F.col("all") + 1)).filter(F.col("s") >= confident))
@@ -176,7 +210,7 @@ def discover(mentions: DataFrame, rounds: int = ROUNDS, seeds: int = LEAST_SEEDS
         scores = scores.groupBy("x", "kind").agg(
             (1 - F.exp(F.sum(F.log(1.0000001 - F.col("s"))))).alias("score"))
         # one kind per identifier: that of the highest score
-        scores = land(scores.groupBy("x").agg(F.max(F.struct("score", "kind")).alias("b")).select(
+        scores = land(scores.join(sure, "x", "left_anti").unionByName(sure).groupBy("x").agg(F.max(F.struct("score", "kind")).alias("b")).select(
             "x", "b.kind", "b.score"), "pii-scores")
     return (mentions.filter("kind is null").drop("kind").join(scores.filter(F.col("score") >= confident), "x")
             .select("doc_id", "mark", "start", "end", "kind"))
@@ -189,20 +223,21 @@ def _joined(spans: Column) -> Column:
 
 def personal_data(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     """One row per document: doc_id, n_<kind>, base (the base spans) and spans
-    (all): arrays of (start, k, end, kind)."""
+    (all, secrets among them): arrays of (start, k, end, kind); found: if any."""
     base = land(_with_mentions(base_spans(docs, text, key)).drop("t"), "pii-base")
     mentions = base.select("doc_id", "mark", F.explode("mentions").alias("m")).select("doc_id", "mark", "m.*").distinct()
-    order = F.array(*[F.lit(k) for k in KINDS])
-    more = discover(mentions).groupBy("doc_id", "mark").agg(F.collect_set(F.struct(
+    order = F.array(*[F.lit(k) for k in (*KINDS, SECRET)])
+    seeds = mentions.filter(F.col("kind") == SECRET).select("doc_id", "mark", "start", "end", "kind")
+    more = discover(mentions).unionByName(seeds).groupBy("doc_id", "mark").agg(F.collect_set(F.struct(
         "start", (F.array_position(order, F.col("kind")) - 1).cast("int").alias("k"), "end", "kind")).alias("more"))
     more = more.withColumnsRenamed({"doc_id": "_id", "mark": "_mark"})
     return base.join(more, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("mark") == F.col("_mark")), "left").select(
         "doc_id", *[f"n_{x}" for x in KINDS], F.col("spans").alias("base"),
         F.when(F.col("more").isNull(), F.col("spans")).otherwise(
-            F.array_sort(F.concat("spans", "more"))).alias("spans"))
+            F.array_sort(F.concat("spans", "more"))).alias("spans")).withColumn("found", F.size("spans") > 0)
 
 
 def op6_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return personal_data(read(spark, sf_dir, "documents")).select(
         "doc_id", *[f"n_{x}" for x in KINDS], F.sha2(_joined(F.col("base")).cast("binary"), 256).alias("base_sha256"),
-        _joined(F.col("spans")).alias("spans"))
+        _joined(F.col("spans")).alias("spans"), "found")
