@@ -64,14 +64,14 @@ def context_for(spark: SparkSession, sf_dir: str, cfg: ReconConfig | None = None
 
 
 def shared_context(spark: SparkSession, sf_dir: str, cfg: ReconConfig | None = None) -> ReconContext:
-    """One context per (application, input, config) whose reconciled rows are
-    written on first use, so the feeds are joined once for all queries."""
+    """One context per (application, input, config).  The reconciled rows are
+    written by the first query that returns rows (``run``); summaries need the
+    written aggregates only, whose join reads the columns they count."""
     cfg = cfg or DERIVED_FEED_CONFIG
     key = (*_stamp(spark, sf_dir), cfg)
     ctx = _SHARED.get(key)
     if ctx is None:
-        ctx = context_for(spark, sf_dir, cfg).materialize()
-        _SHARED[key] = ctx
+        ctx = _SHARED[key] = context_for(spark, sf_dir, cfg)
     return ctx
 
 
@@ -170,6 +170,9 @@ def replaced_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store.replace([wrong], feeds).context().daily
 
 
+#: report queries that return reconciled rows
+ROW_QUERIES = ("three_way_recon", "break_flags", "break_aging", "reconciliation_report", "settlement_breaks")
+
 #: queries on feeds of other make than the shared ones
 OTHER_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "feed_losses": dirty_feed_losses,
@@ -188,6 +191,8 @@ def run(name: str, spark: SparkSession, sf_dir: str, shared: bool = True) -> Dat
     if name in OTHER_QUERIES:
         return OTHER_QUERIES[name](spark, sf_dir)
     ctx = shared_context(spark, sf_dir) if shared else context_for(spark, sf_dir)
+    if shared and name in ROW_QUERIES:
+        ctx.materialize()
     return QUERIES[name](ctx)
 
 

@@ -6,7 +6,10 @@ aging bucket, label, weekday, status, or over everything).  Instead of one
 scan and one shuffle per summary, ``row_aggregates`` computes them with one
 ``GROUPING SETS`` aggregation: Spark expands each row once per grouping set
 inside the same whole-stage-codegen pipeline and aggregates partially on the
-map side, so a hot key is a few rows per task.  Its result is written, and
+map side, so a hot key is a few rows per task.  Each row is expanded for three
+sets only, (counterparty), (day) and (trade type, label, status); the slices
+of the last three and of everything are added up from the third, whose groups
+are few (counts and decimal sums add up exactly).  Its result is written, and
 ``break_cube`` works on the written rows only: aging bucket and weekday are
 functions of the trade date, so their slices are re-aggregated from the day
 slice (exact: money stays decimal until the end).
@@ -37,6 +40,8 @@ DIMENSIONS = ("counterparty", "trade_type", "day", "aging", "label", "weekday",
 # so their slices are re-aggregated from the (bounded) day slice instead of
 # expanding every row two more times
 ROW_DIMENSIONS = ("counterparty", "trade_type", "day", "label", "status")
+# the sets every row is expanded for, and the dimensions added up from the last
+ROW_SETS = (("counterparty",), ("day",), ("trade_type", "label", "status"))
 ALL = "all"
 
 _COUNTS = ("rows", "keyed_rows", "breaks", "keyed_breaks",
@@ -62,9 +67,10 @@ def row_aggregates(recon: DataFrame, cfg: ReconConfig, also: str | None = None)
         "trade_id", "is_break", "break_value",
         *[f"flag_{name}" for name, _ in L.CHECKS], *[f"has_{leg}" for leg in schemas.LEGS.values()],
         high.alias("_high"), aged.alias("_aged"), failed.alias("_failed"),
+        # amounts as decimals before a row is expanded; other rows' value is 0
+        F.when(is_break, money(F.col("break_value"))).alias("_value"),
     )
-    sets = [[d, *kept] for d in ROW_DIMENSIONS] + [kept]
-    return rows.groupingSets(sets, *ROW_DIMENSIONS, *kept).agg(
+    parts = rows.groupingSets([[*s, *kept] for s in ROW_SETS], *ROW_DIMENSIONS, *kept).agg(
         F.count(F.lit(1)).alias("rows"),
         F.count("trade_id").alias("keyed_rows"),
         count_true(is_break).alias("breaks"),
@@ -74,11 +80,21 @@ def row_aggregates(recon: DataFrame, cfg: ReconConfig, also: str | None = None)
         count_true(F.col("_aged")).alias("aged_count"),
         count_true(F.col("_failed")).alias("failed_count"),
         *[count_true(F.col(f"has_{leg}")).alias(f"{feed}_rows") for feed, leg in schemas.LEGS.items()],
-        F.sum(money(F.col("break_value"))).alias("value_sum"),
-        F.sum(F.when(F.col("_high"), money(F.col("break_value")))).alias("high_value_sum"),
-        F.sum(F.when(F.col("_aged"), money(F.col("break_value")))).alias("aged_value_sum"),
+        F.sum("_value").alias("value_sum"),
+        F.sum(F.when(F.col("_high"), F.col("_value"))).alias("high_value_sum"),
+        F.sum(F.when(F.col("_aged"), F.col("_value"))).alias("aged_value_sum"),
         *[F.grouping(d).alias(f"g_{d}") for d in ROW_DIMENSIONS],
     )
+    # per group the dimensions it counts for: its own, or each of the last set and none
+    own = F.when(F.col("g_counterparty") == 0, F.array(F.lit("counterparty"))).when(
+        F.col("g_day") == 0, F.array(F.lit("day"))).otherwise(F.array(*[F.lit(d) for d in (*ROW_SETS[-1], ALL)]))
+    values = [*_COUNTS, *_SUMS]
+    spread = parts.select(*ROW_DIMENSIONS, *kept, *values, F.explode(own).alias("_dim"))
+    spread = spread.select(*[F.when(F.col("_dim") == d, F.col(d)).alias(d) for d in ROW_DIMENSIONS], *kept, *values,
+                           *[(F.col("_dim") != d).cast("byte").alias(f"g_{d}") for d in ROW_DIMENSIONS])
+    grouped = [f"g_{d}" for d in ROW_DIMENSIONS]
+    return spread.groupBy(*ROW_DIMENSIONS, *kept, *grouped).agg(*[F.sum(v).alias(v) for v in values]).select(
+        *ROW_DIMENSIONS, *kept, *values, *grouped)
 
 
 def measures(also: str) -> T.StructType:
