@@ -97,7 +97,8 @@ def _numbered(rows: DataFrame, cut: DataFrame, n_frames: int) -> DataFrame:
     group = W.partitionBy("slice", *_GROUP)
     rows = rows.repartition("slice", "trade_id").withColumns({
         "k": F.row_number().over(W.partitionBy("slice", *_GROUP, "feed").orderBy("mid")).cast("long"),
-        "nth": F.row_number().over(group.orderBy("mid")),
+        # within a group the positions follow the feeds, so this order shares the sort of k
+        "nth": F.row_number().over(group.orderBy("feed", "mid")),
         **{f"c{n}": F.count(F.when(F.col("feed") == n, 1)).over(group) for n in feeds}})
     known = [c for c in rows.columns if not c.startswith("c") and c not in ("k", "nth")]
     rows = rows.alias("r").join(F.broadcast(cut.alias("c")), _same("r", "c", ["slice", *_GROUP]), "left")
