@@ -18,7 +18,9 @@ more.  Every line with a word takes part, however short.
    drops a similar pair.
 3. First each list links its members to its earliest line only.  A line that
    has a confirmed earlier match needs no other.  Lines without one are then
-   compared with all earlier members of their lists, so nothing is missed.
+   compared with all earlier members of their lists, so nothing is missed.  A
+   table of 2^24 bits tells which may have one, so that only their posts are
+   shuffled to be looked up.
 4. Pairs are verified on their full sets.  These are read from the texts anew:
    a table of 2^27 bits, of fixed size, so it is broadcast, tells which lines are
    wanted (and a few others, which no pair names), so no text is shuffled.
@@ -27,12 +29,14 @@ Edge cases: null and empty texts have no lines; a line without words stays;
 rows with the same doc_id and text count as one document, whose lines stay or
 go in all copies; rows of one doc_id with other texts are ordered by a hash
 of the text; null doc_ids come first; an empty table gives no row.  Classes
-are named by 64 bits of a digest.
+are named by the sum, to 64 bits, of their words' hashes.
 """
 
 from __future__ import annotations
 
+from collections import Counter, defaultdict
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -48,20 +52,17 @@ send_with_tasks(__name__)
 
 THRESHOLD, LEAST_WORDS = 0.85, 1
 _BITS, _PART = 24, 1 << 15      # buckets of the word counts, and how many travel in a row
+_WORDS, _CHUNK = 200_000, 2_000_000      # different words, and bytes of text, that a task handles at once
 _ONE, _SIXTY_THREE = np.uint64(1), np.uint64(63)
 _PLACES = 1 << 27               # places in the table of wanted lines
 
 
-def _hashes(lines: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Word hashes of all lines, and the line that each belongs to."""
-    words = [x.split() for x in lines]
-    sizes = [len(x) for x in words]
-    h = np.fromiter((xxhash.xxh3_64_intdigest(w) for x in words for w in x), np.uint64, sum(sizes))
-    return h, np.repeat(np.arange(len(lines)), sizes)
+def _hashes(words) -> np.ndarray:
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
 
 
-def _lines(text: str) -> list[bytes]:
-    return text.encode("utf-8", "surrogatepass").lower().split(b"\n")
+def _bytes(text: str) -> bytes:
+    return text.encode("utf-8", "surrogatepass").lower()
 
 
 def _buckets(h: np.ndarray) -> np.ndarray:
@@ -69,11 +70,17 @@ def _buckets(h: np.ndarray) -> np.ndarray:
 
 
 def _count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    total = np.zeros(1 << _BITS, np.uint32)
+    total, counts = np.zeros(1 << _BITS, np.uint32), Counter()
+
+    def add():
+        np.add.at(total, _buckets(_hashes(counts)), np.fromiter(counts.values(), np.uint32, len(counts)))
+        counts.clear()
     for pdf in batches:
         for text in pdf["t"]:
-            h, _ = _hashes(_lines(text))
-            np.add.at(total, _buckets(h), 1)
+            counts.update(_bytes(text).split())
+            if len(counts) > _WORDS:
+                add()
+    add()
     used = np.flatnonzero(total)
     part, cuts = np.unique(used // _PART, return_index=True)
     ends = np.append(cuts[1:], len(used))
@@ -102,54 +109,75 @@ def _rarity(texts: DataFrame) -> np.ndarray:
     return code.reshape(-1)
 
 
+def _chunks(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[tuple]:
+    """Ids, marks and texts, texts of about size bytes at a time."""
+    keys, marks, texts, n = [], [], [], 0
+    for batch in batches:
+        for key, mark, text in zip(*(x.to_pylist() for x in batch.columns)):
+            keys.append(key)
+            marks.append(mark)
+            texts.append(_bytes(text))
+            n += len(texts[-1])
+            if n >= size:
+                yield keys, marks, texts
+                keys, marks, texts, n = [], [], [], 0
+    if texts:
+        yield keys, marks, texts
+
+
 def _indexer(rarity, threshold: float, least: int):
     """(doc_id, mark, line, c, n, prefix, at, sig) of every line; the words of the
     prefix, their positions and the set's signature once per class and task."""
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codes, seen = rarity.value, set()
-        for pdf in batches:
-            rows = []
-            for key, mark, text in zip(pdf["doc_id"], pdf["mark"], pdf["t"]):
-                h, line = _hashes(_lines(text))
-                if not len(h):
-                    continue
-                code = codes[_buckets(h)]
-                order = np.lexsort((h, code, line))
-                h, line, code = h[order], line[order], code[order]
-                new = np.ones(len(h), bool)
-                new[1:] = (h[1:] != h[:-1]) | (line[1:] != line[:-1])
-                h, line, code = h[new], line[new], code[new]
-                starts = np.flatnonzero(np.append(True, line[1:] != line[:-1]))
-                ends = np.append(starts[1:], len(h))
-                for a, b in zip(starts.tolist(), ends.tolist()):
-                    n = b - a
-                    if n < least:
-                        continue
-                    c = _class(h[a:b])
-                    prefix = at = sig = None
-                    if c not in seen:
-                        seen.add(c)
-                        if n >= threshold * (n + 1) - 1e-9:      # else only equal sets are similar
-                            at = np.flatnonzero(code[a:a + n - _needed(n, threshold) + 1] > 1).astype(np.int32)
-                            prefix = h[a + at].view(np.int64)
-                            sig = int(np.bitwise_xor.reduce(_ONE << (h[a:b] & _SIXTY_THREE)).view(np.int64))
-                    rows.append((key, mark, int(line[a]), c, n, prefix, at, sig))
-                if len(seen) > 1_000_000:          # only saves repeated rows
-                    seen.clear()
-            out = pd.DataFrame([r[:-1] for r in rows], columns=["doc_id", "mark", "line", "c", "n", "prefix", "at"])
-            out["sig"] = pd.array([r[-1] for r in rows], dtype="Int64")      # as floats, numbers would lose bits
-            yield out
+        for keys, marks, texts in _chunks(batches, _CHUNK):
+            lines = [x.split() for t in texts for x in t.split(b"\n")]
+            per_text = np.array([t.count(b"\n") + 1 for t in texts], np.int64)
+            size = np.fromiter(map(len, lines), np.int64, len(lines))
+            if not size.any():
+                continue
+            # words as numbers, in the order of their rarity
+            number = defaultdict()
+            number.default_factory = number.__len__
+            word = np.fromiter(map(number.__getitem__, chain.from_iterable(lines)), np.int64, int(size.sum()))
+            h = _hashes(number)
+            code = codes[_buckets(h)]
+            order = np.lexsort((h, code))
+            rank = np.empty(len(order), np.int64)
+            rank[order] = np.arange(len(order))
+            h, code, bits = h[order], code[order], len(order).bit_length()
+            # (line, word) once each; all that follows is by line
+            both = np.sort((np.repeat(np.arange(len(lines)), size) << bits) | rank[word])
+            both = both[np.append(True, both[1:] != both[:-1])]
+            line, word = both >> bits, both & ((1 << bits) - 1)
+            starts = np.flatnonzero(np.append(True, line[1:] != line[:-1]))
+            n = np.diff(np.append(starts, len(line)))
+            line, own = line[starts], h[word]
+            c = np.add.reduceat(own, starts).view(np.int64)                 # as _class
+            sig = np.bitwise_xor.reduceat(_ONE << (own & _SIXTY_THREE), starts).view(np.int64)
+            fresh = np.fromiter((x not in seen and not seen.add(x) for x in c.tolist()), bool, len(c))
+            if len(seen) > 1_000_000:          # only saves repeated rows
+                seen.clear()
+            posted = fresh & (n >= least) & (n >= threshold * (n + 1) - 1e-9)      # else only equal sets are similar
+            at = np.arange(len(word)) - np.repeat(starts, n)
+            first = np.where(posted, n - np.ceil(threshold * n - 1e-9).astype(np.int64) + 1, 0)
+            taken = (at < np.repeat(first, n)) & (code[word] > 1)
+            ends = np.append(0, np.cumsum(np.add.reduceat(taken.astype(np.int64), starts)))
+            doc = np.repeat(np.arange(len(texts)), per_text)[line]
+            line -= (np.cumsum(per_text) - per_text)[doc]
+            out = pa.RecordBatch.from_arrays([
+                pa.array(keys, pa.int64()).take(pa.array(doc)), pa.array(marks, pa.int64()).take(pa.array(doc)),
+                pa.array(line.astype(np.int32)), pa.array(c), pa.array(n.astype(np.int32)),
+                pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(own[taken].view(np.int64))),
+                pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(at[taken].astype(np.int32))),
+                pa.array(sig, mask=~posted)], ["doc_id", "mark", "line", "c", "n", "prefix", "at", "sig"])
+            yield out.filter(pa.array(n >= least))
     return run
 
 
-def _needed(n: int, threshold: float) -> int:
-    """ceil(threshold * n), safe against the last bit of the product."""
-    return int(np.ceil(threshold * n - 1e-9))
-
-
 def _class(h: np.ndarray) -> int:
-    """The name of a set of word hashes."""
-    return xxhash.xxh3_64_intdigest(np.sort(h).tobytes()) - (1 << 63)
+    """The name of a set of word hashes: their sum, to 64 bits."""
+    return int(np.add.reduce(h).view(np.int64))
 
 
 def _place(doc_id, mark, line, mod):
@@ -165,10 +193,12 @@ def _sets(bits):
         for batch in batches:
             c, s = [], []
             for key, mark, text in zip(*(x.to_pylist() for x in batch.columns)):
-                lines = _lines(text)
-                at = _place(key or 0, mark, np.arange(len(lines)), lambda a, b: a % b)
-                for i in np.flatnonzero(table[at >> 3] >> (at & 7).astype(np.uint8) & 1).tolist():
-                    h = np.unique(_hashes([lines[i]])[0])
+                text = text.encode("utf-8", "surrogatepass")
+                at = _place(key or 0, mark, np.arange(text.count(b"\n") + 1), lambda a, b: a % b)
+                wanted = np.flatnonzero(table[at >> 3] >> (at & 7).astype(np.uint8) & 1).tolist()
+                lines = text.split(b"\n") if wanted else []
+                for i in wanted:
+                    h = np.unique(_hashes(lines[i].lower().split()))
                     if len(h):
                         c.append(_class(h))
                         s.append(h.view(np.int64))
@@ -199,6 +229,18 @@ def _possible(threshold: float, n_a: Column, p_a: Column, s_a: Column, n_b: Colu
     return (F.least(n_a, n_b) >= threshold * F.greatest(n_a, n_b) - 1e-9) & (rest >= need) & apart
 
 
+def _without(posts: DataFrame, classes: DataFrame) -> DataFrame:
+    """posts but those of the classes.  A table of 2^24 bits, sent to all tasks in
+    at most 2^18 rows, tells which posts may be of one; only these are shuffled."""
+    place = F.col("c").bitwiseAND(F.lit((1 << 24) - 1))
+    bits = F.broadcast(classes.groupBy(F.shiftright(place, 6).alias("at")).agg(
+        F.expr("bit_or(shiftleft(1L, cast(c & 63 as int)))").alias("bits")))
+    maybe = posts.withColumn("at", F.shiftright(place, 6)).join(bits, "at", "left").withColumn(
+        "maybe", F.expr("coalesce(shiftright(bits, cast(c & 63 as int)) & 1, 0) = 1"))
+    return maybe.filter(~F.col("maybe")).select(*posts.columns).unionByName(
+        maybe.filter("maybe").select(*posts.columns).join(classes, "c", "left_anti").select(*posts.columns))
+
+
 def _verified(pairs: DataFrame, owners: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
     """pairs(a, b) that are similar, as (c, earlier): the later class and the earlier."""
     ends = pairs.select(F.col("a").alias("c")).unionByName(pairs.select(F.col("b").alias("c"))).distinct()
@@ -227,16 +269,15 @@ def line_matches(docs: DataFrame, threshold: float = THRESHOLD, least: int = LEA
     texts = docs.select(F.col(f"`{key}`").cast("long").alias("doc_id"), F.xxhash64(t).alias("mark"), t.alias("t"))
     rarity = docs.sparkSession.sparkContext.broadcast(_rarity(texts))
     spark, wide = docs.sparkSession, scratch(docs.sparkSession, "lines-wide")
-    texts.withColumn("doc_id", F.col("doc_id").cast("string")).mapInPandas(
+    texts.select("doc_id", "mark", "t").mapInArrow(
         _indexer(rarity, threshold, least),
-        "doc_id string, mark long, line int, c long, n int, prefix array<long>, at array<int>, sig long").withColumn(
-        "doc_id", F.col("doc_id").cast("long")).write.parquet(wide)
+        "doc_id long, mark long, line int, c long, n int, prefix array<long>, at array<int>, sig long").write.parquet(wide)
     indexed = spark.read.parquet(wide)
     lines = land(indexed.select("doc_id", "mark", "line", "c"), "lines")
     first = F.struct("doc_id", "mark", "line")
     owners = land(lines.groupBy("c").agg(F.min(first).alias("first"), F.count("*").alias("copies")), "line-owners")
     # the index: words that two classes have in their prefixes, with the list's earliest line
-    posts = indexed.filter("prefix is not null").select(
+    posts = indexed.filter("sig is not null").select(
         "c", "n", "doc_id", "sig", F.explode(F.arrays_zip("at", "prefix")).alias("x")).select(
         "c", "n", "doc_id", "sig", F.col("x.at").alias("pos"), F.col("x.prefix").alias("word"))
     of_word = W.partitionBy("word")
@@ -255,7 +296,7 @@ def line_matches(docs: DataFrame, threshold: float = THRESHOLD, least: int = LEA
     # lines without a match so far, against all earlier members of their lists
     # (but the earliest, which is done; a list of two has no others)
     posts = posts.filter(F.col("many") & (F.col("c") != F.col("hc")))
-    open_ = posts.join(found.select("c").distinct(), "c", "left_anti").select(
+    open_ = _without(posts, found.select("c").distinct()).select(
         "word", F.col("c").alias("b"), F.col("n").alias("n_b"), F.col("pos").alias("p_b"), F.col("sig").alias("s_b"))
     others = posts.select(
         "word", F.col("c").alias("a"), F.col("n").alias("n_a"), F.col("pos").alias("p_a"), F.col("sig").alias("s_a"))
